@@ -46,6 +46,4 @@ RUN_FAILED = "FAILED"
 # the bracket class lists every code point Python's ``str.split()`` splits on.
 SPACE_RUN = r"\s+"
 NOT_WORD_OR_SPACE = r"[^\w\s]+"
-UNICODE_SPACE = (
-    r"\t-\r\x1c-\x20\x85\xa0  -     　"
-)
+UNICODE_SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
