@@ -24,12 +24,11 @@ def with_file_facts(files):
     )
 
 
-def with_run_stamps(files, batch_id, started):
-    """Add the stamps every record of a run carries."""
+def with_batch_stamps(files, batch_id):
+    """Add the stamps every record of a batch carries."""
     return (
         files.withColumn("source", F.lit(fixed.SOURCE))
         .withColumn("batch_id", F.lit(batch_id))
-        .withColumn("ingestion_timestamp", F.lit(started))
         .withColumn("model", F.lit(fixed.MODEL))
         .withColumn("language", F.lit(fixed.LANGUAGE))
         .withColumn("pipeline_version", F.lit(fixed.RECORD_VERSION))

@@ -24,7 +24,7 @@ def transcribe(files, make_recognizer, clock=None):
     def run(batches):
         import hashlib
         from datetime import datetime, timezone
-        from urllib.parse import quote, urlsplit
+        from urllib.parse import quote
 
         import pyarrow as pa
         from pyarrow import fs
@@ -33,8 +33,10 @@ def transcribe(files, make_recognizer, clock=None):
             return datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
 
         def read(path):
-            if urlsplit(path).scheme in ("", "file"):
-                system, name = fs.LocalFileSystem(), "/" + path.split(":", 1)[-1].lstrip("/")
+            if path.startswith("/"):
+                system, name = fs.LocalFileSystem(), path
+            elif path.startswith("file:"):
+                system, name = fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
             else:
                 system, name = fs.FileSystem.from_uri(quote(path, safe=":/@"))
             with system.open_input_stream(name) as stream:

@@ -45,11 +45,11 @@ def scratch_path(spark, label):
     return f"{shared_folder(spark)}/verbalance/{label}-{uuid.uuid4().hex}"
 
 
-def written(df, path, partition_by=()):
+def written(df, path):
     """Write ``df`` once and return the written table.
 
     Unlike a cached frame the table outlives lost executors, and later readers
     prune its columns.
     """
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -68,12 +68,20 @@ def read_dataset(spark, path, schema):
         return spark.createDataFrame([], schema)
 
 
-def read_audit_history(spark, path):
-    """Earlier intake audit rows. History that cannot be listed is reported, not lost."""
-    history = read_dataset(spark, path, INTAKE_AUDIT)
-    if history.isEmpty():
-        _log.warning("no intake audit history in %s", path)
-    return history
+def read_audit_history(spark, dataset, legacy_file=None):
+    """Earlier intake audit rows: the stored dataset and, if given, an old JSON array.
+
+    An old array that cannot be parsed is reported and gives no rows. The dataset
+    is only ever added to, so nothing is lost by going on.
+    """
+    history = read_dataset(spark, dataset, INTAKE_AUDIT)
+    if legacy_file is None:
+        return history
+    read = read_json_records(spark, legacy_file, INTAKE_AUDIT, keep_corrupt=True)
+    rows, corrupt = split_corrupt(read)
+    if not corrupt.isEmpty():
+        _log.warning("unreadable intake audit history in %s", legacy_file)
+    return history.unionByName(rows)
 
 
 def rows_frame(spark, rows, schema):
