@@ -47,7 +47,10 @@ def run_reconciliation(
         seen = checks.first()
         run.record(bronze_record_count=seen["bronze_count"], silver_record_count=seen["silver_count"])
 
-        reference = reconcile.prepare_reference(load_reference())
+        # Written once, so that the database is read once and both passes see the same rows.
+        reference = session.written(
+            reconcile.prepare_reference(load_reference()), f"{folder}/reference"
+        )
         keys = session.written(tallies.key_tallies(bronze, reference), f"{folder}/key_tallies")
         counts = session.written(tallies.stage_counts(keys), f"{folder}/stage_counts")
         run.record(joined_record_count=counts.first()["joined_count"])

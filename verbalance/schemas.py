@@ -1,21 +1,31 @@
 """Declared schemas. Field names and order are fixed values of the stored data."""
 
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
+
+
+def _schema(fields):
+    """``name type`` pairs as a schema; parsing DDL would need a running session."""
+    schema = StructType()
+    for field in fields.split(","):
+        name, kind, *required = field.split()
+        schema.add(name, kind, nullable=not required)
+    return schema
+
 
 # One record per taken-in file. Times are ISO-8601 strings.
-BRONZE = T.StructType.fromDDL(
+BRONZE = _schema(
     """
     audio_id string, audio_filename string, source string, file_type string,
-    file_size_bytes bigint, batch_id string, ingestion_timestamp string,
+    file_size_bytes long, batch_id string, ingestion_timestamp string,
     processing_timestamp string, model string, language string, status string,
     processing_duration_seconds double, transcription string,
-    transcription_length bigint, word_count bigint, error string,
+    transcription_length long, word_count long, error string,
     error_type string, pipeline_version string
     """
 )
 
 # Intake audit, the union of the columns of all four row kinds.
-INTAKE_AUDIT = T.StructType.fromDDL(
+INTAKE_AUDIT = _schema(
     """
     audio_id string, audio_file string, status string, batch_id string,
     processed_at string, reason string, transcription string, error string,
@@ -24,13 +34,13 @@ INTAKE_AUDIT = T.StructType.fromDDL(
 )
 
 # One row per run, for successful and failed runs alike.
-RUN_AUDIT = T.StructType.fromDDL(
+RUN_AUDIT = _schema(
     """
-    run_id string not null, run_start_time timestamp not null,
+    run_id string required, run_start_time timestamp required,
     run_end_time timestamp, run_duration_seconds double,
-    run_status string not null, bronze_record_count bigint,
-    silver_record_count bigint, joined_record_count bigint,
-    final_record_count bigint, error_message string, error_type string
+    run_status string required, bronze_record_count long,
+    silver_record_count long, joined_record_count long,
+    final_record_count long, error_message string, error_type string
     """
 )
 
@@ -53,6 +63,3 @@ GOLD_COLUMNS = (
     "quality_status",
     "quality_reason",
 )
-
-# Files found in a drop directory, content not read.
-FILES = T.StructType.fromDDL("path string, length bigint")
