@@ -7,7 +7,7 @@ case a row stands for: no row is left out and no text is cut.
 
 from pyspark.sql import functions as F
 
-from verbalance import fixed
+from verbalance import fixed, session
 from verbalance.functions import measures, text
 from verbalance.schemas import BRONZE
 
@@ -121,7 +121,7 @@ DUCKDB_TEXTS = _texts(_DUCKDB)
 
 
 def documents(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return session.spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
 
 
 def table(spark, sf_dir, name):

@@ -42,8 +42,9 @@ REASON_REVIEW = "TRANSCRIPTION_REVIEW"
 RUN_SUCCESS = "SUCCESS"
 RUN_FAILED = "FAILED"
 
-# Patterns of the text rules. ``\s`` and ``\w`` are ASCII in Spark;
-# the bracket class lists every code point Python's ``str.split()`` splits on.
+# Patterns of the text rules. ``\s`` and ``\w`` are ASCII in Spark. The
+# last class holds every character Python's ``str.split()`` splits on: Unicode white
+# space and the four separator controls.
 SPACE_RUN = r"\s+"
-NOT_WORD_OR_SPACE = r"[^\w\s]+"
-UNICODE_SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+NOT_WORD_OR_SPACE = r"[^\w\s]"
+PYTHON_SPACE = r"\p{IsWhite_Space}\x1c-\x1f"

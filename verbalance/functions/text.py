@@ -24,24 +24,22 @@ def normalize(text):
 
 
 def space_word_count(text):
-    """Pieces between single spaces, empty ones included; NULL for NULL.
+    """Pieces between single spaces, empty ones included.
 
-    Counts the separators by length, which needs no array of the pieces and
-    does not depend on how the session sizes NULL arrays.
+    NULL for NULL, however the session sizes NULL arrays.
     """
-    without = F.replace(text, F.lit(" "), F.lit(""))
-    return F.octet_length(text) - F.octet_length(without) + F.lit(1)
+    return F.array_size(F.split(text, " "))
 
 
 def unicode_word_count(text):
     """Words between runs of Unicode white space; no empty words."""
-    pieces = F.split(text, f"[{fixed.UNICODE_SPACE}]+")
+    pieces = F.split(text, f"[{fixed.PYTHON_SPACE}]+")
     return F.size(F.filter(pieces, lambda piece: piece != ""))
 
 
 def is_blank(text):
     """NULL, empty, or nothing but Unicode white space."""
-    return ~F.coalesce(text.rlike(f"[^{fixed.UNICODE_SPACE}]"), F.lit(False))
+    return ~F.coalesce(text.rlike(f"[^{fixed.PYTHON_SPACE}]"), F.lit(False))
 
 
 def count_difference(left, right):

@@ -53,3 +53,15 @@ def written(df, path):
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df, *keys):
+    """Use all cores on a source with fewer splits than the cluster has cores.
+
+    One unsplittable file would otherwise be worked on by one task. A table with
+    enough splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
