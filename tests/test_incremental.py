@@ -1,0 +1,47 @@
+from tests.test_intake import recognizer_for_bytes
+from verbalance.plans.intake_batch import IntakeStore
+from verbalance.sources import files
+from verbalance.streaming import incremental
+
+
+def test_each_start_takes_in_what_is_new(spark, tmp_path):
+    drop = tmp_path / "incoming"
+    drop.mkdir()
+    store = IntakeStore(spark, str(tmp_path / "store"))
+
+    def start():
+        incremental.start_intake(
+            files.stream_audio(spark, str(drop)),
+            store,
+            str(tmp_path / "checkpoint"),
+            recognizer_for_bytes(),
+            min_tasks=1,
+        ).awaitTermination()
+        rows = store.audit().collect()
+        return sorted((r["audio_file"], r["status"]) for r in rows)
+
+    (drop / "a.wav").write_bytes(b"hello")
+    (drop / "b.wav").write_bytes(b"poison")
+    first = [("a.wav", "success"), ("b.wav", "failed")]
+    assert start() == first
+    assert start() == first
+    (drop / "a.mp3").write_bytes(b"hello again")
+    (drop / "b.mp3").write_bytes(b"fine")
+    second = sorted([*first, ("a.mp3", "skipped"), ("b.mp3", "success")])
+    assert start() == second
+    assert sorted(r["batch_id"] for r in store.audit().select("batch_id").distinct().collect()) == [
+        incremental.epoch_batch_id(0),
+        incremental.epoch_batch_id(1),
+    ]
+
+
+def test_a_micro_batch_tried_again_is_not_doubled(spark, tmp_path):
+    from verbalance.plans.intake_batch import take_in
+
+    store = IntakeStore(spark, str(tmp_path / "store"))
+    frame = spark.createDataFrame(
+        [("/d/a.wav", 5, bytearray(b"hello"))], "path string, length bigint, content binary"
+    )
+    for _ in range(2):
+        take_in(frame, store, incremental.epoch_batch_id(7), recognizer_for_bytes(), min_tasks=1)
+    assert store.bronze().count() == store.audit().count() == 1

@@ -1,0 +1,100 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows_of
+from verbalance.schemas import BRONZE, INTAKE_AUDIT, RUN_AUDIT
+from verbalance.sources import records
+
+
+@pytest.fixture
+def legacy(tmp_path):
+    """Records as the single-machine job leaves them, next to its audit array."""
+    folder = tmp_path / "output"
+    folder.mkdir()
+
+    def put(name, value):
+        text = value if isinstance(value, str) else json.dumps(value, indent=4, ensure_ascii=False)
+        (folder / name).write_text(text, encoding="utf-8")
+
+    put("a.json", {"audio_id": "1", "audio_filename": "a.wav", "status": "success",
+                   "transcription": "déjà vu", "word_count": 2, "unknown": 5})
+    put("b.json", {"audio_file": "b.wav", "status": "failed", "transcription": None,
+                   "word_count": 0, "error": "no", "error_type": "OSError"})
+    put("c.json", [{"audio_id": "3", "status": "success"}, {"audio_id": "4", "status": "failed"}])
+    put("d.json", "{ not json")
+    put("processing_audit.json", [{"audio_file": "a.wav", "status": "skipped", "reason": "done"}])
+    put("a.txt", "déjà vu")
+    return folder
+
+
+def test_records_are_read_by_declared_schema(spark, legacy):
+    got = records.read_json_records(spark, str(legacy / "a.json"))
+    assert got.schema == BRONZE
+    row = got.first()
+    assert (row["transcription"], row["word_count"], row["language"]) == ("déjà vu", 2, None)
+
+
+def test_array_gives_one_row_per_element(spark, legacy):
+    got = records.read_json_records(spark, str(legacy / "c.json"))
+    assert sorted(r["audio_id"] for r in got.collect()) == ["3", "4"]
+
+
+def test_unreadable_record_is_a_row_of_nulls_or_kept_apart(spark, legacy, tmp_path):
+    path = str(legacy / "d.json")
+    assert set(records.read_json_records(spark, path).first()) == {None}
+    good, bad = records.land_json(spark, str(legacy / "[ad].json"), str(tmp_path / "landed"))
+    assert [r["audio_id"] for r in good.collect()] == ["1"]
+    assert "not json" in bad.first()[0]
+
+
+def test_legacy_directory_without_its_audit_array(spark, legacy):
+    got = records.read_legacy_bronze(spark, str(legacy))
+    assert got.schema.names == BRONZE.names
+    names = sorted(str(r["audio_filename"]) for r in got.collect())
+    assert names == ["None"] * 4 + ["a.wav"]
+    filled = records.read_legacy_bronze(spark, str(legacy), fill_file_name=True)
+    assert filled.where("status = 'failed' and error = 'no'").first()["audio_filename"] == "b.wav"
+
+
+def test_dataset_that_is_not_there_yet(spark, tmp_path):
+    got = records.read_audit_history(spark, str(tmp_path / "none"))
+    assert got.schema == INTAKE_AUDIT and got.isEmpty()
+
+
+def test_history_with_an_old_array(spark, legacy, tmp_path, caplog):
+    history = records.read_audit_history(
+        spark, str(tmp_path / "none"), str(legacy / "processing_audit.json")
+    )
+    assert [(r["audio_file"], r["reason"]) for r in history.collect()] == [("a.wav", "done")]
+    assert not caplog.records
+    broken = records.read_audit_history(spark, str(tmp_path / "none"), str(legacy / "d.json"))
+    assert broken.isEmpty() and "unreadable" in caplog.text
+
+
+def test_driver_rows_get_the_declared_columns(spark):
+    frame = records.rows_frame(spark, [{"audio_file": "a", "status": "skipped"}], INTAKE_AUDIT)
+    assert frame.schema == INTAKE_AUDIT
+    with pytest.raises(ValueError, match="surplus"):
+        records.rows_frame(spark, [{"surplus": 1}], RUN_AUDIT)
+
+
+def test_status_filter_reaches_the_scan(spark, tmp_path, capsys):
+    path = str(tmp_path / "bronze")
+    spark.createDataFrame([], BRONZE).write.parquet(path)
+    capsys.readouterr()
+    records.read_dataset(spark, path, BRONZE).where(F.col("status") == "success").select(
+        "audio_id"
+    ).explain()
+    plan = capsys.readouterr().out
+    assert "EqualTo(status,success)" in plan
+    assert "ReadSchema: struct<audio_id:string,status:string>" in plan
+
+
+def test_json_lines(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    frame = spark.createDataFrame([("1", "x\ny")], "audio_id string, transcription string")
+    frame.write.json(path)
+    got = records.read_json_records(spark, path, multi_line=False)
+    assert rows_of(got.select("audio_id", "transcription")) == [("1", "x\ny")]

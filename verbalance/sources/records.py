@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verbalance import session
 from verbalance.schemas import BRONZE, INTAKE_AUDIT
 
 _CORRUPT = "_corrupt_record"
@@ -52,10 +53,15 @@ def read_legacy_bronze(spark, directory, fill_file_name=False):
     return records.select(*BRONZE.names)
 
 
-def split_corrupt(records):
-    """Readable and unreadable records of a ``keep_corrupt`` read."""
+def land_json(spark, path, target, schema=BRONZE, multi_line=True):
+    """Parse JSON once into a table at ``target``: its readable and unreadable records.
+
+    Later passes read columns of the table and need not parse text again.
+    """
+    read = read_json_records(spark, path, schema, multi_line, keep_corrupt=True)
+    landed = session.written(read, target)
     corrupt = F.col(_CORRUPT).isNotNull()
-    return records.where(~corrupt).drop(_CORRUPT), records.where(corrupt).select(_CORRUPT)
+    return landed.where(~corrupt).drop(_CORRUPT), landed.where(corrupt).select(_CORRUPT)
 
 
 def read_dataset(spark, path, schema):
@@ -77,8 +83,8 @@ def read_audit_history(spark, dataset, legacy_file=None):
     history = read_dataset(spark, dataset, INTAKE_AUDIT)
     if legacy_file is None:
         return history
-    read = read_json_records(spark, legacy_file, INTAKE_AUDIT, keep_corrupt=True)
-    rows, corrupt = split_corrupt(read)
+    target = session.scratch_path(spark, "legacy_audit")
+    rows, corrupt = land_json(spark, legacy_file, target, INTAKE_AUDIT)
     if not corrupt.isEmpty():
         _log.warning("unreadable intake audit history in %s", legacy_file)
     return history.unionByName(rows)

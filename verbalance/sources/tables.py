@@ -7,7 +7,8 @@ def hex_ranges(column, digits=1):
     """Predicates that split a hex-string key into ``16 ** digits`` disjoint ranges.
 
     Each value is in exactly one range: NULL and anything below the first bound in
-    the first, anything above the last bound in the last.
+    the first, anything above the last bound in the last. The database must order
+    digits before letters; quote ``column`` as it wants it.
     """
     bounds = [""]
     for _ in range(digits):
