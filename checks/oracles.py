@@ -277,8 +277,8 @@ select audio_id, audio_file, batch_id, transcription_match, normalized_match, qu
        quality_reason
 from (select *, row_number() over (
           partition by audio_id
-          order by audio_file, batch_id, transcription_clean,
-                   expected_transcription nulls first) as place
+          order by audio_file, batch_id, sha256(transcription_clean) nulls first,
+                   sha256(expected_transcription) nulls first) as place
       from validated) as ranked
 where place = 1""",
     "reconciliation_summary": """

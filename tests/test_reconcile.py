@@ -143,10 +143,13 @@ def test_deduplicated_is_the_first_joined_row_per_key(spark):
     bronze, reference = make_sides(spark, 8, 100, 40)
     silver = reconcile.silver(bronze)
     joined = reconcile.validate(reconcile.join_expected(silver, reference))
-    order = ("audio_file", "batch_id", "transcription_clean", "expected_transcription")
-    expected = dedup.first_per_key(joined, "audio_id", [F.asc_nulls_first(c) for c in order])
+    order = [F.asc_nulls_first("audio_file"), F.asc_nulls_first("batch_id")]
+    order += [
+        F.asc_nulls_first(F.sha2(c, 256)) for c in ("transcription_clean", "expected_transcription")
+    ]
+    expected = dedup.first_per_key(joined, "audio_id", order)
     got = reconcile.deduplicated(silver, reference)
-    assert rows_of(got.select(*joined.columns)) == rows_of(expected)
+    assert rows_of(got) == rows_of(expected.select(*got.columns))
 
 
 def test_copies_are_dropped_before_the_shuffle(spark):
@@ -177,6 +180,7 @@ def test_texts_are_not_shuffled_for_labels(spark, capsys):
     try:
         for frame in (
             reconcile.validate_labels(silver, reference),
+            reconcile.deduplicated(silver, reference),
             summaries.reasons_of_sides(silver, reference),
             tallies.key_tallies(bronze, reference),
         ):

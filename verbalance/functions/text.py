@@ -47,5 +47,5 @@ def count_difference(left, right):
 
 
 def content_print(text):
-    """SHA-256 hex of a text, so that equality can be tested without moving it."""
-    return F.sha2(text, 256)
+    """SHA-256 of a text in 32 bytes, so that equality can be tested without moving it."""
+    return F.unhex(F.sha2(text, 256))

@@ -35,34 +35,38 @@ def with_batch_stamps(files, batch_id):
     )
 
 
-def completed_names(prior):
-    """Base names with an earlier successful record that has an id, each once."""
+def completed_names(prior, files, few_files=False):
+    """Base names of ``files`` that have an earlier successful record with an id, each once.
+
+    ``few_files`` says that the names of ``files`` fit a broadcast. The history
+    is then only scanned; otherwise both sides are shuffled by name.
+    """
+    names = files.select("base_name").distinct()
+    completed = prior.where((F.col("status") == fixed.SUCCESS) & (F.col("audio_id") != ""))
     return (
-        prior.where((F.col("status") == fixed.SUCCESS) & (F.col("audio_id") != ""))
-        .select("base_name")
+        completed.select("base_name")
+        .join(F.broadcast(names) if few_files else names, "base_name", "left_semi")
         .distinct()
     )
 
 
 def _by_name(files, names, how, hot):
-    return skew.balanced_join(
-        files, names, "base_name", how, hot=hot, left_spread=("path",)
-    )
+    return skew.balanced_join(files, names, "base_name", how, hot=hot, left_spread=("path",))
 
 
-def pending(files, prior, hot=()):
+def pending(files, prior, hot=(), few_files=False):
     """Files still to be recognized."""
-    return _by_name(files, completed_names(prior), "left_anti", hot)
+    return _by_name(files, completed_names(prior, files, few_files), "left_anti", hot)
 
 
-def already_done(files, prior, hot=()):
+def already_done(files, prior, hot=(), few_files=False):
     """Files to be skipped because of an earlier record."""
-    return _by_name(files, completed_names(prior), "left_semi", hot)
+    return _by_name(files, completed_names(prior, files, few_files), "left_semi", hot)
 
 
-def mark_done(files, prior, hot=()):
+def mark_done(files, prior, hot=(), few_files=False):
     """All files with a flag ``done``: pending and skipped ones in one join."""
-    names = completed_names(prior).withColumn("done", F.lit(True))
+    names = completed_names(prior, files, few_files).withColumn("done", F.lit(True))
     return _by_name(files, names, "left", hot).withColumn(
         "done", F.coalesce("done", F.lit(False))
     )

@@ -30,7 +30,7 @@ def prepare_reference(table):
     return table.drop("created_at")
 
 
-def join_expected(silver_rows, reference, hot=()):
+def join_expected(silver_rows, reference, hot=(), reference_spread=REFERENCE_SPREAD):
     """Inner join on ``audio_id``; copies on either side multiply rows.
 
     The file name of the silver side wins.
@@ -41,7 +41,7 @@ def join_expected(silver_rows, reference, hot=()):
         "audio_id",
         hot=hot,
         left_spread=SILVER_SPREAD,
-        right_spread=REFERENCE_SPREAD,
+        right_spread=reference_spread,
     )
 
 
@@ -72,34 +72,29 @@ def validate(joined):
     )
 
 
-def validate_labels(silver_rows, reference, hot=()):
-    """The labels and counts of :func:`validate` without the texts.
+def _reduced(df, words, count, side):
+    """Word counts and content prints in place of a text."""
+    normal = f"{side}_normalized"
+    return (
+        df.withColumn(normal, text.normalize(F.col(words)))
+        .withColumn(f"{side}_print", text.content_print(F.col(words)))
+        .withColumn(f"{side}_normal_print", text.content_print(F.col(normal)))
+        .withColumn(count, text.space_word_count(F.col(words)))
+        .withColumn(f"{normal}_word_count", text.space_word_count(F.col(normal)))
+        .drop(words, normal, "transcription")
+    )
 
-    Each side is reduced to word counts and content prints before the join, so
-    the texts are never shuffled.
-    """
 
-    def reduced(df, words, counts, side):
-        normal = f"{side}_normalized"
-        return (
-            df.withColumn(normal, text.normalize(F.col(words)))
-            .withColumn(f"{side}_print", text.content_print(F.col(words)))
-            .withColumn(f"{side}_normal_print", text.content_print(F.col(normal)))
-            .withColumn(counts, text.space_word_count(F.col(words)))
-            .withColumn(f"{normal}_word_count", text.space_word_count(F.col(normal)))
-            .drop(words, normal, "transcription")
-        )
+def reduced_silver(silver_rows):
+    return _reduced(silver_rows, "transcription_clean", "cleaned_word_count", "generated")
 
-    generated = reduced(silver_rows, "transcription_clean", "cleaned_word_count", "generated")
-    expected = reduced(reference, "expected_transcription", "expected_word_count", "expected")
-    joined = skew.balanced_join(
-        generated,
-        expected.drop("audio_file"),
-        "audio_id",
-        hot=hot,
-        left_spread=SILVER_SPREAD,
-        right_spread=("expected_print",),
-    )
+
+def reduced_reference(reference):
+    return _reduced(reference, "expected_transcription", "expected_word_count", "expected")
+
+
+def validate_reduced(joined):
+    """The labels and counts of :func:`validate` from reduced sides."""
     return (
         joined.withColumn(
             "transcription_match",
@@ -115,6 +110,17 @@ def validate_labels(silver_rows, reference, hot=()):
     )
 
 
+def validate_labels(silver_rows, reference, hot=()):
+    """The labels and counts of :func:`validate` without the texts.
+
+    Each side is reduced before the join, so the texts are never shuffled.
+    """
+    joined = join_expected(
+        reduced_silver(silver_rows), reduced_reference(reference), hot, ("expected_print",)
+    )
+    return validate_reduced(joined)
+
+
 def _differences_and_quality(df):
     return (
         df.withColumn(
@@ -144,18 +150,18 @@ def gold(validated):
 
 
 def deduplicated(silver_rows, reference):
-    """One validated row per ``audio_id``.
+    """Labels of one joined row per ``audio_id``, without the texts.
 
     Each side is cut to its first row per key before the join. That picks the
     same row as ordering the joined rows by the silver columns and then by the
-    expected text, but copies are never multiplied.
+    expected print, but copies are never multiplied.
     """
     first_silver = dedup.first_per_key(
-        silver_rows,
+        reduced_silver(silver_rows),
         "audio_id",
-        [F.asc_nulls_first(c) for c in ("audio_file", "batch_id", "transcription_clean")],
+        [F.asc_nulls_first(c) for c in (*SILVER_SPREAD, "generated_print")],
     )
     first_expected = dedup.first_per_key(
-        reference, "audio_id", [F.asc_nulls_first("expected_transcription")]
+        reduced_reference(reference), "audio_id", [F.asc_nulls_first("expected_print")]
     )
-    return validate(join_expected(first_silver, first_expected))
+    return validate_reduced(join_expected(first_silver, first_expected))

@@ -49,7 +49,13 @@ def hot_from_counts(counts, key_hash, left_rows, right_rows, rows_per_split=ROWS
 
 
 def find_hot(left, right, key, rows_per_split=ROWS_PER_SPLIT):
-    """Hot keys of a join; ``right=None`` says the right side has one row per key."""
+    """Hot keys of a join; ``right=None`` says the right side has one row per key.
+
+    A side with fewer rows than one split has none, so small tables are only counted.
+    """
+    sizes = [df.count() for df in (left, right) if df is not None]
+    if max(sizes) <= rows_per_split:
+        return []
 
     def side(df, left_rows, right_rows):
         return df.select(

@@ -85,24 +85,28 @@ def gate_results(tallies):
     return row.select(F.inline(results)).withColumn("passed", F.col("failing_groups") == 0)
 
 
+# What two joined texts can agree in. A NULL value agrees with nothing.
+FACETS = ("pairs", "exact", "normalized", "counted", "words")
+
+
 def _facet_values():
-    """What two joined texts can agree in. A NULL value agrees with nothing."""
     words, normal = F.col("words"), F.col("normal")
     return {
         "pairs": F.lit(""),
-        "exact": text.content_print(words),
-        "normalized": text.content_print(normal),
+        "exact": F.sha2(words, 256),
+        "normalized": F.sha2(normal, 256),
         "counted": F.when(words.isNotNull(), F.lit("")),
         "words": text.space_word_count(normal).cast("string"),
     }
 
 
-def agreeing_pairs(silver, reference, facets):
+def agreeing_pairs(silver, reference, facets=FACETS):
     """One row: for each facet, the joined rows whose two sides agree in it.
 
     Facets are ``pairs`` (all joined rows), ``exact`` (cleaned against expected
     text), ``normalized``, ``counted`` (both word counts known) and ``words``
-    (equal normalized word counts).
+    (equal normalized word counts). Facet, value and key are shuffled as one
+    32-byte digest.
     """
 
     def side(df, column, silver_row):
@@ -110,6 +114,7 @@ def agreeing_pairs(silver, reference, facets):
         rows = F.array(
             *[F.struct(F.lit(f).alias("facet"), values[f].alias("value")) for f in facets]
         )
+        group = F.concat("facet", F.lit("|"), "value", F.lit("|"), "audio_id")
         return (
             df.where(F.col("audio_id").isNotNull())
             .withColumn("words", F.col(column))
@@ -117,9 +122,8 @@ def agreeing_pairs(silver, reference, facets):
             .select("audio_id", F.inline(rows))
             .where(F.col("value").isNotNull())
             .select(
-                "audio_id",
                 "facet",
-                "value",
+                text.content_print(group).alias("group"),
                 F.lit(int(silver_row)).alias("silver_rows"),
                 F.lit(int(not silver_row)).alias("reference_rows"),
             )
@@ -129,7 +133,7 @@ def agreeing_pairs(silver, reference, facets):
         side(reference, "expected_transcription", False)
     )
     agreed = (
-        both.groupBy("audio_id", "facet", "value")
+        both.groupBy("facet", "group")
         .agg(F.sum("silver_rows").alias("s"), F.sum("reference_rows").alias("r"))
         .withColumn("pairs", F.col("s") * F.col("r"))
     )

@@ -13,6 +13,8 @@ from verbalance.sources.records import read_dataset
 
 BYTES_PER_TASK = 256 * 1024 * 1024
 FILES_PER_TASK = 1000
+# A file name has at most 255 bytes, so this many take at most 51 MB.
+FEW_FILES = 200_000
 
 
 class IntakeStore:
@@ -60,9 +62,11 @@ def take_in(files, store, batch_id, make_recognizer, clock=None, started=None, m
     work_path = f"{store.work_path}/batch_id={batch_id}"
     listed = files.select("path", "length").transform(intake.with_file_facts)
 
-    hot = skew.find_hot(listed, None, "base_name")
+    few_files = listed.count() <= FEW_FILES
+    # One key of a small batch cannot hold too many rows for a task.
+    hot = [] if few_files else skew.find_hot(listed, None, "base_name")
     work = session.written(
-        intake.mark_done(listed, store.prior(batch_id), hot), f"{work_path}/list"
+        intake.mark_done(listed, store.prior(batch_id), hot, few_files), f"{work_path}/list"
     )
     todo = work.where("not done")
     tasks = max(_task_count(todo), min_tasks or spark.sparkContext.defaultParallelism)
