@@ -44,18 +44,22 @@ def test_array_gives_one_row_per_element(spark, legacy):
 def test_unreadable_record_is_a_row_of_nulls_or_kept_apart(spark, legacy, tmp_path):
     path = str(legacy / "d.json")
     assert set(records.read_json_records(spark, path).first()) == {None}
-    good, bad = records.land_json(spark, str(legacy / "[ad].json"), str(tmp_path / "landed"))
+    read = records.read_json_records(spark, str(legacy / "[ad].json"), keep_corrupt=True)
+    good, bad = records.land(read, str(tmp_path / "landed"))
     assert [r["audio_id"] for r in good.collect()] == ["1"]
     assert "not json" in bad.first()[0]
 
 
-def test_legacy_directory_without_its_audit_array(spark, legacy):
+def test_legacy_directory_without_its_audit_array(spark, legacy, tmp_path):
     got = records.read_legacy_bronze(spark, str(legacy))
     assert got.schema.names == BRONZE.names
     names = sorted(str(r["audio_filename"]) for r in got.collect())
     assert names == ["None"] * 4 + ["a.wav"]
     filled = records.read_legacy_bronze(spark, str(legacy), fill_file_name=True)
     assert filled.where("status = 'failed' and error = 'no'").first()["audio_filename"] == "b.wav"
+    read = records.read_legacy_bronze(spark, str(legacy), keep_corrupt=True)
+    good, bad = records.land(read, str(tmp_path / "landed"))
+    assert good.schema.names == BRONZE.names and (good.count(), bad.count()) == (4, 1)
 
 
 def test_dataset_that_is_not_there_yet(spark, tmp_path):

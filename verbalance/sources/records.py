@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbalance import session
+from verbalance.functions import paths
 from verbalance.schemas import BRONZE, INTAKE_AUDIT
 
 _CORRUPT = "_corrupt_record"
+# Fixed value: the audit array of the single-machine job lies next to its records.
+LEGACY_AUDIT = "processing_audit.json"
 _log = logging.getLogger(__name__)
 
 
@@ -30,35 +33,25 @@ def read_json_records(spark, path, schema=BRONZE, multi_line=True, keep_corrupt=
     )
 
 
-def read_legacy_bronze(spark, directory, fill_file_name=False):
+def read_legacy_bronze(spark, directory, fill_file_name=False, keep_corrupt=False):
     """One JSON file per record, in a directory that may also hold the audit array.
 
     Failed records carry their file name as ``audio_file``. It is ignored unless
     ``fill_file_name`` is set.
     """
-    schema = BRONZE
+    schema = T.StructType([*BRONZE.fields, T.StructField("audio_file", T.StringType())])
+    found = read_json_records(spark, f"{directory}/*.json", schema, keep_corrupt=keep_corrupt)
+    found = found.where(paths.file_name(F.col("_metadata.file_path")) != LEGACY_AUDIT)
     if fill_file_name:
-        schema = T.StructType([*BRONZE.fields, T.StructField("audio_file", T.StringType())])
-    records = (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("pathGlobFilter", "*.json")
-        .json(directory)
-        .where(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1) != "processing_audit.json")
-    )
-    if fill_file_name:
-        records = records.withColumn(
-            "audio_filename", F.coalesce("audio_filename", "audio_file")
-        )
-    return records.select(*BRONZE.names)
+        found = found.withColumn("audio_filename", F.coalesce("audio_filename", "audio_file"))
+    return found.drop("audio_file")
 
 
-def land_json(spark, path, target, schema=BRONZE, multi_line=True):
-    """Parse JSON once into a table at ``target``: its readable and unreadable records.
+def land(read, target):
+    """Write the records of a ``keep_corrupt`` read: readable and unreadable ones.
 
-    Later passes read columns of the table and need not parse text again.
+    Text is parsed once; later passes read columns of the written table.
     """
-    read = read_json_records(spark, path, schema, multi_line, keep_corrupt=True)
     landed = session.written(read, target)
     corrupt = F.col(_CORRUPT).isNotNull()
     return landed.where(~corrupt).drop(_CORRUPT), landed.where(corrupt).select(_CORRUPT)
@@ -83,8 +76,8 @@ def read_audit_history(spark, dataset, legacy_file=None):
     history = read_dataset(spark, dataset, INTAKE_AUDIT)
     if legacy_file is None:
         return history
-    target = session.scratch_path(spark, "legacy_audit")
-    rows, corrupt = land_json(spark, legacy_file, target, INTAKE_AUDIT)
+    read = read_json_records(spark, legacy_file, INTAKE_AUDIT, keep_corrupt=True)
+    rows, corrupt = land(read, session.scratch_path(spark, "legacy_audit"))
     if not corrupt.isEmpty():
         _log.warning("unreadable intake audit history in %s", legacy_file)
     return history.unionByName(rows)
