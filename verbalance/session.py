@@ -33,11 +33,12 @@ def shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder all executors see")
-    folder = tempfile.mkdtemp(prefix="verbalance-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder all executors see")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="verbalance-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark, label):
