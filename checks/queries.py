@@ -160,7 +160,7 @@ def reference_smoke_count(spark, sf_dir):
 
 def audit_history_scan(spark, sf_dir):
     path = session.scratch_path(spark, "intake_audit")
-    datasets.write_batch(intake.audit_rows(_outcome(spark, sf_dir)), path)
+    datasets.write_batch(intake.audit_rows(_outcome(spark, sf_dir)), path, fx.BATCH)
     return records.read_audit_history(spark, path)
 
 
@@ -169,18 +169,16 @@ def intake_audit_append(spark, sf_dir):
     rows = session.written(
         intake.audit_rows(_outcome(spark, sf_dir)), session.scratch_path(spark, "audit_rows")
     )
-    later = rows.withColumn("batch_id", F.lit("20240102_000000"))
-    datasets.write_batch(rows, path)
-    datasets.write_batch(later, path)
+    datasets.write_batch(rows, path, fx.BATCH)
     # The second batch is tried again; its rows are replaced, not doubled.
-    datasets.write_batch(later, path)
+    for _ in range(2):
+        datasets.write_batch(rows, path, "20240102_000000")
     return records.read_audit_history(spark, path)
 
 
 def bronze_latest(spark, sf_dir):
     path = session.scratch_path(spark, "bronze")
-    shared_names = table_with_shared_names(spark, sf_dir)
-    datasets.write_batch(shared_names, path)
+    datasets.write_batches(_shared_names(spark, sf_dir), path)
     stored = records.read_dataset(spark, path, BRONZE)
     latest = dedup.latest_records(stored, paths.base_name(F.col("audio_filename")))
     return latest.select(
@@ -188,7 +186,7 @@ def bronze_latest(spark, sf_dir):
     )
 
 
-def table_with_shared_names(spark, sf_dir):
+def _shared_names(spark, sf_dir):
     """Bronze with three records per base name, told apart by their extension."""
     number = F.regexp_extract("audio_filename", r"\d+", 0).cast("bigint")
     extension = F.when(number % 3 == 0, ".wav").when(number % 3 == 1, ".mp3").otherwise(".ogg")
@@ -198,7 +196,7 @@ def table_with_shared_names(spark, sf_dir):
 
 def transcript_export(spark, sf_dir):
     path = session.scratch_path(spark, "transcripts")
-    datasets.write_batch(intake.transcripts(_outcome(spark, sf_dir)), path)
+    datasets.write_batch(intake.transcripts(_outcome(spark, sf_dir)), path, fx.BATCH)
     return spark.read.parquet(path).select("base_name", "transcription")
 
 

@@ -119,6 +119,16 @@ def test_running_a_batch_again_replaces_it(spark, drop, store):
     assert store.bronze().count() == 4 and store.audit().count() == 4
 
 
+def test_retry_without_any_success_leaves_no_old_transcript(spark, drop, store):
+    run(spark, drop, store, "20240101_000000")
+    for name in ("a.wav", "d e.flac"):
+        (drop / name).write_bytes(b"poison")
+    assert summary(run(spark, drop, store, "20240101_000000")) == (4, 0, 4, 0)
+    assert spark.read.schema("base_name string, batch_id string").parquet(
+        store.transcripts_path
+    ).isEmpty()
+
+
 def test_file_that_cannot_be_read_fails_alone(spark, drop):
     found = files.discover(spark, str(drop)).union(
         spark.createDataFrame([(f"file:{drop}/gone.wav", 1)], "path string, length bigint")

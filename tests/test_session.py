@@ -6,7 +6,7 @@ from verbalance import session
 class Unset:
     """A session whose cluster names no shared folder."""
 
-    def __init__(self, spark, master):
+    def __init__(self, master):
         self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
         self.sparkContext = type(
             "Context",
@@ -27,15 +27,15 @@ def test_the_named_folder_is_used(spark):
 
 
 @pytest.mark.parametrize("master", ["local", "local[4]"])
-def test_a_local_session_gets_a_folder(spark, master):
-    unset = Unset(spark, master)
+def test_a_local_session_gets_a_folder(master):
+    unset = Unset(master)
     assert session.shared_folder(unset) == session.shared_folder(unset)
 
 
 @pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "yarn", "spark://host:7077"])
-def test_a_cluster_must_name_one(spark, master):
+def test_a_cluster_must_name_one(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(Unset(spark, master))
+        session.shared_folder(Unset(master))
 
 
 def test_spread_leaves_tables_with_enough_splits_alone(spark):

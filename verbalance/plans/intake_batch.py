@@ -95,10 +95,10 @@ def take_in(files, store, batch_id, make_recognizer, clock=None, started=None, m
         intake.with_batch_stamps(settled.unionByName(skipped, allowMissingColumns=True), batch_id),
         f"{work_path}/outcome",
     )
-    write_batch(intake.bronze_records(outcome), store.bronze_path)
-    write_batch(intake.transcripts(outcome), store.transcripts_path)
-    write_batch(intake.audit_rows(outcome), store.audit_path)
-    write_batch(intake.dispositions(outcome), store.moves_path)
+    write_batch(intake.bronze_records(outcome), store.bronze_path, batch_id)
+    write_batch(intake.transcripts(outcome), store.transcripts_path, batch_id)
+    write_batch(intake.audit_rows(outcome), store.audit_path, batch_id)
+    write_batch(intake.dispositions(outcome), store.moves_path, batch_id)
     return intake.batch_summary(outcome)
 
 

@@ -1,12 +1,17 @@
 """Parquet datasets that grow by one partition per batch."""
 
 
-def write_batch(df, path):
-    """Add the rows of a batch, replacing what an earlier try of that batch left.
+def write_batch(df, path, batch_id):
+    """Write the rows of one batch, replacing all that an earlier try of it left.
 
-    No row is moved: each task writes its own files, also when all rows belong to
-    one batch.
+    No row is moved: each task writes its own files. A batch without rows leaves
+    an empty partition.
     """
+    df.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def write_batches(df, path):
+    """Write rows of several batches, replacing those batches."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
