@@ -82,7 +82,7 @@ def test_labels_without_texts_equal_labels_with_texts(sides):
 def test_hot_keys_change_nothing(spark):
     bronze, reference = make_sides(spark, 5, 120, 60)
     silver = reconcile.silver(bronze)
-    hot = skew.find_hot(silver, reference, "audio_id", rows_per_split=10)
+    hot = skew.find_hot(silver, reference, "audio_id", per_split=10)
     assert hot
     plain = reconcile.gold(reconcile.validate(reconcile.join_expected(silver, reference)))
     spread = reconcile.gold(reconcile.validate(reconcile.join_expected(silver, reference, hot)))

@@ -41,7 +41,10 @@ def test_reconciliation_run(spark, tmp_path, bronze, reference):
     )
     assert result.gold.columns == list(GOLD_COLUMNS)
     assert result.gold.count() == 5  # copies are multiplied and kept
-    assert rows_of(result.duplicates) == [("1", 4)]
+    assert rows_of(result.joined_duplicates) == [("1", 4)]
+    assert rows_of(result.bronze_duplicates) == rows_of(result.reference_duplicates) == [("1", 2)]
+    kept = result.deduplicated.select("audio_id", "audio_file", "quality_status")
+    assert [row[:2] for row in rows_of(kept)] == [("1", "a.wav"), ("2", "c.wav")]
     assert rows_of(result.gates) == [
         ("bronze_duplicates", 1, False),
         ("joined_duplicates", 1, False),

@@ -50,3 +50,17 @@ def test_written_table_is_read_back(spark, tmp_path):
     again = session.written(frame, str(tmp_path / "t"))
     assert again.columns == ["n"] and again.count() == 5
     assert "FileScan parquet" in again._jdf.queryExecution().toString()
+
+
+def test_shuffle_partitions_follow_the_size(spark, tmp_path):
+    key = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(key)
+    with session.shuffles_for(spark, 10 * session.BYTES_PER_SHUFFLE_PARTITION + 1):
+        assert spark.conf.get(key) == "11"
+    with session.shuffles_for(spark, 1):
+        assert spark.conf.get(key) == configured
+    assert spark.conf.get(key) == configured
+    path = str(tmp_path / "t")
+    session.written(spark.range(1000), path)
+    on_disk = sum(f.stat().st_size for f in (tmp_path / "t").glob("part-*"))
+    assert session.stored_bytes(spark, path) == on_disk

@@ -26,7 +26,7 @@ def sides(spark):
 
 def test_hot_keys_are_found_on_both_sides(spark, sides):
     left, right = sides
-    hot = skew.find_hot(left, right, "key", rows_per_split=15)
+    hot = skew.find_hot(left, right, "key", per_split=15)
     names = spark.createDataFrame([("hot",)], "key string").select(F.xxhash64("key")).first()[0]
     by_key = {h.key_hash: h for h in hot}
     assert by_key[names].left_splits == -(-left.where("key = 'hot'").count() // 15)
@@ -36,7 +36,7 @@ def test_hot_keys_are_found_on_both_sides(spark, sides):
 
 def test_inner_join_is_unchanged(sides):
     left, right = sides
-    hot = skew.find_hot(left, right, "key", rows_per_split=15)
+    hot = skew.find_hot(left, right, "key", per_split=15)
     got = skew.balanced_join(left, right, "key", "inner", hot, ["l"], ["r"])
     plain = left.join(right, "key")
     assert got.columns == plain.columns
@@ -47,14 +47,14 @@ def test_inner_join_is_unchanged(sides):
 def test_join_with_one_row_per_key_is_unchanged(sides, how):
     left, right = sides
     right = right.where("key <> 'k3'").groupBy("key").agg(F.max("r").alias("r"))
-    hot = skew.find_hot(left, None, "key", rows_per_split=15)
+    hot = skew.find_hot(left, None, "key", per_split=15)
     got = skew.balanced_join(left, right, "key", how, hot, ["l"])
     assert hot and rows_of(got) == rows_of(left.join(right, "key", how))
 
 
 def test_rows_of_a_hot_key_are_joined_by_several_tasks(spark, sides):
     left, right = sides
-    hot = skew.find_hot(left, right, "key", rows_per_split=15)
+    hot = skew.find_hot(left, right, "key", per_split=15)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.enabled": "false",
@@ -74,3 +74,10 @@ def test_rows_of_a_hot_key_are_joined_by_several_tasks(spark, sides):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_wide_rows_give_smaller_splits():
+    assert skew.rows_per_split(10) == skew.ROWS_PER_SPLIT
+    assert skew.rows_per_split(1024 * 1024) == 256
+    assert skew.rows_per_split(0) == skew.ROWS_PER_SPLIT
+    assert skew.rows_per_split(10**12) == 1

@@ -73,7 +73,9 @@ def reconcile(spark, args):
         result.reconciliation_summary,
         result.quality_summary,
         result.reason_breakdown,
-        result.duplicates,
+        result.bronze_duplicates,
+        result.reference_duplicates,
+        result.joined_duplicates,
     ):
         report.show(truncate=False)
 

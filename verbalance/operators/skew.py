@@ -13,9 +13,11 @@ from typing import NamedTuple
 
 from pyspark.sql import functions as F
 
-ROWS_PER_SPLIT = 1_000_000
-MAX_SPLITS = 4096
-MAX_HOT_KEYS = 1000
+ROWS_PER_SPLIT = 200_000
+BYTES_PER_SPLIT = 256 * 1024 * 1024
+MAX_SPLITS = 100_000
+# 16 bytes each, so the list takes at most 1.6 MB.
+MAX_HOT_KEYS = 100_000
 
 
 class HotKey(NamedTuple):
@@ -24,20 +26,25 @@ class HotKey(NamedTuple):
     right_splits: int
 
 
-def _splits(rows, rows_per_split):
-    wanted = F.ceil(rows / F.lit(rows_per_split))
+def rows_per_split(row_bytes):
+    """How many rows of that size one task should take."""
+    return max(1, min(ROWS_PER_SPLIT, int(BYTES_PER_SPLIT // max(row_bytes, 1))))
+
+
+def _splits(rows, per_split):
+    wanted = F.ceil(rows / F.lit(per_split))
     return F.greatest(F.lit(1), F.least(wanted, F.lit(MAX_SPLITS))).cast("int")
 
 
-def hot_from_counts(counts, key_hash, left_rows, right_rows, rows_per_split=ROWS_PER_SPLIT):
+def hot_from_counts(counts, key_hash, left_rows, right_rows, per_split=ROWS_PER_SPLIT):
     """Hot keys from a table with one row per key and its rows on each side."""
     heaviest = F.greatest(left_rows, right_rows)
     rows = (
-        counts.where(heaviest > rows_per_split)
+        counts.where(heaviest > per_split)
         .select(
             key_hash.alias("key_hash"),
-            _splits(left_rows, rows_per_split).alias("left_splits"),
-            _splits(right_rows, rows_per_split).alias("right_splits"),
+            _splits(left_rows, per_split).alias("left_splits"),
+            _splits(right_rows, per_split).alias("right_splits"),
             heaviest.alias("rows"),
         )
         .orderBy(F.desc("rows"))
@@ -48,13 +55,13 @@ def hot_from_counts(counts, key_hash, left_rows, right_rows, rows_per_split=ROWS
     return [HotKey(*row) for row in rows]
 
 
-def find_hot(left, right, key, rows_per_split=ROWS_PER_SPLIT):
+def find_hot(left, right, key, per_split=ROWS_PER_SPLIT):
     """Hot keys of a join; ``right=None`` says the right side has one row per key.
 
     A side with fewer rows than one split has none, so small tables are only counted.
     """
     sizes = [df.count() for df in (left, right) if df is not None]
-    if max(sizes) <= rows_per_split:
+    if max(sizes) <= per_split:
         return []
 
     def side(df, left_rows, right_rows):
@@ -71,7 +78,7 @@ def find_hot(left, right, key, rows_per_split=ROWS_PER_SPLIT):
         F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows")
     )
     return hot_from_counts(
-        counts, F.col("key_hash"), F.col("left_rows"), F.col("right_rows"), rows_per_split
+        counts, F.col("key_hash"), F.col("left_rows"), F.col("right_rows"), per_split
     )
 
 

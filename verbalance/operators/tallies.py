@@ -62,6 +62,11 @@ def stage_counts(tallies):
     )
 
 
+def side_duplicates(tallies, rows):
+    """Keys that occur more than once on one side; NULL counts as a key."""
+    return tallies.select("audio_id", F.col(rows).alias("count")).where("count > 1")
+
+
 def joined_duplicates(tallies):
     """Keys that occur more than once in the joined rows, in key order."""
     return (

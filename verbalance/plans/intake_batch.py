@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from verbalance import session
+from verbalance import fixed, session
 from verbalance.functions import measures, paths
 from verbalance.operators import intake, recognize, skew
 from verbalance.plans.run_audit import utc_now
@@ -74,8 +74,9 @@ def take_in(files, store, batch_id, make_recognizer, clock=None, started=None, m
         todo = files.join(todo.select("path"), "path", "left_semi")
     # A fixed number of tasks: the rows are small, the work per row is not.
     spread = todo.repartition(tasks, "path")
+    attempts_path = f"{work_path}/attempts"
     attempts = session.written(
-        recognize.transcribe(spread, make_recognizer, clock), f"{work_path}/attempts"
+        recognize.transcribe(spread, make_recognizer, clock), attempts_path
     )
 
     facts = intake.with_file_facts(attempts)
@@ -89,12 +90,13 @@ def take_in(files, store, batch_id, make_recognizer, clock=None, started=None, m
         "file_type",
         "file_size_bytes",
         F.lit(started).alias("ingestion_timestamp"),
-        F.lit("skipped").alias("status"),
+        F.lit(fixed.SKIPPED).alias("status"),
     )
-    outcome = session.written(
-        intake.with_batch_stamps(settled.unionByName(skipped, allowMissingColumns=True), batch_id),
-        f"{work_path}/outcome",
+    outcome = intake.with_batch_stamps(
+        settled.unionByName(skipped, allowMissingColumns=True), batch_id
     )
+    with session.shuffles_for(spark, session.stored_bytes(spark, attempts_path)):
+        outcome = session.written(outcome, f"{work_path}/outcome")
     write_batch(intake.bronze_records(outcome), store.bronze_path, batch_id)
     write_batch(intake.transcripts(outcome), store.transcripts_path, batch_id)
     write_batch(intake.audit_rows(outcome), store.audit_path, batch_id)

@@ -14,6 +14,10 @@ from verbalance.operators import quality, reconcile, skew, summaries, tallies
 from verbalance.plans.run_audit import audited_run, utc_now
 
 
+# About what one key and its counts take in a shuffle.
+KEY_BYTES = 100
+
+
 class QualityGateError(RuntimeError):
     """A strict run found duplicate keys."""
 
@@ -24,10 +28,13 @@ class Reconciliation(NamedTuple):
     bronze_checks: DataFrame
     gates: DataFrame
     stage_counts: DataFrame
-    duplicates: DataFrame
+    bronze_duplicates: DataFrame
+    reference_duplicates: DataFrame
+    joined_duplicates: DataFrame
     reconciliation_summary: DataFrame
     quality_summary: DataFrame
     reason_breakdown: DataFrame
+    deduplicated: DataFrame
 
 
 def run_reconciliation(
@@ -48,35 +55,49 @@ def run_reconciliation(
         run.record(bronze_record_count=seen["bronze_count"], silver_record_count=seen["silver_count"])
 
         # Written once, so that the database is read once and both passes see the same rows.
+        expected_path = f"{folder}/reference"
         reference = session.written(
-            reconcile.prepare_reference(load_reference()), f"{folder}/reference"
+            reconcile.prepare_reference(load_reference()), expected_path
         )
-        keys = session.written(tallies.key_tallies(bronze, reference), f"{folder}/key_tallies")
+        with session.shuffles_for(spark, KEY_BYTES * (seen["bronze_count"] + reference.count())):
+            keys = session.written(tallies.key_tallies(bronze, reference), f"{folder}/key_tallies")
         counts = session.written(tallies.stage_counts(keys), f"{folder}/stage_counts")
-        run.record(joined_record_count=counts.first()["joined_count"])
+        stages = counts.first()
+        run.record(joined_record_count=stages["joined_count"])
         gates = session.written(tallies.gate_results(keys), f"{folder}/gates")
         failed = [row["check_name"] for row in gates.where("not passed").collect()]
         if strict and failed:
             raise QualityGateError(f"duplicate keys: {', '.join(sorted(failed))}")
 
+        # Transcriptions are taken to be as long as the texts expected for them.
+        expected_bytes = session.stored_bytes(spark, expected_path)
+        row_bytes = expected_bytes / max(stages["reference_count"], 1)
         hot = skew.hot_from_counts(
             keys.where("audio_id is not null"),
             F.xxhash64("audio_id"),
             F.col("silver_rows"),
             F.col("reference_rows"),
+            skew.rows_per_split(row_bytes),
         )
-        joined = reconcile.join_expected(reconcile.silver(bronze), reference, hot)
-        gold = session.written(reconcile.gold(reconcile.validate(joined)), f"{folder}/gold")
+        silver = reconcile.silver(bronze)
+        joined = reconcile.join_expected(silver, reference, hot)
+        with session.shuffles_for(spark, expected_bytes + row_bytes * stages["silver_count"]):
+            gold = session.written(
+                reconcile.gold(reconcile.validate(joined)), f"{folder}/gold"
+            )
         run.record(final_record_count=gold.count())
 
         return Reconciliation(
-            run.run_id,
-            gold,
-            checks,
-            gates,
-            counts,
-            tallies.joined_duplicates(keys),
-            summaries.reconciliation_summary(gold),
-            summaries.quality_summary(gold),
-            summaries.reason_breakdown(gold),
+            run_id=run.run_id,
+            gold=gold,
+            bronze_checks=checks,
+            gates=gates,
+            stage_counts=counts,
+            bronze_duplicates=tallies.side_duplicates(keys, "bronze_rows"),
+            reference_duplicates=tallies.side_duplicates(keys, "reference_rows"),
+            joined_duplicates=tallies.joined_duplicates(keys),
+            reconciliation_summary=summaries.reconciliation_summary(gold),
+            quality_summary=summaries.quality_summary(gold),
+            reason_breakdown=summaries.reason_breakdown(gold),
+            deduplicated=reconcile.deduplicated(silver, reference),
         )

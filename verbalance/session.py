@@ -1,9 +1,14 @@
 """Session settings and the shared folder for written intermediate tables."""
 
+import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
 
 # Results depend on these two; the rest is left to the cluster's own defaults.
 REQUIRED = {
@@ -66,3 +71,26 @@ def spread(df, *keys):
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
+
+
+def stored_bytes(spark, path):
+    """Size of a written table, taken from its file listing."""
+    sizes = spark.read.format("binaryFile").load(path).agg(F.sum("length"))
+    return sizes.first()[0] or 0
+
+
+@contextmanager
+def shuffles_for(spark, size):
+    """Use enough shuffle partitions for ``size`` bytes, never fewer than configured.
+
+    Adaptive execution merges partitions that turn out small but splits none,
+    except for skew.
+    """
+    key = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(key)
+    needed = math.ceil(size / BYTES_PER_SHUFFLE_PARTITION)
+    spark.conf.set(key, str(max(int(configured), needed)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, configured)
