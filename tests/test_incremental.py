@@ -20,6 +20,8 @@ def test_each_start_takes_in_what_is_new(spark, tmp_path):
         rows = store.audit().collect()
         return sorted((r["audio_file"], r["status"]) for r in rows)
 
+    (drop / "below").mkdir()
+    (drop / "below" / "x.wav").write_bytes(b"not looked at")
     (drop / "a.wav").write_bytes(b"hello")
     (drop / "b.wav").write_bytes(b"poison")
     first = [("a.wav", "success"), ("b.wav", "failed")]

@@ -35,6 +35,8 @@ def drop(tmp_path):
         (folder / name).write_bytes(content)
     (folder / "below").mkdir()
     (folder / "below" / "x.wav").write_bytes(b"not looked at")
+    (folder / "day=1").mkdir()
+    (folder / "day=1" / "x.wav").write_bytes(b"not looked at")
     return folder
 
 
@@ -56,6 +58,10 @@ def test_discovery(spark, drop):
     found = files.discover(spark, str(drop))
     names = sorted(r["path"].rsplit("/", 1)[-1] for r in found.collect())
     assert names == ["a.wav", "b.MP3", "c.ogg", "d e.flac"]
+    for spelled in (f"{drop}/", f"file:{drop}", f"file://{drop}"):
+        assert files.discover(spark, spelled).count() == 4
+    with pytest.raises(files.NoAudioFound):
+        files.discover(spark, str(drop.parent))
     one = files.discover(spark, str(drop / "b.MP3")).collect()
     assert [r["length"] for r in one] == [6]
 

@@ -25,20 +25,36 @@ def audio_only(files):
     return files.where(paths.is_audio(F.col("path")))
 
 
-def discover(spark, location):
-    """``path, length`` of the audio files directly in ``location``, or of that one file.
+def _qualified(spark, location):
+    """The location as the ``path`` column spells it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString()
+
 
-    Only the listing is used: the content column is pruned from the scan.
+def _listed(reader, spark, location):
+    """``path, length`` of audio files that are, or are directly in, ``location``.
+
+    The source would take folders below for partitions, so it lists them as well
+    and their files are dropped here. The content column is pruned from the scan.
     """
+    root, path = _qualified(spark, location), F.col("path")
+    parent = F.left(path, F.length(path) - F.length(paths.file_name(path)) - F.lit(1))
+    return (
+        reader.option("pathGlobFilter", AUDIO_GLOB)
+        .option("recursiveFileLookup", True)
+        .load(location)
+        .select("path", "length")
+        .where((path == root) | (parent == root))
+        .transform(audio_only)
+    )
+
+
+def discover(spark, location):
+    """The audio files directly in ``location``, or that one file."""
     supported = ", ".join(fixed.AUDIO_EXTENSIONS)
     try:
-        found = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", AUDIO_GLOB)
-            .load(location)
-            .select("path", "length")
-            .transform(audio_only)
-        )
+        found = _listed(spark.read.format("binaryFile"), spark, location)
     except AnalysisException as error:
         raise NoAudioFound(f"input path not found: {location}") from error
     if found.isEmpty():
@@ -47,13 +63,6 @@ def discover(spark, location):
 
 
 def stream_audio(spark, location, max_files_per_trigger=100_000):
-    """The files of ``location`` as a stream; each micro-batch lists a bounded number."""
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(_BINARY_FILES)
-        .option("pathGlobFilter", AUDIO_GLOB)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(location)
-        .select("path", "length")
-        .transform(audio_only)
-    )
+    """The audio files of ``location`` as a stream; a micro-batch has a bounded number."""
+    reader = spark.readStream.format("binaryFile").schema(_BINARY_FILES)
+    return _listed(reader.option("maxFilesPerTrigger", max_files_per_trigger), spark, location)
