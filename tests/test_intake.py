@@ -181,16 +181,32 @@ def test_files_of_one_base_name(spark, outcomes, expected):
     assert [r[0] for r in got] == expected
 
 
-def test_prior_success_needs_an_id(spark):
+@pytest.mark.parametrize("few_files", [True, False])
+def test_prior_success_needs_an_id(spark, few_files):
     prior = spark.createDataFrame(
         [("a", "success", "1"), ("a", "success", "2"), ("b", "success", None),
-         ("c", "success", ""), ("d", "failed", "1")],
+         ("c", "success", ""), ("d", "failed", "1"), ("z", "success", "1")],
         "base_name string, status string, audio_id string",
     )
     found = spark.createDataFrame([(f"/d/{n}.wav", n) for n in "abcde"], "path string, base_name string")
-    assert rows_of(intake.pending(found, prior).select("base_name")) == [("b",), ("c",), ("d",), ("e",)]
-    assert rows_of(intake.already_done(found, prior).select("base_name")) == [("a",)]
-    assert rows_of(intake.mark_done(found, prior).where("done").select("path")) == [("/d/a.wav",)]
+    work = (found, prior, (), few_files)
+    assert rows_of(intake.pending(*work).select("base_name")) == [("b",), ("c",), ("d",), ("e",)]
+    assert rows_of(intake.already_done(*work).select("base_name")) == [("a",)]
+    marked = intake.mark_done(*work)
+    assert rows_of(marked.where("done").select("path")) == [("/d/a.wav",)]
+    assert marked.count() == 5
+
+
+def test_history_is_not_shuffled_for_few_files(spark, tmp_path, capsys):
+    path = str(tmp_path / "history")
+    spark.sql("select 'a' base_name, 'success' status, '1' audio_id").write.parquet(path)
+    found = spark.createDataFrame([("/d/a.wav", "a")], "path string, base_name string")
+    capsys.readouterr()
+    intake.completed_names(spark.read.parquet(path), found, few_files=True).explain()
+    plan = capsys.readouterr().out
+    # The first shuffle above the scan of the history comes after the semi join.
+    assert plan.index("Exchange hashpartitioning") < plan.index("LeftSemi") < plan.index("FileScan")
+    assert "Exchange hashpartitioning" not in plan[plan.index("LeftSemi") : plan.index("FileScan")]
 
 
 def test_content_id_is_sha256(spark):

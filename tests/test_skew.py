@@ -76,6 +76,21 @@ def test_rows_of_a_hot_key_are_joined_by_several_tasks(spark, sides):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_full_copies_are_spread_as_well(spark):
+    copies = spark.range(0, 400, 1, 8).selectExpr("'hot' as key", "1 as l")
+    right = spark.createDataFrame([("hot", 2)], "key string, r int")
+    hot = skew.find_hot(copies, right, "key", per_split=50)
+    joined = skew.balanced_join(copies, right, "key", "inner", hot, ["l"], ["r"])
+    assert rows_of(joined) == [("hot", 1, 2)] * 400
+    salted = skew._salted(
+        copies,
+        "key",
+        spark.createDataFrame([tuple(h) for h in hot], "_key_hash bigint, _ls int, _rs int"),
+        "_ls", "_rs", "_lsalt", "_rsalt", ["l"],
+    )
+    assert salted.select("_lsalt").distinct().count() > 1
+
+
 def test_wide_rows_give_smaller_splits():
     assert skew.rows_per_split(10) == skew.ROWS_PER_SPLIT
     assert skew.rows_per_split(1024 * 1024) == 256

@@ -36,18 +36,18 @@ def with_batch_stamps(files, batch_id):
 
 
 def completed_names(prior, files, few_files=False):
-    """Base names of ``files`` that have an earlier successful record with an id, each once.
+    """Base names that have an earlier successful record with an id, each once.
 
-    ``few_files`` says that the names of ``files`` fit a broadcast. The history
-    is then only scanned; otherwise both sides are shuffled by name.
+    ``few_files`` says that the names of ``files`` fit a broadcast. Then only
+    those names are looked for, and the history is scanned without a shuffle.
     """
-    names = files.select("base_name").distinct()
-    completed = prior.where((F.col("status") == fixed.SUCCESS) & (F.col("audio_id") != ""))
-    return (
-        completed.select("base_name")
-        .join(F.broadcast(names) if few_files else names, "base_name", "left_semi")
-        .distinct()
-    )
+    completed = prior.where(
+        (F.col("status") == fixed.SUCCESS) & (F.col("audio_id") != "")
+    ).select("base_name")
+    if few_files:
+        names = files.select("base_name").distinct()
+        completed = completed.join(F.broadcast(names), "base_name", "left_semi")
+    return completed.distinct()
 
 
 def _by_name(files, names, how, hot):

@@ -7,9 +7,9 @@ from verbalance.functions import labels, text
 from verbalance.operators import dedup, skew
 from verbalance.schemas import GOLD_COLUMNS
 
-# Columns that tell silver rows of one audio_id apart.
+# Columns that tell rows of one audio_id apart.
 SILVER_SPREAD = ("audio_file", "batch_id")
-REFERENCE_SPREAD = ("expected_transcription",)
+REFERENCE_SPREAD = ("_expected_file",)
 
 
 def with_audio_file(bronze):
@@ -30,19 +30,20 @@ def prepare_reference(table):
     return table.drop("created_at")
 
 
-def join_expected(silver_rows, reference, hot=(), reference_spread=REFERENCE_SPREAD):
+def join_expected(silver_rows, reference, hot=()):
     """Inner join on ``audio_id``; copies on either side multiply rows.
 
-    The file name of the silver side wins.
+    The file name of the silver side wins; that of the reference only tells its
+    rows apart and is not shuffled.
     """
     return skew.balanced_join(
         silver_rows,
-        reference.drop("audio_file"),
+        reference.withColumnRenamed("audio_file", "_expected_file"),
         "audio_id",
         hot=hot,
         left_spread=SILVER_SPREAD,
-        right_spread=reference_spread,
-    )
+        right_spread=REFERENCE_SPREAD,
+    ).drop("_expected_file")
 
 
 def validate(joined):
@@ -115,9 +116,7 @@ def validate_labels(silver_rows, reference, hot=()):
 
     Each side is reduced before the join, so the texts are never shuffled.
     """
-    joined = join_expected(
-        reduced_silver(silver_rows), reduced_reference(reference), hot, ("expected_print",)
-    )
+    joined = join_expected(reduced_silver(silver_rows), reduced_reference(reference), hot)
     return validate_reduced(joined)
 
 

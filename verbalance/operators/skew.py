@@ -5,8 +5,9 @@ keys are found on hashed keys only, so the pass moves 16 bytes per distinct key.
 At most ``MAX_HOT_KEYS`` are kept: any other key then holds less than one in
 ``MAX_HOT_KEYS`` of all rows and is joined as usual, with nothing left out.
 
-Rows of a hot key are spread over several splits by a hash of their own columns.
-A hash, unlike a random number, gives the same split when a lost task is rerun.
+Rows of a hot key are spread over several splits by a hash of their own columns
+and of the number of the partition they are read in, which tells full copies apart.
+Unlike a random number this gives the same split when a lost task is rerun.
 """
 
 from typing import NamedTuple
@@ -91,8 +92,9 @@ def _salted(df, key, hot, own, other, own_salt, other_salt, spread):
     )
     splits = F.coalesce(F.col(own), F.lit(1))
     every = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
+    place = F.xxhash64(*spread, F.spark_partition_id())
     return (
-        looked_up.withColumn(own_salt, F.pmod(F.xxhash64(*spread), splits).cast("int"))
+        looked_up.withColumn(own_salt, F.pmod(place, splits).cast("int"))
         .withColumn(other_salt, F.explode(every))
         .drop(own, other)
     )
