@@ -153,6 +153,30 @@ def test_model_that_cannot_be_loaded_fails_each_file(spark, drop):
     assert {(r["error"], r["error_type"]) for r in tried} == {("no model", "OSError")}
 
 
+def test_output_that_cannot_be_stored_fails_alone(spark):
+    def make():
+        outputs = {"0": "good", "1": b"bytes", "2": "\ud800", "3": None}
+
+        def recognize(content, path):
+            if path == "4":
+                raise ValueError("bad \ud800")
+            return outputs[path]
+
+        return recognize
+
+    frame = spark.range(5).selectExpr("cast(id as string) path", "1L length", "x'00' content")
+    tried = recognize.transcribe(frame, make)
+    assert rows_of(tried.select("path", "text", "error_type")) == [
+        ("0", "good", None),
+        ("1", None, "TypeError"),
+        ("2", None, "UnicodeEncodeError"),
+        ("3", None, None),
+        ("4", None, "ValueError"),
+    ]
+    checked = intake.validate_text(tried).where("path = '3'").first()
+    assert checked["error_type"] == "EmptyTranscription"
+
+
 def test_model_is_loaded_once_per_task(spark, tmp_path):
     log = str(tmp_path / "loads")
 

@@ -42,6 +42,12 @@ def transcribe(files, make_recognizer, clock=None):
             with system.open_input_stream(name) as stream:
                 return stream.read()
 
+        def storable(text):
+            if not isinstance(text, (str, type(None))):
+                raise TypeError(f"recognizer gave {type(text).__name__}, not text")
+            (text or "").encode("utf-8")
+            return text
+
         now = clock or utc_now
         recognizer = None
         names = [field.split()[0] for field in ATTEMPT_SCHEMA.split(", ")]
@@ -56,9 +62,10 @@ def transcribe(files, make_recognizer, clock=None):
                 audio_id = hashlib.sha256(content).hexdigest()
                 if recognizer is None:
                     recognizer = make_recognizer()
-                text = recognizer(content, path)
+                text = storable(recognizer(content, path))
             except Exception as problem:
-                error, error_type = str(problem), type(problem).__name__
+                error = str(problem).encode("utf-8", "replace").decode("utf-8")
+                error_type = type(problem).__name__
             return path, length, audio_id, started, now(), text, error, error_type
 
         for batch in batches:
