@@ -117,6 +117,10 @@ def test_second_batch_tries_failures_again_and_skips_the_rest(spark, drop, store
     assert rows_of(skipped) == [("a.wav", reason), ("d e.flac", reason)]
     # The failure stays in the history, and both batches are kept.
     assert store.bronze().where("audio_filename = 'b.MP3'").count() == 2
+    latest = store.latest()
+    assert latest.columns == store.bronze().columns
+    assert rows_of(latest.select("audio_filename", "status")) == [
+        ("a.wav", "success"), ("b.MP3", "success"), ("c.ogg", "failed"), ("d e.flac", "success")]
 
 
 def test_running_a_batch_again_replaces_it(spark, drop, store):

@@ -14,7 +14,7 @@ import argparse
 import importlib
 
 from verbalance import session
-from verbalance.plans.intake_batch import IntakeStore, run_intake
+from verbalance.plans.intake_batch import IntakeStore, latest_bronze, run_intake
 from verbalance.plans.reconciliation import run_reconciliation
 from verbalance.schemas import BRONZE
 from verbalance.sinks.datasets import dataset_appender
@@ -58,6 +58,8 @@ def reconcile(spark, args):
         print("unreadable records:", corrupt.count())
     else:
         bronze = records.read_dataset(spark, args.bronze, BRONZE)
+    if args.latest:
+        bronze = latest_bronze(bronze)
     if args.audit_table:
         append = table_appender(args.url, args.audit_table, **_pairs(args.option))
     else:
@@ -116,6 +118,7 @@ def parser():
     run = command(reconcile, database)
     run.add_argument("--bronze", required=True)
     run.add_argument("--json", action="store_true", help="bronze is a directory of JSON records")
+    run.add_argument("--latest", action="store_true", help="only the last record per base name")
     run.add_argument("--results", required=True)
     run.add_argument("--audit-table", help="append the audit row to this table of the database")
     run.add_argument("--strict", action="store_true", help="stop at duplicate keys")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from verbalance import fixed, session
 from verbalance.functions import measures, paths
-from verbalance.operators import intake, recognize, skew
+from verbalance.operators import dedup, intake, recognize, skew
 from verbalance.plans.run_audit import utc_now
 from verbalance.schemas import BRONZE, INTAKE_AUDIT
 from verbalance.sinks.datasets import write_batch
@@ -17,6 +17,11 @@ FILES_PER_TASK = 1000
 FEW_FILES = 200_000
 
 
+def latest_bronze(bronze):
+    name = paths.base_name(F.col("audio_filename"))
+    return dedup.latest_records(bronze, name).select(*BRONZE.names)
+
+
 class IntakeStore:
     """Where the datasets of intake are kept."""
 
@@ -31,6 +36,10 @@ class IntakeStore:
     def bronze(self):
         return read_dataset(self.spark, self.bronze_path, BRONZE)
 
+    def latest(self):
+        """The last record of each base name, as if each record replaced the one before."""
+        return latest_bronze(self.bronze())
+
     def audit(self):
         return read_dataset(self.spark, self.audit_path, INTAKE_AUDIT)
 
