@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
+from verbalance.plans.intake_batch import latest_bronze
 from verbalance.schemas import BRONZE, INTAKE_AUDIT, RUN_AUDIT
 from verbalance.sources import records
 
@@ -62,6 +63,11 @@ def test_legacy_directory_without_its_audit_array(spark, legacy, tmp_path):
     assert good.schema.names == BRONZE.names and (good.count(), bad.count()) == (4, 1)
 
 
+def test_records_without_a_name_are_not_taken_for_one(spark, legacy):
+    bronze = records.read_legacy_bronze(spark, str(legacy))
+    assert latest_bronze(bronze.unionByName(bronze)).count() == 4 * 2 + 1
+
+
 def test_dataset_that_is_not_there_yet(spark, tmp_path):
     got = records.read_audit_history(spark, str(tmp_path / "none"))
     assert got.schema == INTAKE_AUDIT and got.isEmpty()

@@ -15,11 +15,12 @@ def first_per_key(df, key, order):
 
 
 def latest_records(bronze, base_name):
-    """The last record written for each base name."""
+    """The last record written for each base name; records without a name are all kept."""
     named = bronze.withColumn("base_name", base_name)
     order = [
         F.desc_nulls_last("processing_timestamp"),
         F.desc_nulls_last("batch_id"),
         F.desc_nulls_last("audio_filename"),
     ]
-    return first_per_key(named, "base_name", order)
+    latest = first_per_key(named.where("base_name is not null"), "base_name", order)
+    return latest.unionByName(named.where("base_name is null"))
