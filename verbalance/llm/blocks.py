@@ -1,6 +1,7 @@
 """Pairs within buckets, in blocks of bounded size."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 BLOCK = 256
@@ -58,3 +59,24 @@ def pairs_in_runs(starts):
             j = i + 1 + np.arange(total) - np.repeat(upto[first:last] - upto[first], counts)
             yield i, j
         first = last
+
+
+def whole_units(batches, rows=50_000):
+    """Arrow batches of sorted units regrouped so that no unit is cut."""
+    names = ("bucket", "low", "high")
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        last = tuple(table.column(n)[-1].as_py() for n in names)
+        same = np.ones(table.num_rows, dtype=bool)
+        for n, v in zip(names, last):
+            same &= table.column(n).to_numpy() == v
+        cut = int(np.argmax(same))
+        held = table.slice(cut).combine_chunks().to_batches()
+        if cut:
+            yield table.slice(0, cut)
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held)

@@ -166,9 +166,7 @@ def _propose(batches):
 
     A pair is proposed in the first band it shares, so once.
     """
-    for table in _whole_units(batches):
-        if not table.num_rows:
-            continue
+    for table in blocks.whole_units(batches):
         column = {n: table.column(n).to_numpy() for n in ("bucket", "low", "high", "part", "id", "component")}
         sigs = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype="<u2").reshape(-1, MINIMA)
         starts = blocks.run_starts(column["bucket"], column["low"], column["high"])
@@ -195,26 +193,6 @@ def _propose(batches):
         )
 
 
-def _whole_units(batches, rows=50_000):
-    """Arrow batches of sorted units regrouped so that no unit is cut."""
-    names = ("bucket", "low", "high")
-    held = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) < rows:
-            continue
-        table = pa.Table.from_batches(held)
-        last = tuple(table.column(n)[-1].as_py() for n in names)
-        same = np.ones(table.num_rows, dtype=bool)
-        for n, v in zip(names, last):
-            same &= table.column(n).to_numpy() == v
-        cut = int(np.argmax(same))
-        held = table.slice(cut).combine_chunks().to_batches()
-        yield table.slice(0, cut)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def near_duplicates(docs, shingle_words=2, percent=PERCENT):
     """One row per document with the class of documents reachable by near-duplicate links.
 

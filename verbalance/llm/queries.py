@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from verbalance.llm import bpe, exact_dedup, line_dedup, minhash, mixing
+from verbalance.llm import bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,6 +23,10 @@ def op3_bpe(spark, sf_dir):
     return bpe.encode_decode(documents(spark, sf_dir), VOCABULARY)
 
 
+def op4_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
@@ -38,6 +42,7 @@ def op10_minhash(spark, sf_dir):
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_bpe": op3_bpe,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mixing": op5_mixing,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_minhash": op10_minhash,
