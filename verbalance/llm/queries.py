@@ -2,7 +2,18 @@
 
 import public_tokenizers
 
-from verbalance.llm import bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing
+from verbalance.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    html_text,
+    language,
+    line_dedup,
+    minhash,
+    mixing,
+    toxicity,
+    url_filter,
+)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -16,7 +27,11 @@ def documents(spark, sf_dir):
 
 
 def op1_line_dedup(spark, sf_dir):
-    return line_dedup.dedup_lines(documents(spark, sf_dir))
+    return line_dedup.dedup_lines(documents(spark, sf_dir)).drop("keep")
+
+
+def op2_toxicity(spark, sf_dir):
+    return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("spans")
 
 
 def op3_bpe(spark, sf_dir):
@@ -31,8 +46,21 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op6_language(spark, sf_dir):
+    return language.identify(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark, sf_dir):
-    return exact_dedup.exact_dedup(documents(spark, sf_dir))
+    return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("locator", "repeats")
+
+
+def op8_url_filter(spark, sf_dir):
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.drop("rate", "bound")
+
+
+def op9_html_text(spark, sf_dir):
+    return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
 def op10_minhash(spark, sf_dir):
@@ -40,10 +68,17 @@ def op10_minhash(spark, sf_dir):
 
 
 QUERIES = {
-    "op1_line_dedup": op1_line_dedup,
-    "op3_bpe": op3_bpe,
-    "op4_embedding_dedup": op4_embedding_dedup,
-    "op5_mixing": op5_mixing,
-    "op7_exact_dedup": op7_exact_dedup,
-    "op10_minhash": op10_minhash,
+    query.__name__: query
+    for query in (
+        op1_line_dedup,
+        op2_toxicity,
+        op3_bpe,
+        op4_embedding_dedup,
+        op5_mixing,
+        op6_language,
+        op7_exact_dedup,
+        op8_url_filter,
+        op9_html_text,
+        op10_minhash,
+    )
 }

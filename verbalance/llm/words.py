@@ -10,10 +10,25 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 # ASCII letters and digits, and every byte of a longer UTF-8 sequence.
 _ALNUM = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
+LETTERS = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def remembered(function, most=20_000):
+    """``function`` with its last results kept; unlike the library's cache it is shipped by value."""
+    known = {}
+
+    def call(*values):
+        if values not in known:
+            if len(known) >= most:
+                known.clear()
+            known[values] = function(*values)
+        return known[values]
+
+    return call
+
+
 def text_sizes(column):
     """Bytes of each text of an Arrow column; null counts 0."""
     return pc.fill_null(pc.binary_length(column), 0).to_pylist()
