@@ -5,7 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as driver
-from checks import compare
+from checks import compare, oracles
+from checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,10 +17,10 @@ def tables():
 
 
 def test_every_query_has_a_statement():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(oracles.statements())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
     frame = driver.queries()[name](spark, SF_DIR)
     assert compare.difference(frame, tables, driver.oracle_sql()[name]) is None
