@@ -38,6 +38,8 @@ def _streaming_session(spark):
     own.conf.set(f"{rocksdb}.changelogCheckpointing.enabled", "true")
     own.conf.set(f"{rocksdb}.boundedMemoryUsage", "true")
     own.conf.set(f"{rocksdb}.maxMemoryUsageMB", "256")
+    # Many small stores would each claim megabytes of disk ahead of use.
+    own.conf.set(f"{rocksdb}.allowFAllocate", "false")
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     return own
 
