@@ -2,7 +2,7 @@
 
 Documents of equal shingle sets form a class and go on as one. Bands of equal minima
 propose pairs: first each member with the two ends of its bucket, then, where a
-bucket still spans several components, all members across components, in blocks.
+bucket still spans several components, the members across components, in blocks.
 Signatures sort out pairs that cannot reach the threshold; full sets decide.
 """
 
@@ -123,8 +123,7 @@ def _confirm(size, percent):
                     if role == 0:
                         held, held_id = own, node
                         continue
-                    both = len(np.intersect1d(held, own, assume_unique=True))
-                    if 100 * both >= percent * (len(held) + len(own) - both):
+                    if _linked(held, own, percent):
                         left.append(held_id)
                         right.append(node)
                 yield pa.RecordBatch.from_arrays(
@@ -134,6 +133,16 @@ def _confirm(size, percent):
     return run
 
 
+def _texts_of(texts, rows):
+    """Texts without most of those that ``rows`` has no id of, before they are shuffled."""
+    ids = session.written(
+        rows.select("id").distinct(), session.scratch_path(rows.sparkSession, "near-ids")
+    )
+    if ids.count() <= BROADCAST_IDS:
+        return texts.join(F.broadcast(ids), "id", "left_semi")
+    return texts
+
+
 def _confirmed(pairs, texts, heads, size, percent):
     """The pairs ``a, b`` whose full sets reach the threshold.
 
@@ -149,11 +158,7 @@ def _confirmed(pairs, texts, heads, size, percent):
     needed = dealt.select("task", F.lit(1).alias("role"), F.col("b").alias("id")).unionByName(
         dealt.select("task", F.lit(0).alias("role"), F.col("a").alias("id")).distinct()
     )
-    ids = session.written(
-        needed.select("id").distinct(), session.scratch_path(pairs.sparkSession, "near-ids")
-    )
-    if ids.count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(ids), "id", "left_semi")
+    texts = _texts_of(texts, needed)
     rows = needed.join(heads.select("id", "text_key"), "id").join(texts, ["id", "text_key"])
     rows = rows.select("task", "role", "id", "text").repartition("task")
     return rows.sortWithinPartitions("task", "role").mapInArrow(
@@ -161,36 +166,101 @@ def _confirmed(pairs, texts, heads, size, percent):
     )
 
 
-def _propose(batches):
-    """Streams units of buckets: pairs across components that share enough minima.
+_UNIT = ["bucket", "low", "high"]
 
-    A pair is proposed in the first band it shares, so once.
+
+def _candidates(table):
+    """Index pairs of a table of whole units: across components, with enough equal minima.
+
+    A pair counts in the first band it shares, so in one unit.
     """
+    names = (*_UNIT, "part", "component")
+    column = {n: table.column(n).to_numpy() for n in names}
+    packed = b"".join(table.column("signature").to_pylist())
+    minima = np.frombuffer(packed, dtype="<u2").reshape(-1, MINIMA)
+    band = column["bucket"] & (BANDS - 1)
+    for i, j in blocks.pairs_in_runs(blocks.run_starts(*[column[n] for n in _UNIT])):
+        apart = (column["component"][i] != column["component"][j]) & (
+            (column["low"][i] == column["high"][i]) | (column["part"][i] != column["part"][j])
+        )
+        i, j = i[apart], j[apart]
+        for s in range(0, len(i), 100_000):
+            x, y = i[s : s + 100_000], j[s : s + 100_000]
+            equal = minima[x] == minima[y]
+            near = equal.mean(axis=1) >= LEAST_SHARED
+            x, y, equal = x[near], y[near], equal[near]
+            first = equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            here = first == band[x]
+            yield x[here], y[here]
+
+
+def _with_candidates(batches):
+    """The rows of units that have a candidate there; the pairs themselves do not leave."""
     for table in blocks.whole_units(batches):
-        column = {n: table.column(n).to_numpy() for n in ("bucket", "low", "high", "part", "id", "component")}
-        sigs = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype="<u2").reshape(-1, MINIMA)
-        starts = blocks.run_starts(column["bucket"], column["low"], column["high"])
-        found = {"a": [], "b": []}
-        for i, j in blocks.pairs_in_runs(starts):
-            part, component = column["part"], column["component"]
-            apart = (component[i] != component[j]) & (
-                (column["low"][i] == column["high"][i]) | (part[i] != part[j])
+        chosen = np.zeros(table.num_rows, dtype=bool)
+        for x, y in _candidates(table):
+            chosen[x] = chosen[y] = True
+        kept = table.filter(pa.array(chosen)).select([*_UNIT, "part", "id"])
+        yield from kept.combine_chunks().to_batches()
+
+
+def _confirm_units(size, percent):
+    """Compares the full sets of a unit's candidates, and tells the links that join it up.
+
+    A pair that links of the unit already join needs no comparison.
+    """
+
+    def run(batches):
+        for table in blocks.whole_units(batches, rows=2_000):
+            texts = table.column("text").to_pylist()
+            sets = []
+            for start, end in words.slabs([len(t or "") for t in texts], CHARS_AT_ONCE):
+                sets += shingle_sets([t or "" for t in texts[start:end]], size)
+            ids = table.column("id").to_pylist()
+            root = list(range(len(ids)))
+
+            def find(x):
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            left, right = [], []
+            for i, j in _candidates(table):
+                for x, y in zip(i.tolist(), j.tolist()):
+                    if find(x) == find(y) or not _linked(sets[x], sets[y], percent):
+                        continue
+                    root[find(x)] = find(y)
+                    left.append(min(ids[x], ids[y]))
+                    right.append(max(ids[x], ids[y]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]
             )
-            i, j = i[apart], j[apart]
-            for s in range(0, len(i), 100_000):
-                x, y = i[s : s + 100_000], j[s : s + 100_000]
-                equal = sigs[x] == sigs[y]
-                near = equal.mean(axis=1) >= LEAST_SHARED
-                x, y, equal = x[near], y[near], equal[near]
-                first = equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-                here = first == (column["bucket"][x] & (BANDS - 1))
-                found["a"].append(column["id"][x[here]])
-                found["b"].append(column["id"][y[here]])
-        a = np.concatenate(found["a"] or [np.zeros(0, np.int64)])
-        b = np.concatenate(found["b"] or [np.zeros(0, np.int64)])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-        )
+
+    return run
+
+
+def _linked(one, other, percent):
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(other) - both)
+
+
+def _by_unit(rows):
+    return rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT)
+
+
+def _more_edges(open_rows, heads, reached, texts, size, percent):
+    """Links across components within the buckets of ``open_rows``, found in blocks."""
+    payload = _with_component(heads, reached).select("id", "text_key", "signature", "component")
+    units = blocks.block_rows(open_rows).join(payload.drop("text_key"), "id")
+    rows = _by_unit(units).mapInArrow(
+        _with_candidates, "bucket bigint, low int, high int, part int, id bigint"
+    )
+    rows = session.written(rows, session.scratch_path(open_rows.sparkSession, "near-units"))
+    needed = rows.join(payload, "id").join(_texts_of(texts, rows), ["id", "text_key"])
+    return _by_unit(needed.drop("text_key")).mapInArrow(
+        _confirm_units(size, percent), "a bigint, b bigint"
+    )
 
 
 def near_duplicates(docs, shingle_words=2, percent=PERCENT):
@@ -255,19 +325,7 @@ def near_duplicates(docs, shingle_words=2, percent=PERCENT):
     open_rows = wide.join(spanning, "bucket", "left_semi").select("bucket", "id")
     open_rows = written(open_rows, "open")
     if not open_rows.isEmpty():
-        payload = _with_component(heads.select("id", "signature"), reached)
-        unit = ["bucket", "low", "high"]
-        proposed = (
-            blocks.block_rows(open_rows)
-            .join(payload, "id")
-            .select(*unit, "part", "id", "component", "signature")
-            .repartition(*unit)
-            .sortWithinPartitions(*unit)
-            .mapInArrow(_propose, "a bigint, b bigint")
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        proposed = written(proposed, "proposed")
-        more = _confirmed(proposed, own_texts, heads, shingle_words, percent)
+        more = _more_edges(open_rows, heads, reached, own_texts, shingle_words, percent)
         edges = edges.union(written(more, "more"))
         reached = written(graph.components(edges, "near-components"), "all")
 
