@@ -277,17 +277,34 @@ def _evidence(chance, bounds):
     return np.stack(columns, axis=1)
 
 
-def _calibrate(evidence, toxic, steps=25):
-    """Weights of a logistic curve from evidence to label, by Newton steps; the last is its level."""
+# More toxic tokens never speak against toxicity, and more tokens in all never for it.
+_SIGNS = np.array([1, 1, -1])
+
+
+def _calibrate(evidence, toxic):
+    """Weights of a logistic curve from evidence to label; the last is its level."""
     center, spread = evidence.mean(axis=0), evidence.std(axis=0) + 1e-6
-    x = np.column_stack(((evidence - center) / spread, np.ones(len(evidence))))
+    x = (evidence - center) / spread
+    used = list(range(x.shape[1]))
+    while True:
+        weights = _logistic(np.column_stack((x[:, used], np.ones(len(x)))), toxic)
+        fitting = [k for k, w in zip(used, weights) if w * _SIGNS[k] > 0]
+        if fitting == used:
+            break
+        used = fitting
+    curve = np.zeros(x.shape[1] + 1)
+    curve[used], curve[-1] = weights[:-1] / spread[used], weights[-1]
+    curve[-1] -= curve[:-1] @ center
+    return curve
+
+
+def _logistic(x, toxic, steps=25):
+    """Logistic regression with a unit ridge, by Newton steps."""
     weights = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
         slope = x.T @ (toxic - p) - weights
         weights += np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(len(weights)), slope)
-    weights[:-1] /= spread
-    weights[-1] -= weights[:-1] @ center
     return weights
 
 
