@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from verbalance.llm import samples, words
 
-SAMPLE_DOCUMENTS = 2000
-SAMPLE_BYTES = 12_000_000
+SAMPLE_DOCUMENTS = 1500
+SAMPLE_BYTES = 4_000_000
 # Bytes of the word beginnings that are features beside whole words.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 LEAST_DOCUMENTS = 3
@@ -48,9 +48,9 @@ class Tokens:
 def _lookup(vocabulary, hashes):
     """Place of each hash in the sorted vocabulary, counted from 1; 0 if it is not there."""
     if not len(vocabulary):
-        return np.zeros(len(hashes), dtype=np.int64)
+        return np.zeros(len(hashes), dtype=np.int32)
     at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, at + 1, 0)
+    return np.where(vocabulary[at] == hashes, at + 1, 0).astype(np.int32)
 
 
 def _features(tokens, vocabulary):
