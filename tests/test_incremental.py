@@ -1,22 +1,28 @@
+import os
+
 from tests.test_intake import recognizer_for_bytes
 from verbalance.plans.intake_batch import IntakeStore
 from verbalance.sources import files
 from verbalance.streaming import incremental
 
 
+def run_stream(spark, folder, store, checkpoint):
+    incremental.start_intake(
+        files.stream_audio(spark, str(folder)),
+        store,
+        str(checkpoint),
+        recognizer_for_bytes(),
+        min_tasks=1,
+    ).awaitTermination()
+
+
 def test_each_start_takes_in_what_is_new(spark, tmp_path):
     drop = tmp_path / "incoming"
     drop.mkdir()
     store = IntakeStore(spark, str(tmp_path / "store"))
 
     def start():
-        incremental.start_intake(
-            files.stream_audio(spark, str(drop)),
-            store,
-            str(tmp_path / "checkpoint"),
-            recognizer_for_bytes(),
-            min_tasks=1,
-        ).awaitTermination()
+        run_stream(spark, drop, store, tmp_path / "checkpoint")
         rows = store.audit().collect()
         return sorted((r["audio_file"], r["status"]) for r in rows)
 
@@ -31,10 +37,9 @@ def test_each_start_takes_in_what_is_new(spark, tmp_path):
     (drop / "b.mp3").write_bytes(b"fine")
     second = sorted([*first, ("a.mp3", "skipped"), ("b.mp3", "success")])
     assert start() == second
-    assert sorted(r["batch_id"] for r in store.audit().select("batch_id").distinct().collect()) == [
-        incremental.epoch_batch_id(0),
-        incremental.epoch_batch_id(1),
-    ]
+    ids = sorted(r["batch_id"] for r in store.audit().select("batch_id").distinct().collect())
+    assert [i.split("_")[-1] for i in ids] == ["000000000000", "000000000001"]
+    assert len({i.split("_")[1] for i in ids}) == 1
 
 
 def test_a_micro_batch_tried_again_is_not_doubled(spark, tmp_path):
@@ -45,5 +50,22 @@ def test_a_micro_batch_tried_again_is_not_doubled(spark, tmp_path):
         [("/d/a.wav", 5, bytearray(b"hello"))], "path string, length bigint, content binary"
     )
     for _ in range(2):
-        take_in(frame, store, incremental.epoch_batch_id(7), recognizer_for_bytes(), min_tasks=1)
+        take_in(frame, store, incremental.epoch_batch_id("q", 7), recognizer_for_bytes(), min_tasks=1)
     assert store.bronze().count() == store.audit().count() == 1
+
+
+def test_streams_into_one_store_keep_their_records_apart(spark, tmp_path):
+    """Two folders with a checkpoint each, and a file whose time is long past."""
+    store = IntakeStore(spark, str(tmp_path / "store"))
+    for name in ("a", "b"):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / f"{name}1.wav").write_bytes(name.encode())
+    for name in ("a", "b"):
+        run_stream(spark, tmp_path / name, store, tmp_path / f"checkpoint-{name}")
+    late = tmp_path / "a" / "old.wav"
+    late.write_bytes(b"old")
+    os.utime(late, (1, 1))
+    run_stream(spark, tmp_path / "a", store, tmp_path / "checkpoint-a")
+    names = [r["audio_filename"] for r in store.bronze().collect()]
+    assert sorted(names) == ["a1.wav", "b1.wav", "old.wav"]

@@ -240,3 +240,38 @@ def test_history_is_not_shuffled_for_few_files(spark, tmp_path, capsys):
 def test_content_id_is_sha256(spark):
     got = spark.sql("select cast('abc' as binary) c").select(intake.content_id(F.col("c"))).first()[0]
     assert got == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
+
+
+def test_two_runs_of_one_second_are_stored_apart(spark, drop, store):
+    from datetime import datetime
+
+    moment = datetime(2024, 1, 1)
+    for name in ("a.wav", "new.wav"):
+        (drop / name).write_bytes(name.encode())
+        intake_batch.run_intake(
+            spark, str(drop), store, recognizer_for_bytes(), now=lambda: moment
+        )
+    names = {r["audio_filename"] for r in store.bronze().where("status = 'success'").collect()}
+    assert {"a.wav", "new.wav"} <= names
+
+
+@pytest.mark.parametrize("broken", [0, 1, 2, 3])
+def test_a_run_that_breaks_off_is_made_up_for(spark, drop, store, monkeypatch, broken):
+    """Whichever write fails, the next run leaves every record, transcript and audit row."""
+    write, calls = intake_batch.write_batch, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == broken + 1:
+            raise OSError("disk gone")
+        write(*args)
+
+    monkeypatch.setattr(intake_batch, "write_batch", failing)
+    with pytest.raises(OSError):
+        run(spark, drop, store, "20240101_000000")
+    monkeypatch.setattr(intake_batch, "write_batch", write)
+    run(spark, drop, store, "20240102_000000")
+    done = {r["audio_filename"] for r in store.bronze().where("status = 'success'").collect()}
+    audited = {r["audio_file"] for r in store.audit().where("status = 'success'").collect()}
+    texts = {r["base_name"] for r in spark.read.parquet(store.transcripts_path).collect()}
+    assert done == audited == {"a.wav", "d e.flac"} and texts == {"a", "d e"}

@@ -1,5 +1,7 @@
 """One intake batch: found files to bronze records, transcripts, audit rows and move list."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from verbalance import fixed, session
@@ -106,20 +108,24 @@ def take_in(files, store, batch_id, make_recognizer, clock=None, started=None, m
     )
     with session.shuffles_for(spark, session.stored_bytes(spark, attempts_path)):
         outcome = session.written(outcome, f"{work_path}/outcome")
-    write_batch(intake.bronze_records(outcome), store.bronze_path, batch_id)
     write_batch(intake.transcripts(outcome), store.transcripts_path, batch_id)
     write_batch(intake.audit_rows(outcome), store.audit_path, batch_id)
     write_batch(intake.dispositions(outcome), store.moves_path, batch_id)
+    # Last, since bronze makes a file done: a run that breaks off before is made again in full.
+    write_batch(intake.bronze_records(outcome), store.bronze_path, batch_id)
     return intake.batch_summary(outcome)
 
 
 def run_intake(spark, location, store, make_recognizer, clock=None, now=utc_now):
-    """Take in a drop directory, or one file, as it is now."""
+    """Take in a drop directory, or one file, as it is now.
+
+    Two runs of one second are stored apart.
+    """
     moment = now()
     return take_in(
         file_source.discover(spark, location),
         store,
-        measures.batch_id(moment),
+        f"{measures.batch_id(moment)}_{uuid.uuid4().hex[:12]}",
         make_recognizer,
         clock,
         moment.isoformat(),

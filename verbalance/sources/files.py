@@ -63,6 +63,10 @@ def discover(spark, location):
 
 
 def stream_audio(spark, location, max_files_per_trigger=100_000):
-    """The audio files of ``location`` as a stream; a micro-batch has a bounded number."""
+    """The audio files of ``location`` as a stream; a micro-batch has a bounded number.
+
+    A file counts as new however old it is: copies often keep the time of their original.
+    """
     reader = spark.readStream.format("binaryFile").schema(_BINARY_FILES)
+    reader = reader.option("maxFileAge", "36500d")
     return _listed(reader.option("maxFilesPerTrigger", max_files_per_trigger), spark, location)

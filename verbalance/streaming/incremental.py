@@ -3,9 +3,12 @@
 from verbalance.plans.intake_batch import take_in
 
 
-def epoch_batch_id(epoch):
-    """The same id whenever a micro-batch is tried again, so its rows are replaced."""
-    return f"stream_{epoch:012d}"
+def epoch_batch_id(query_id, epoch):
+    """The same id whenever a micro-batch is tried again, so its rows are replaced.
+
+    The query's id is kept in its checkpoint, so streams into one store never meet.
+    """
+    return f"stream_{query_id}_{epoch:012d}"
 
 
 def start_intake(files, store, checkpoint, make_recognizer, clock=None, min_tasks=None):
@@ -17,9 +20,9 @@ def start_intake(files, store, checkpoint, make_recognizer, clock=None, min_task
     """
 
     def process(files, epoch):
-        take_in(
-            files, store, epoch_batch_id(epoch), make_recognizer, clock, min_tasks=min_tasks
-        )
+        context = files.sparkSession.sparkContext
+        batch_id = epoch_batch_id(context.getLocalProperty("sql.streaming.queryId"), epoch)
+        take_in(files, store, batch_id, make_recognizer, clock, min_tasks=min_tasks)
 
     return (
         files.writeStream.foreachBatch(process)
