@@ -148,6 +148,31 @@ def test_near_duplicates_in_large_families(spark):
     assert same(picked(found, *names), brute.near_duplicates(texts))
 
 
+def test_units_of_an_open_bucket_hold_each_pair_across_components_once(spark):
+    members = [(1, i, 0 if i < 40 else i) for i in range(52)] + [(2, i, i % 2) for i in range(6)]
+    component = {(bucket, i): c for bucket, i, c in members}
+    rows = spark.createDataFrame(members, "bucket bigint, id bigint, component bigint")
+    laid, units = minhash._open_units(rows, 5).collect(), {}
+    for row in laid:
+        units.setdefault((row.bucket, row.low, row.high), []).append((row.part, row.id))
+    met = [
+        (bucket, min(x, y), max(x, y))
+        for (bucket, low, high), own in units.items()
+        for k, (p, x) in enumerate(own)
+        for q, y in own[:k]
+        if (low == high or p != q) and component[bucket, x] != component[bucket, y]
+    ]
+    wanted = {
+        (b, min(x, y), max(x, y))
+        for b, x, c in members
+        for other, y, d in members
+        if b == other and c != d
+    }
+    assert len(met) == len(set(met)) and set(met) == wanted
+    # The 40 of the large component lie there once per part of the other 12.
+    assert sum(r.bucket == 1 and r.id < 40 for r in laid) == 40 * 3
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     docs = frame(spark, [(None, "a b"), (3, "a b"), (1, "A\tb"), (1, "A\tb"), (2, None)])
     found = minhash.near_duplicates(docs)

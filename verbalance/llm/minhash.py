@@ -26,6 +26,8 @@ LEAST_SHARED = 0.63
 CHARS_AT_ONCE = 4_000_000
 SHINGLES_AT_ONCE = 50_000
 MEMBERS_PER_TASK = 64
+# A unit of an open bucket holds two parts of about so many members.
+MEMBERS_PER_PART = 512
 # Ids are 8 bytes; a broadcast of so many takes about 32 MB.
 BROADCAST_IDS = 1_000_000
 
@@ -249,10 +251,52 @@ def _by_unit(rows):
     return rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT)
 
 
+def _open_units(open_rows, size=MEMBERS_PER_PART):
+    """``bucket, low, high, part, id`` from ``bucket, id, component``, as of ``blocks.block_rows``.
+
+    Members of a bucket's largest component need not meet each other. They have
+    parts of their own, each of which meets the parts of the rest only, so they
+    are laid out once per part of the rest and not once per part of the bucket.
+    """
+    own = open_rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    buckets = (
+        own.groupBy("bucket")
+        .agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("bulk"))
+        .select(
+            "bucket",
+            F.col("bulk.component").alias("bulk"),
+            F.ceil(F.col("bulk.n") / F.lit(size)).cast("int").alias("bulk_parts"),
+            F.ceil((F.col("n") - F.col("bulk.n")) / F.lit(size)).cast("int").alias("rest_parts"),
+        )
+        .where("rest_parts > 0")
+    )
+    in_bulk = F.col("component") == F.col("bulk")
+    place = F.xxhash64("id", F.lit(3))
+    dealt = open_rows.join(buckets, "bucket").select(
+        "bucket",
+        "id",
+        F.when(in_bulk, F.col("rest_parts") + F.pmod(place, "bulk_parts"))
+        .otherwise(F.pmod(place, "rest_parts"))
+        .cast("int")
+        .alias("part"),
+        F.when(in_bulk, F.col("rest_parts"))
+        .otherwise(F.col("rest_parts") + F.col("bulk_parts"))
+        .alias("partners"),
+    )
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("partners") - 1)))
+    return paired.select(
+        "bucket",
+        F.least("part", "other").alias("low"),
+        F.greatest("part", "other").alias("high"),
+        "part",
+        "id",
+    )
+
+
 def _more_edges(open_rows, heads, reached, texts, size, percent):
     """Links across components within the buckets of ``open_rows``, found in blocks."""
     payload = _with_component(heads, reached).select("id", "text_key", "signature", "component")
-    units = blocks.block_rows(open_rows).join(payload.drop("text_key"), "id")
+    units = _open_units(open_rows).join(payload.drop("text_key"), "id")
     rows = _by_unit(units).mapInArrow(
         _with_candidates, "bucket bigint, low int, high int, part int, id bigint"
     )
@@ -322,7 +366,7 @@ def near_duplicates(docs, shingle_words=2, percent=PERCENT):
         .agg(F.min("component").alias("x"), F.max("component").alias("y"))
         .where("x < y")
     )
-    open_rows = wide.join(spanning, "bucket", "left_semi").select("bucket", "id")
+    open_rows = wide.join(spanning, "bucket", "left_semi").select("bucket", "id", "component")
     open_rows = written(open_rows, "open")
     if not open_rows.isEmpty():
         more = _more_edges(open_rows, heads, reached, own_texts, shingle_words, percent)
