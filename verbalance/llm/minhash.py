@@ -169,6 +169,11 @@ def _confirmed(pairs, texts, heads, size, percent):
 
 
 _UNIT = ["bucket", "low", "high"]
+_FOUND = (
+    "bucket bigint, low int, high int, part int, id bigint, text_key bigint, component bigint, "
+    "signature binary"
+)
+_FOUND_NAMES = [field.split()[0] for field in _FOUND.split(", ")]
 
 
 def _candidates(table):
@@ -202,7 +207,7 @@ def _with_candidates(batches):
         chosen = np.zeros(table.num_rows, dtype=bool)
         for x, y in _candidates(table):
             chosen[x] = chosen[y] = True
-        kept = table.filter(pa.array(chosen)).select([*_UNIT, "part", "id"])
+        kept = table.filter(pa.array(chosen)).select(_FOUND_NAMES)
         yield from kept.combine_chunks().to_batches()
 
 
@@ -296,12 +301,10 @@ def _open_units(open_rows, size=MEMBERS_PER_PART):
 def _more_edges(open_rows, heads, reached, texts, size, percent):
     """Links across components within the buckets of ``open_rows``, found in blocks."""
     payload = _with_component(heads, reached).select("id", "text_key", "signature", "component")
-    units = _open_units(open_rows).join(payload.drop("text_key"), "id")
-    rows = _by_unit(units).mapInArrow(
-        _with_candidates, "bucket bigint, low int, high int, part int, id bigint"
-    )
+    units = _open_units(open_rows).join(payload, "id")
+    rows = _by_unit(units).mapInArrow(_with_candidates, _FOUND)
     rows = session.written(rows, session.scratch_path(open_rows.sparkSession, "near-units"))
-    needed = rows.join(payload, "id").join(_texts_of(texts, rows), ["id", "text_key"])
+    needed = rows.join(_texts_of(texts, rows), ["id", "text_key"])
     return _by_unit(needed.drop("text_key")).mapInArrow(
         _confirm_units(size, percent), "a bigint, b bigint"
     )
