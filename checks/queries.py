@@ -60,7 +60,14 @@ def _reference(spark, sf_dir):
 
 def _sides(spark, sf_dir):
     silver, reference = _silver(spark, sf_dir), _reference(spark, sf_dir)
-    return silver, reference, skew.find_hot(silver, reference, "audio_id")
+    hot = skew.find_hot(
+        silver,
+        reference,
+        "audio_id",
+        left_bytes=F.octet_length("transcription"),
+        right_bytes=F.octet_length("expected_transcription"),
+    )
+    return silver, reference, hot
 
 
 def _joined(spark, sf_dir):
@@ -113,14 +120,18 @@ def _all_attempts(spark, sf_dir):
 def _outcome(spark, sf_dir):
     """All audio files of a batch with their status, as intake writes them."""
     files, prior, hot = _work(spark, sf_dir)
-    marked = intake.mark_done(files, prior, hot)
+    # Decided on names; the rows that hold content are looked up by path.
+    marked = session.written(
+        intake.mark_done(files.drop("content"), prior, hot), session.scratch_path(spark, "marked")
+    )
+    todo = files.join(marked.where("not done").select("path"), "path", "left_semi")
     skipped = (
         marked.where("done")
         .withColumn("ingestion_timestamp", F.lit(fx.STARTED))
         .withColumn("status", F.lit(fixed.SKIPPED))
-        .drop("content", "doc_id", "done")
+        .drop("doc_id", "done")
     )
-    settled = intake.settle(_attempts(marked.where("not done")), hot)
+    settled = intake.settle(_attempts(todo), hot)
     return intake.with_batch_stamps(
         settled.unionByName(skipped, allowMissingColumns=True), fx.BATCH
     )

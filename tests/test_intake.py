@@ -139,14 +139,21 @@ def test_retry_without_any_success_leaves_no_old_transcript(spark, drop, store):
     ).isEmpty()
 
 
-def test_file_that_cannot_be_read_fails_alone(spark, drop):
+def test_file_that_cannot_be_read_gets_no_record(spark, drop, store):
     found = files.discover(spark, str(drop)).union(
         spark.createDataFrame([(f"file:{drop}/gone.wav", 1)], "path string, length bigint")
     )
-    tried = recognize.transcribe(found, recognizer_for_bytes()).collect()
-    gone = next(r for r in tried if r["path"].endswith("gone.wav"))
-    assert gone["error_type"] == "FileNotFoundError" and gone["audio_id"] is None
-    assert len(tried) == 5
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        intake_batch.take_in(found, store, "20240101_000000", recognizer_for_bytes())
+    assert store.bronze().isEmpty() and store.audit().isEmpty()
+
+
+def test_store_that_tasks_cannot_open_stops_the_run(spark, store):
+    found = spark.createDataFrame([("dbfs:/in/a.wav", 1)], "path string, length bigint")
+    with pytest.raises(recognize.UnsupportedStorage, match="dbfs"):
+        intake_batch.take_in(found, store, "20240101_000000", recognizer_for_bytes())
+    assert store.bronze().isEmpty()
+    recognize.check_storage(spark.sql("select 's3a://b/a.wav' path union all select '/in/b.wav'"))
 
 
 def test_model_that_cannot_be_loaded_fails_each_file(spark, drop):
@@ -209,15 +216,14 @@ def test_files_of_one_base_name(spark, outcomes, expected):
     assert [r[0] for r in got] == expected
 
 
-@pytest.mark.parametrize("few_files", [True, False])
-def test_prior_success_needs_an_id(spark, few_files):
+def test_prior_success_needs_an_id(spark):
     prior = spark.createDataFrame(
         [("a", "success", "1"), ("a", "success", "2"), ("b", "success", None),
          ("c", "success", ""), ("d", "failed", "1"), ("z", "success", "1")],
         "base_name string, status string, audio_id string",
     )
     found = spark.createDataFrame([(f"/d/{n}.wav", n) for n in "abcde"], "path string, base_name string")
-    work = (found, prior, (), few_files)
+    work = (found, prior)
     assert rows_of(intake.pending(*work).select("base_name")) == [("b",), ("c",), ("d",), ("e",)]
     assert rows_of(intake.already_done(*work).select("base_name")) == [("a",)]
     marked = intake.mark_done(*work)
@@ -228,9 +234,11 @@ def test_prior_success_needs_an_id(spark, few_files):
 def test_history_is_not_shuffled_for_few_files(spark, tmp_path, capsys):
     path = str(tmp_path / "history")
     spark.sql("select 'a' base_name, 'success' status, '1' audio_id").write.parquet(path)
-    found = spark.createDataFrame([("/d/a.wav", "a")], "path string, base_name string")
+    listed = str(tmp_path / "listed")
+    spark.sql("select '/d/a.wav' path, 'a' base_name").write.parquet(listed)
+    found = spark.read.parquet(listed)
     capsys.readouterr()
-    intake.completed_names(spark.read.parquet(path), found, few_files=True).explain()
+    intake.completed_names(spark.read.parquet(path), found).explain()
     plan = capsys.readouterr().out
     # The first shuffle above the scan of the history comes after the semi join.
     assert plan.index("Exchange hashpartitioning") < plan.index("LeftSemi") < plan.index("FileScan")

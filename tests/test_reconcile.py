@@ -83,7 +83,7 @@ def test_hot_keys_change_nothing(spark):
     bronze, reference = make_sides(spark, 5, 120, 60)
     silver = reconcile.silver(bronze)
     hot = skew.find_hot(silver, reference, "audio_id", per_split=10)
-    assert hot
+    assert hot is not None
     plain = reconcile.gold(reconcile.validate(reconcile.join_expected(silver, reference)))
     spread = reconcile.gold(reconcile.validate(reconcile.join_expected(silver, reference, hot)))
     assert rows_of(spread) == rows_of(plain)

@@ -28,10 +28,10 @@ def test_hot_keys_are_found_on_both_sides(spark, sides):
     left, right = sides
     hot = skew.find_hot(left, right, "key", per_split=15)
     names = spark.createDataFrame([("hot",)], "key string").select(F.xxhash64("key")).first()[0]
-    by_key = {h.key_hash: h for h in hot}
-    assert by_key[names].left_splits == -(-left.where("key = 'hot'").count() // 15)
-    assert by_key[names].right_splits == -(-right.where("key = 'hot'").count() // 15)
-    assert skew.find_hot(left, right, "key") == []
+    by_key = {h["_key_hash"]: h for h in hot.collect()}
+    assert by_key[names]["_ls"] == -(-left.where("key = 'hot'").count() // 15)
+    assert by_key[names]["_rs"] == -(-right.where("key = 'hot'").count() // 15)
+    assert skew.find_hot(left, right, "key") is None
 
 
 def test_inner_join_is_unchanged(sides):
@@ -49,7 +49,7 @@ def test_join_with_one_row_per_key_is_unchanged(sides, how):
     right = right.where("key <> 'k3'").groupBy("key").agg(F.max("r").alias("r"))
     hot = skew.find_hot(left, None, "key", per_split=15)
     got = skew.balanced_join(left, right, "key", how, hot, ["l"])
-    assert hot and rows_of(got) == rows_of(left.join(right, "key", how))
+    assert hot is not None and rows_of(got) == rows_of(left.join(right, "key", how))
 
 
 def test_rows_of_a_hot_key_are_joined_by_several_tasks(spark, sides):
@@ -85,12 +85,23 @@ def test_full_copies_are_spread_as_well(spark):
     salted = skew._salted(
         copies,
         "key",
-        spark.createDataFrame([tuple(h) for h in hot], "_key_hash bigint, _ls int, _rs int"),
+        hot,
         "_ls", "_rs", "_lsalt", "_rsalt", ["l"],
     )
     assert salted.select("_lsalt").distinct().count() > 1
 
 
+def test_few_wide_rows_are_split_by_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BYTES_PER_SPLIT", 1000)
+    left = spark.createDataFrame([("hot", "x" * 500)] * 9 + [("k", None)], "key string, l string")
+    right = spark.createDataFrame([("hot", 1), ("k", 2)], "key string, r int")
+    assert skew.find_hot(left, right, "key") is None
+    hot = skew.find_hot(left, right, "key", left_bytes=F.octet_length("l"))
+    assert [(h["_ls"], h["_rs"]) for h in hot.collect()] == [(5, 1)]
+    got = skew.balanced_join(left, right, "key", "inner", hot, ["l"], ["r"])
+    assert rows_of(got) == rows_of(left.join(right, "key"))
+
+
 def test_wide_rows_give_smaller_splits():
     assert skew.rows_per_split(10) == skew.ROWS_PER_SPLIT
     assert skew.rows_per_split(1024 * 1024) == 256

@@ -16,11 +16,13 @@ def first_per_key(df, key, order):
 
 def latest_records(bronze, base_name):
     """The last record written for each base name; records without a name are all kept."""
-    named = bronze.withColumn("base_name", base_name)
+    # Records without a name are keys of their own, so that one scan serves both kinds.
+    named = bronze.withColumn("base_name", base_name).withColumn(
+        "_own", F.when(F.col("base_name").isNull(), F.monotonically_increasing_id())
+    )
     order = [
         F.desc_nulls_last("processing_timestamp"),
         F.desc_nulls_last("batch_id"),
         F.desc_nulls_last("audio_filename"),
     ]
-    latest = first_per_key(named.where("base_name is not null"), "base_name", order)
-    return latest.unionByName(named.where("base_name is null"))
+    return first_per_key(named, ["base_name", "_own"], order).drop("_own")

@@ -35,44 +35,42 @@ def with_batch_stamps(files, batch_id):
     )
 
 
-def completed_names(prior, files, few_files=False):
-    """Base names that have an earlier successful record with an id, each once.
+def completed_names(prior, files):
+    """Base names of ``files`` that have an earlier successful record with an id, each once.
 
-    ``few_files`` says that the names of ``files`` fit a broadcast. Then only
-    those names are looked for, and the history is scanned without a shuffle.
+    If ``files`` is a written table that Spark finds small enough to broadcast, the
+    history is scanned without a shuffle.
     """
     completed = prior.where(
         (F.col("status") == fixed.SUCCESS) & (F.col("audio_id") != "")
     ).select("base_name")
-    if few_files:
-        names = files.select("base_name").distinct()
-        completed = completed.join(F.broadcast(names), "base_name", "left_semi")
-    return completed.distinct()
+    names = files.select("base_name").distinct()
+    return completed.join(names, "base_name", "left_semi").distinct()
 
 
 def _by_name(files, names, how, hot):
     return skew.balanced_join(files, names, "base_name", how, hot=hot, left_spread=("path",))
 
 
-def pending(files, prior, hot=(), few_files=False):
+def pending(files, prior, hot=None):
     """Files still to be recognized."""
-    return _by_name(files, completed_names(prior, files, few_files), "left_anti", hot)
+    return _by_name(files, completed_names(prior, files), "left_anti", hot)
 
 
-def already_done(files, prior, hot=(), few_files=False):
+def already_done(files, prior, hot=None):
     """Files to be skipped because of an earlier record."""
-    return _by_name(files, completed_names(prior, files, few_files), "left_semi", hot)
+    return _by_name(files, completed_names(prior, files), "left_semi", hot)
 
 
-def mark_done(files, prior, hot=(), few_files=False):
+def mark_done(files, prior, hot=None):
     """All files with a flag ``done``: pending and skipped ones in one join."""
-    names = completed_names(prior, files, few_files).withColumn("done", F.lit(True))
+    names = completed_names(prior, files).withColumn("done", F.lit(True))
     return _by_name(files, names, "left", hot).withColumn(
         "done", F.coalesce("done", F.lit(False))
     )
 
 
-def settle(attempts, hot=()):
+def settle(attempts, hot=None):
     """The outcome of files that share a base name within one batch.
 
     Files count in path order: up to the first success they have failed, after it

@@ -1,14 +1,48 @@
 """Batch recognition: bytes to text with any recognizer, one Arrow batch at a time."""
 
+from pyspark.sql import functions as F
+
 ATTEMPT_SCHEMA = (
     "path string, length bigint, audio_id string, ingestion_timestamp string, "
     "processing_timestamp string, text string, error string, error_type string"
 )
 ROWS_PER_OUTPUT_BATCH = 64
+# The schemes tasks can open, by the name Arrow knows them under.
+ARROW_SCHEMES = {
+    "file": "file",
+    "s3": "s3",
+    "s3a": "s3",
+    "s3n": "s3",
+    "gs": "gs",
+    "abfs": "abfs",
+    "abfss": "abfss",
+    "hdfs": "hdfs",
+    "viewfs": "viewfs",
+}
+
+
+class UnsupportedStorage(ValueError):
+    """Files lie in a store that tasks cannot open."""
+
+
+def check_storage(files):
+    """Raise before any file is opened if a path has a scheme that tasks cannot open."""
+    scheme = F.when(F.col("path").startswith("/"), F.lit("file")).otherwise(
+        F.substring_index("path", ":", 1)
+    )
+    other = files.select(scheme.alias("scheme")).where(~F.col("scheme").isin(*ARROW_SCHEMES))
+    found = other.first()
+    if found:
+        raise UnsupportedStorage(
+            f"cannot open {found['scheme']!r}; supported: {', '.join(ARROW_SCHEMES)}"
+        )
 
 
 def transcribe(files, make_recognizer, clock=None):
-    """Recognize each file; a file that fails gives a row with its error.
+    """Recognize each file; a file that the recognizer cannot take gives a row with its error.
+
+    A file that cannot be read fails the task instead: a fault of the storage says
+    nothing about the file, which then gets no record.
 
     ``files`` has ``path, length`` and may have ``content``. Without it a task
     opens each path itself, so audio is read where it is recognized and is never
@@ -17,6 +51,7 @@ def transcribe(files, make_recognizer, clock=None):
     string. Both must be picklable.
     """
     columns = [c for c in ("path", "length", "content") if c in files.columns]
+    schemes = dict(ARROW_SCHEMES)
     has_content = "content" in columns
 
     # Everything the task needs is defined or imported in here, so that it is
@@ -38,7 +73,9 @@ def transcribe(files, make_recognizer, clock=None):
             elif path.startswith("file:"):
                 system, name = fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
             else:
-                system, name = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+                scheme, rest = path.split(":", 1)
+                uri = f"{schemes.get(scheme, scheme)}:{quote(rest, safe=':/@')}"
+                system, name = fs.FileSystem.from_uri(uri)
             with system.open_input_stream(name) as stream:
                 return stream.read()
 
@@ -56,10 +93,10 @@ def transcribe(files, make_recognizer, clock=None):
 
         def attempt(path, length, content):
             nonlocal recognizer
-            started, audio_id, text, error, error_type = now(), None, None, None, None
+            started, text, error, error_type = now(), None, None, None
+            content = read(path) if not has_content else content
+            audio_id = hashlib.sha256(content).hexdigest()
             try:
-                content = read(path) if not has_content else content
-                audio_id = hashlib.sha256(content).hexdigest()
                 if recognizer is None:
                     recognizer = make_recognizer()
                 text = storable(recognizer(content, path))

@@ -30,7 +30,7 @@ def prepare_reference(table):
     return table.drop("created_at")
 
 
-def join_expected(silver_rows, reference, hot=()):
+def join_expected(silver_rows, reference, hot=None):
     """Inner join on ``audio_id``; copies on either side multiply rows.
 
     The file name of the silver side wins; that of the reference only tells its
@@ -111,7 +111,7 @@ def validate_reduced(joined):
     )
 
 
-def validate_labels(silver_rows, reference, hot=()):
+def validate_labels(silver_rows, reference, hot=None):
     """The labels and counts of :func:`validate` without the texts.
 
     Each side is reduced before the join, so the texts are never shuffled.

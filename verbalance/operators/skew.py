@@ -1,30 +1,21 @@
 """Joins that stay balanced when a few keys hold a large share of the rows.
 
-A key is hot when one side has more rows of it than one task should handle. Hot
-keys are found on hashed keys only, so the pass moves 16 bytes per distinct key.
-At most ``MAX_HOT_KEYS`` are kept: any other key then holds less than one in
-``MAX_HOT_KEYS`` of all rows and is joined as usual, with nothing left out.
+A key is hot when one side has more rows or bytes of it than one task should handle.
+Hot keys are found on hashed keys only, so the pass moves a few numbers per distinct
+key. They are kept as a written table, of any length, that Spark broadcasts or
+shuffles by its size; nothing is collected.
 
 Rows of a hot key are spread over several splits by a hash of their own columns
 and of the number of the partition they are read in, which tells full copies apart.
 Unlike a random number this gives the same split when a lost task is rerun.
 """
 
-from typing import NamedTuple
-
 from pyspark.sql import functions as F
 
+from verbalance import session
+
 ROWS_PER_SPLIT = 200_000
 BYTES_PER_SPLIT = 256 * 1024 * 1024
-MAX_SPLITS = 100_000
-# 16 bytes each, so the list takes at most 1.6 MB.
-MAX_HOT_KEYS = 100_000
-
-
-class HotKey(NamedTuple):
-    key_hash: int
-    left_splits: int
-    right_splits: int
 
 
 def rows_per_split(row_bytes):
@@ -32,54 +23,61 @@ def rows_per_split(row_bytes):
     return max(1, min(ROWS_PER_SPLIT, int(BYTES_PER_SPLIT // max(row_bytes, 1))))
 
 
-def _splits(rows, per_split):
-    wanted = F.ceil(rows / F.lit(per_split))
-    return F.greatest(F.lit(1), F.least(wanted, F.lit(MAX_SPLITS))).cast("int")
+def _splits(rows, size, per_split):
+    by_rows, by_size = F.ceil(rows / F.lit(per_split)), F.ceil(size / F.lit(BYTES_PER_SPLIT))
+    return F.greatest(F.lit(1), by_rows, by_size).cast("int")
 
 
-def hot_from_counts(counts, key_hash, left_rows, right_rows, per_split=ROWS_PER_SPLIT):
-    """Hot keys from a table with one row per key and its rows on each side."""
-    heaviest = F.greatest(left_rows, right_rows)
-    rows = (
-        counts.where(heaviest > per_split)
-        .select(
-            key_hash.alias("key_hash"),
-            _splits(left_rows, per_split).alias("left_splits"),
-            _splits(right_rows, per_split).alias("right_splits"),
-            heaviest.alias("rows"),
-        )
-        .orderBy(F.desc("rows"))
-        .limit(MAX_HOT_KEYS)
-        .drop("rows")
-        .collect()
-    )
-    return [HotKey(*row) for row in rows]
+def hot_from_counts(
+    counts, key_hash, left_rows, right_rows, per_split=ROWS_PER_SPLIT, left_bytes=None, right_bytes=None
+):
+    """Hot keys from a table with one row per key and its rows and bytes on each side.
+
+    Returns a written table of hashed keys and splits, or None if no key is hot.
+    """
+    none = F.lit(0)
+    hot = counts.select(
+        key_hash.alias("_key_hash"),
+        _splits(left_rows, none if left_bytes is None else left_bytes, per_split).alias("_ls"),
+        _splits(right_rows, none if right_bytes is None else right_bytes, per_split).alias("_rs"),
+    ).where("_ls > 1 or _rs > 1")
+    hot = session.written(hot, session.scratch_path(counts.sparkSession, "hot-keys"))
+    return None if hot.isEmpty() else hot
 
 
-def find_hot(left, right, key, per_split=ROWS_PER_SPLIT):
+def find_hot(left, right, key, per_split=ROWS_PER_SPLIT, left_bytes=None, right_bytes=None):
     """Hot keys of a join; ``right=None`` says the right side has one row per key.
 
-    A side with fewer rows than one split has none, so small tables are only counted.
+    ``left_bytes`` and ``right_bytes`` are columns that tell what a row takes, where
+    rows are wide. Sides that fit one split as a whole have none and are only measured.
     """
-    sizes = [df.count() for df in (left, right) if df is not None]
-    if max(sizes) <= per_split:
-        return []
+    none = F.lit(0)
+    sizes = [none if size is None else F.coalesce(size, none) for size in (left_bytes, right_bytes)]
+    sides = [(df, size) for df, size in zip((left, right), sizes) if df is not None]
+    totals = [df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), none)).first() for df, size in sides]
+    if all(rows <= per_split and size <= BYTES_PER_SPLIT for rows, size in totals):
+        return None
+
+    names = ("left_rows", "left_bytes", "right_rows", "right_bytes")
 
-    def side(df, left_rows, right_rows):
+    def side(df, *values):
+        values = [F.lit(0).cast("bigint") if v is None else v.cast("bigint") for v in values]
         return df.select(
-            F.xxhash64(key).alias("key_hash"),
-            F.lit(left_rows).alias("left_rows"),
-            F.lit(right_rows).alias("right_rows"),
+            F.xxhash64(key).alias("key_hash"), *[v.alias(n) for v, n in zip(values, names)]
         )
 
-    sides = side(left, 1, 0)
+    both = side(left, F.lit(1), sizes[0], None, None)
     if right is not None:
-        sides = sides.unionByName(side(right, 0, 1))
-    counts = sides.groupBy("key_hash").agg(
-        F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows")
-    )
+        both = both.unionByName(side(right, None, None, F.lit(1), sizes[1]))
+    counts = both.groupBy("key_hash").agg(*[F.sum(n).alias(n) for n in names])
     return hot_from_counts(
-        counts, F.col("key_hash"), F.col("left_rows"), F.col("right_rows"), per_split
+        counts,
+        F.col("key_hash"),
+        F.col("left_rows"),
+        F.col("right_rows"),
+        per_split,
+        F.col("left_bytes"),
+        F.col("right_bytes"),
     )
 
 
@@ -87,7 +85,7 @@ def _salted(df, key, hot, own, other, own_salt, other_salt, spread):
     """Put each row in one of its own splits and in every split of the other side."""
     looked_up = (
         df.withColumn("_key_hash", F.xxhash64(key))
-        .join(F.broadcast(hot), "_key_hash", "left")
+        .join(hot, "_key_hash", "left")
         .drop("_key_hash")
     )
     splits = F.coalesce(F.col(own), F.lit(1))
@@ -100,19 +98,16 @@ def _salted(df, key, hot, own, other, own_salt, other_salt, spread):
     )
 
 
-def balanced_join(left, right, key, how="inner", hot=(), left_spread=(), right_spread=()):
+def balanced_join(left, right, key, how="inner", hot=None, left_spread=(), right_spread=()):
     """``left.join(right, key, how)`` with the rows of hot keys spread out.
 
     The spread columns tell rows of one key apart. For any join but an inner one
     the right side must hold one row per key.
     """
-    if not hot:
+    if hot is None:
         return left.join(right, key, how)
     if how != "inner":
-        hot = [h._replace(right_splits=1) for h in hot]
-    listed = left.sparkSession.createDataFrame(
-        [tuple(h) for h in hot], "_key_hash bigint, _ls int, _rs int"
-    )
-    left = _salted(left, key, listed, "_ls", "_rs", "_lsalt", "_rsalt", left_spread or [key])
-    right = _salted(right, key, listed, "_rs", "_ls", "_rsalt", "_lsalt", right_spread or [key])
+        hot = hot.withColumn("_rs", F.lit(1))
+    left = _salted(left, key, hot, "_ls", "_rs", "_lsalt", "_rsalt", left_spread or [key])
+    right = _salted(right, key, hot, "_rs", "_ls", "_rsalt", "_lsalt", right_spread or [key])
     return left.join(right, [key, "_lsalt", "_rsalt"], how).drop("_lsalt", "_rsalt")

@@ -15,8 +15,6 @@ from verbalance.sources.records import read_dataset
 
 BYTES_PER_TASK = 256 * 1024 * 1024
 FILES_PER_TASK = 1000
-# A file name has at most 255 bytes, so this many take at most 51 MB.
-FEW_FILES = 200_000
 
 
 def latest_bronze(bronze):
@@ -71,20 +69,25 @@ def take_in(files, store, batch_id, make_recognizer, clock=None, started=None, m
     spark = files.sparkSession
     started = started or utc_now().isoformat()
     work_path = f"{store.work_path}/batch_id={batch_id}"
-    listed = files.select("path", "length").transform(intake.with_file_facts)
-
-    few_files = listed.count() <= FEW_FILES
-    # One key of a small batch cannot hold too many rows for a task.
-    hot = [] if few_files else skew.find_hot(listed, None, "base_name")
+    if "content" not in files.columns:
+        recognize.check_storage(files)
+    # Written, so that Spark knows its size when it plans the join with the history.
+    listed = session.written(
+        files.select("path", "length").transform(intake.with_file_facts), f"{work_path}/found"
+    )
+    hot = skew.find_hot(listed, None, "base_name")
     work = session.written(
-        intake.mark_done(listed, store.prior(batch_id), hot, few_files), f"{work_path}/list"
+        intake.mark_done(listed, store.prior(batch_id), hot), f"{work_path}/list"
     )
     todo = work.where("not done")
-    tasks = max(_task_count(todo), min_tasks or spark.sparkContext.defaultParallelism)
     if "content" in files.columns:
-        todo = files.join(todo.select("path"), "path", "left_semi")
-    # A fixed number of tasks: the rows are small, the work per row is not.
-    spread = todo.repartition(tasks, "path")
+        # The decisions are joined to the rows that hold content; those stay in their partitions
+        # wherever Spark can broadcast the decisions.
+        spread = files.join(todo.select("path"), "path", "left_semi")
+    else:
+        # A fixed number of tasks: the rows are small, the work per row is not.
+        tasks = max(_task_count(todo), min_tasks or spark.sparkContext.defaultParallelism)
+        spread = todo.repartition(tasks, "path")
     attempts_path = f"{work_path}/attempts"
     attempts = session.written(
         recognize.transcribe(spread, make_recognizer, clock), attempts_path
