@@ -377,6 +377,39 @@ def test_html_text(spark):
     assert all(n == len(t) for t, n in found.values())
 
 
+def html_rows(spark, bodies, host="a.b"):
+    rows = [(k, f"http://{host}/{k}", page(body)) for k, body in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()}
+
+
+def test_html_text_compares_texts_within_articles(spark):
+    stories = [f"story {k} " + f"{k} words of it " * 20 for k in range(6)]
+    note = "<div class=x><p>We value you</p></div>"
+    found = html_rows(spark, [f"<article>{note}<p>{s}</p><p>The end</p></article>" for s in stories])
+    assert found == {k: s.strip() for k, s in enumerate(stories)}
+
+
+def test_html_text_takes_the_slot_from_the_classes(spark):
+    menu = "<div class=a>" + "".join(f"<p>Category number {k}</p>" for k in range(8)) + "</div>"
+    stories = [f"story {k} " + f"{k} words of it " * 20 for k in range(5)]
+    # Shared by most pages, without an element that comes and goes with it.
+    passage = "<p>a passage that most pages quote</p>"
+    bodies = [f"{menu}<div class=b><p>{s}</p>{passage if k else ''}</div>" for k, s in enumerate(stories)]
+    found = html_rows(spark, bodies)
+    assert found[0] == stories[0].strip()
+    assert all(found[k] == f"{stories[k].strip()}\n\na passage that most pages quote" for k in range(1, 5))
+
+
+def test_html_template_leaves_out_what_changes_places():
+    def member(token, vector, least=0, most=0, mass=0, varying=0):
+        return dict(token=token, vector=vector, least=least, most=most, mass=mass, varying=varying)
+
+    fixed = [member("", 1), member("/div", 1, 1, 1, 90, 50), member("/p.x", 2, 0, 0, 500, 400)]
+    moved = [member("/div/ul", 1, 2, 3, 60, 50), member("/div\nt", 1, 4, 4), member("/div\nu", 3)]
+    assert html_text.deduce(fixed + moved) == ("/div", {"/div\nt"})
+
+
 def test_html_text_of_the_table(spark):
     import html
 

@@ -1,15 +1,19 @@
 """Main text of web pages by deducing the template of each host.
 
-Tokens are the elements of a page, named by their path, and the texts outside of
-articles. Tokens that occur equally often on each page of a host form an equivalence class.
-Classes that hold on most of a host's pages are its template: their texts are
-constant, and the element of theirs that holds most text is the slot of the article.
-Occurrence vectors are never laid out: equal vectors have equal hashes, which are
-combined in each task before the shuffle.
+Tokens are the page itself, its elements, named by their path, and its texts. Tokens that occur
+equally often on each page of a host form an equivalence class. Classes of two tokens or more
+that hold on half of a host's pages are its template, without the tokens that
+change places within their class. A text is constant if its element is in the same class, and
+the slot of the article is the template's element that holds most text which is not; an element's
+name weighs as well (``_worth``). Elements that are page furniture by their kind or name are
+left out before. Occurrence vectors are never laid out: equal vectors have equal hashes,
+which are combined in each task before the shuffle.
 """
 
+import hashlib
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -79,7 +83,8 @@ def _element(tag, attributes):
 
 
 def parse(page):
-    """Blocks ``(path, furniture, text)`` of a page in order, and the paths of its elements.
+    """Blocks ``(path, furniture, text, elements opened before)`` of a page in order, and the
+    paths of its elements.
 
     An end tag closes the innermost open element of its name; one without any is ignored.
     """
@@ -91,7 +96,7 @@ def parse(page):
         if pieces:
             text = _BLANKS.sub(" ", html.unescape("".join(pieces))).strip(" ")
             if text:
-                blocks.append((stack[-1][1], stack[-1][2], text))
+                blocks.append((stack[-1][1], stack[-1][2], text, len(opened)))
             pieces.clear()
 
     while at < end:
@@ -151,31 +156,53 @@ def _worth(path):
     return 1.5 if not CONTENT_NAMES.isdisjoint(label.split(".")) else 1.0
 
 
-def _masses(blocks):
-    """Characters of text within each element, furniture left out."""
+def _masses(texts):
+    """Characters of the texts ``(path, text)`` within each element."""
     masses = {}
-    for path, furniture, text in blocks:
-        while not furniture and path:
+    for path, text in texts:
+        while path:
             masses[path] = masses.get(path, 0) + len(text)
             path = path.rpartition("/")[0]
     return masses
 
 
 def _text_token(path, text):
-    return f"{path}\n{text}"
+    digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16)
+    return f"{path}\n{digest.hexdigest()}"
 
 
-def tokens(page):
-    """``token -> (count, characters)`` of a page; the empty token stands for the page itself."""
+def sequence(blocks, opened):
+    """Tokens of a page in order; the empty one stands for the page itself. Furniture's texts are none."""
+    yield ""
+    at = 0
+    for path, furniture, text, before in blocks:
+        yield from opened[at:before]
+        at = before
+        if not furniture:
+            yield _text_token(path, text)
+    yield from opened[at:]
+
+
+def measure(page, vectors):
+    """``token -> (place, mass, varying)`` of a page's tokens that are in ``vectors``.
+
+    ``place`` counts the tokens of its class that begin before it. ``mass`` are the characters of text
+    within an element, ``varying`` those of texts that do not share its class with their element.
+    """
     blocks, opened = parse(page)
-    masses = _masses(blocks)
-    found = {"": (1, 0)}
-    for path in opened:
-        found[path] = (found.get(path, (0, 0))[0] + 1, masses.get(path, 0))
-    for path, furniture, text in blocks:
-        if not furniture and not _inside_article(path):
-            token = _text_token(path, text)
-            found[token] = (found.get(token, (0, 0))[0] + 1, 0)
+    texts = [(path, text) for path, furniture, text, _ in blocks if not furniture]
+    free = [
+        (path, text)
+        for path, text in texts
+        if path not in vectors or vectors.get(_text_token(path, text)) != vectors[path]
+    ]
+    masses, varying = _masses(texts), _masses(free)
+    found, begun = {}, {}
+    for token in sequence(blocks, opened):
+        if token in vectors and token not in found:
+            place = begun.get(vectors[token], 0)
+            begun[vectors[token]] = place + 1
+            found[token] = place, masses.get(token, 0), varying.get(token, 0)
     return found
 
 
@@ -195,77 +222,130 @@ def extract(page, template):
     constants = template[1] if template else ()
     left = [
         (path, text)
-        for path, furniture, text in blocks
-        if not furniture and _text_token(path, text) not in constants
+        for path, furniture, text, _ in blocks
+        if not furniture and not (constants and _text_token(path, text) in constants)
     ]
     slot = template[0] if template else ""
     if not slot or slot not in opened:
-        slot = choose_slot(_masses([(path, False, text) for path, text in left]))
+        slot = choose_slot(_masses(left))
     inside = f"{slot}/"
     return "\n\n".join(text for path, text in left if path == slot or path.startswith(inside))
 
 
-def deduce(classes):
-    """A template of a host's classes: ``(slot, constant texts)``.
+def deduce(members):
+    """A template of a host's tokens: ``(slot, constant texts)``.
 
-    ``classes`` are lists of ``(token, characters)`` that share an occurrence vector. They are nested by
-    their paths; an element whose parent is in no class hangs on no template and is left out.
+    ``members`` are dicts of ``token, vector, least, most, mass, varying``; ``least`` and ``most`` are the
+    first and last place a token takes within its class. Classes are nested by their paths; an element
+    whose parent is in no class hangs on no template and is left out.
     """
-    elements, constants = {}, set()
-    for members in classes:
-        for token, mass in members:
-            if "\n" in token:
-                constants.add(token)
-            elif token:
-                elements[token] = mass
+    classes = {}
+    for member in members:
+        if member["least"] == member["most"]:
+            classes.setdefault(member["vector"], {})[member["token"]] = member
+    classes = {vector: own for vector, own in classes.items() if len(own) > 1}
+    elements = {t: m for own in classes.values() for t, m in own.items() if "\n" not in t}
     nested = {}
-    for path in sorted(elements, key=lambda p: p.count("/")):
-        parent = path.rpartition("/")[0]
-        if not parent or parent in nested:
+    for path in sorted(elements, key=lambda p: (p.count("/"), p)):
+        if not path or path.rpartition("/")[0] in nested:
             nested[path] = elements[path]
-    nested = {path: mass for path, mass in nested.items() if mass}
-    return (choose_slot(nested) if nested else "", frozenset(constants))
+    constants = set()
+    for vector, own in classes.items():
+        for token in own:
+            path, is_text, _ = token.partition("\n")
+            if is_text and path in nested and nested[path]["vector"] == vector:
+                constants.add(token)
+    masses = {p: m["varying"] for p, m in nested.items() if p and m["varying"]}
+    masses = masses or {p: m["mass"] for p, m in nested.items() if p and m["mass"]}
+    return choose_slot(masses), frozenset(constants)
 
 
 def _emit(batches):
     for whole in batches:
         for start, end in words.slabs(words.text_sizes(whole.column("html")), BYTES_AT_ONCE):
             part = whole.slice(start, end - start).to_pydict()
-            columns = [], [], [], [], []
+            columns = [], [], [], []
             for host, page, text in zip(part["host"], part["page"], part["html"]):
-                for token, (count, mass) in tokens(text or "").items():
-                    for column, value in zip(columns, (host, page, token, count, mass)):
+                for token, count in Counter(sequence(*parse(text or ""))).items():
+                    for column, value in zip(columns, (host, page, token, count)):
                         column.append(value)
-            kinds = pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()
+            kinds = pa.string(), pa.int64(), pa.string(), pa.int64()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
-                names=["host", "page", "token", "times", "mass"],
+                names=["host", "page", "token", "times"],
             )
 
 
+def _by_host(known, part, column, make):
+    """``make`` of each row's ``column``, which is read once per host."""
+    for row, host in enumerate(part.column("host").to_pylist()):
+        if host not in known:
+            if len(known) > 10_000:
+                known.clear()
+            known[host] = make(part.column(column)[row].as_py())
+        yield known[host]
+
+
+def _measure_all(batches):
+    known = {}
+    for whole in batches:
+        for start, end in words.slabs(words.text_sizes(whole.column("html")), BYTES_AT_ONCE):
+            part = whole.slice(start, end - start)
+            rows = part.select(["host", "page", "html"]).to_pydict()
+            columns = [], [], [], [], [], []
+            told = _by_host(known, part, "members", lambda own: {m["token"]: m["vector"] for m in own})
+            for host, page, text, vectors in zip(rows["host"], rows["page"], rows["html"], told):
+                for token, values in measure(text or "", vectors).items():
+                    for column, value in zip(columns, (host, page, token, *values)):
+                        column.append(value)
+            kinds = pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                names=["host", "page", "token", "place", "mass", "varying"],
+            )
+
+
+def _with_hosts(pages, hosts, path, how):
+    """``pages`` joined with what was written of their hosts below ``path``."""
+    small = hosts.count() <= BROADCAST_HOSTS
+    small = small and 8 * session.stored_bytes(pages.sparkSession, path) <= BROADCAST_BYTES
+    # Beyond that the pages are shuffled by host, which adaptive execution splits where it is hot.
+    return pages.join(F.broadcast(hosts) if small else hosts, "host", how)
+
+
 def host_templates(pages):
-    """``host, classes``: the classes of tokens that most pages of a host agree on.
+    """``host, members``: the tokens that half of a host's pages have, with their classes and measures.
 
-    ``pages`` has ``host, page, html``. A class is valid if it holds on two pages or more and
-    on half of the host's. Tokens of one page are left out before anything is joined.
+    ``pages`` has ``host, page, html``. A token is on two pages or more and on half of the host's.
+    Tokens of one page are left out before anything is joined.
     """
-    emitted = pages.mapInArrow(
-        _emit, "host string, page bigint, token string, times bigint, mass bigint"
-    )
+    spark = pages.sparkSession
+    emitted = pages.mapInArrow(_emit, "host string, page bigint, token string, times bigint")
     found = emitted.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"),
         F.bit_xor(F.xxhash64("page", "times")).alias("vector"),
-        F.sum("mass").alias("mass"),
-    )
-    found = session.written(
-        found.where("pages > 1"), session.scratch_path(pages.sparkSession, "html-tokens")
     )
+    found = session.written(found.where("pages > 1"), session.scratch_path(spark, "html-tokens"))
     hosts = found.where("token = ''").select("host", F.col("pages").alias("of"))
-    frequent = found.join(hosts, "host").where("2 * pages >= of and token <> ''")
-    classes = frequent.groupBy("host", "vector", "pages").agg(
-        F.sort_array(F.collect_list(F.struct("token", "mass"))).alias("members")
+    frequent = found.join(hosts, "host").where("2 * pages >= of")
+    path = session.scratch_path(spark, "html-classes")
+    classes = session.written(
+        frequent.groupBy("host").agg(F.collect_list(F.struct("token", "vector")).alias("members")), path
+    )
+    measured = _with_hosts(pages, classes, path, "inner").select("host", "page", "html", "members")
+    measured = measured.mapInArrow(
+        _measure_all,
+        "host string, page bigint, token string, place bigint, mass bigint, varying bigint",
     )
-    return classes.groupBy("host").agg(F.collect_list("members").alias("classes"))
+    measured = measured.groupBy("host", "token").agg(
+        F.min("place").alias("least"),
+        F.max("place").alias("most"),
+        F.sum("mass").alias("mass"),
+        F.sum("varying").alias("varying"),
+    )
+    members = frequent.join(measured, ["host", "token"])
+    names = "token", "vector", "pages", "of", "least", "most", "mass", "varying"
+    return members.groupBy("host").agg(F.collect_list(F.struct(*names)).alias("members"))
 
 
 def _extract_all(batches):
@@ -273,15 +353,9 @@ def _extract_all(batches):
     for whole in batches:
         for start, end in words.slabs(words.text_sizes(whole.column("html")), BYTES_AT_ONCE):
             part = whole.slice(start, end - start)
-            rows = part.select(["host", "html", "classes"]).to_pydict()
-            texts = []
-            for host, page, classes in zip(rows["host"], rows["html"], rows["classes"]):
-                if host not in known:
-                    if len(known) > 10_000:
-                        known.clear()
-                    lists = [[(m["token"], m["mass"]) for m in own] for own in classes or ()]
-                    known[host] = deduce(lists) if classes else None
-                texts.append(extract(page or "", known[host]))
+            told = _by_host(known, part, "members", lambda own: deduce(own) if own else None)
+            pages = part.column("html").to_pylist()
+            texts = [extract(page or "", template) for page, template in zip(pages, told)]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("page_id"),
@@ -314,10 +388,7 @@ def main_text(pages):
     )
     path = session.scratch_path(spark, "html-templates")
     templates = session.written(host_templates(own.select("host", "page", "html")), path)
-    small = templates.count() <= BROADCAST_HOSTS
-    small = small and 8 * session.stored_bytes(spark, path) <= BROADCAST_BYTES
-    # Beyond that the pages are shuffled by host, which adaptive execution splits where it is hot.
-    joined = own.join(F.broadcast(templates) if small else templates, "host", "left")
-    return joined.select("page_id", "url", "host", "html", "classes").mapInArrow(
+    joined = _with_hosts(own, templates, path, "left")
+    return joined.select("page_id", "url", "host", "html", "members").mapInArrow(
         _extract_all, "page_id bigint, url string, text string, n_chars bigint"
     )
