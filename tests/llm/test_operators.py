@@ -401,6 +401,26 @@ def test_html_text_takes_the_slot_from_the_classes(spark):
     assert all(found[k] == f"{stories[k].strip()}\n\na passage that most pages quote" for k in range(1, 5))
 
 
+def test_html_text_keeps_copies(spark):
+    body, story = "<div id=content><p>the same story in full</p></div>", "the same story in full"
+    assert html_rows(spark, [body, body]) == {0: story, 1: story}
+    # A row given twice, beside others.
+    rows = [(1, "http://a.b/1", page(body))] * 2 + [(2, "http://a.b/2", page("<div id=content><p>other</p></div>"))]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert same(picked(html_text.main_text(pages), "page_id", "text"), [(1, story), (1, story), (2, "other")])
+
+
+@pytest.mark.parametrize("others", [0, 4])
+def test_html_text_keeps_near_copies(spark, others):
+    shared = [f"paragraph {k} of a story that many pages hold" for k in range(6)]
+    whole = "".join(f"<p>{t}</p>" for t in shared)
+    bodies = [f"<div class=b><section>{whole}</section><p>edit {k}</p></div><div class=s>new {k}</div>" for k in range(4)]
+    bodies += [f"<div class=b><p>{f'another {k} ' * 30}</p></div><div class=s>new {k}</div>" for k in range(4, 4 + others)]
+    found = html_rows(spark, bodies)
+    assert all("\n\n".join([*shared, f"edit {k}"]) in found[k] for k in range(4))
+    assert all(f"another {k} " in found[k] for k in range(4, 4 + others))
+
+
 def test_html_template_leaves_out_what_changes_places():
     def member(token, vector, least=0, most=0, mass=0, varying=0):
         return dict(token=token, vector=vector, least=least, most=most, mass=mass, varying=varying)

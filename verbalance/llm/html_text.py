@@ -8,6 +8,9 @@ the slot of the article is the template's element that holds most text which is
 name weighs as well (``_worth``). Elements that are page furniture by their kind or name are
 left out before. Occurrence vectors are never laid out: equal vectors have equal hashes,
 which are combined in each task before the shuffle.
+
+Copies are not a template. Pages of a host with the same texts count as one, a constant text is on three
+of them or more, and constants are only taken out of a page if they are no more than half of its text.
 """
 
 import hashlib
@@ -23,6 +26,8 @@ from verbalance.llm import words
 from verbalance.llm.url_filter import host_of
 
 BYTES_AT_ONCE = 4_000_000
+# Pages with different texts that a constant text is on at least.
+SUPPORT = 3
 # A broadcast of templates, by rows and by measured bytes.
 BROADCAST_HOSTS, BROADCAST_BYTES = 200_000, 32 * 1024 * 1024
 
@@ -166,11 +171,24 @@ def _masses(texts):
     return masses
 
 
+def _characters(texts):
+    return sum(len(text) for _, text in texts)
+
+
 def _text_token(path, text):
     digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16)
     return f"{path}\n{digest.hexdigest()}"
 
 
+def content_of(blocks):
+    """A 64-bit hash of a page's texts and where they are, furniture's left out."""
+    digest = hashlib.blake2b(digest_size=8)
+    for path, furniture, text, _ in blocks:
+        if not furniture:
+            digest.update(f"{path}\n{text}\n".encode("utf-8", "surrogatepass"))
+    return int.from_bytes(digest.digest(), "little", signed=True)
+
+
 def sequence(blocks, opened):
     """Tokens of a page in order; the empty one stands for the page itself. Furniture's texts are none."""
     yield ""
@@ -183,13 +201,12 @@ def sequence(blocks, opened):
     yield from opened[at:]
 
 
-def measure(page, vectors):
+def measure(blocks, opened, vectors):
     """``token -> (place, mass, varying)`` of a page's tokens that are in ``vectors``.
 
     ``place`` counts the tokens of its class that begin before it. ``mass`` are the characters of text
     within an element, ``varying`` those of texts that do not share its class with their element.
     """
-    blocks, opened = parse(page)
     texts = [(path, text) for path, furniture, text, _ in blocks if not furniture]
     free = [
         (path, text)
@@ -197,6 +214,7 @@ def measure(page, vectors):
         if path not in vectors or vectors.get(_text_token(path, text)) != vectors[path]
     ]
     masses, varying = _masses(texts), _masses(free)
+    masses[""], varying[""] = _characters(texts), _characters(free)
     found, begun = {}, {}
     for token in sequence(blocks, opened):
         if token in vectors and token not in found:
@@ -216,20 +234,25 @@ def extract(page, template):
     """The text of a page's article; ``template`` is None if the host has none.
 
     ``template`` is the slot's path and the constant texts. A page without the
-    slot, or with a template without one, is read by its own elements.
+    slot, or with a template without one, is read by its own elements. Where constants are
+    more than half of the text they stay: such a page is a copy or holds little else.
     """
     blocks, opened = parse(page)
-    constants = template[1] if template else ()
-    left = [
-        (path, text)
-        for path, furniture, text, _ in blocks
-        if not furniture and not (constants and _text_token(path, text) in constants)
-    ]
-    slot = template[0] if template else ""
+    slot, constants = template or ("", ())
+    texts = [(path, text) for path, furniture, text, _ in blocks if not furniture]
+    left = [(p, t) for p, t in texts if _text_token(p, t) not in constants] if constants else texts
     if not slot or slot not in opened:
+        if 2 * _characters(left) < _characters(texts):
+            left = texts
         slot = choose_slot(_masses(left))
     inside = f"{slot}/"
-    return "\n\n".join(text for path, text in left if path == slot or path.startswith(inside))
+    whole, left = (
+        [(path, text) for path, text in some if path == slot or path.startswith(inside)]
+        for some in (texts, left)
+    )
+    if 2 * _characters(left) < _characters(whole):
+        left = whole
+    return "\n\n".join(text for _, text in left)
 
 
 def deduce(members):
@@ -255,8 +278,10 @@ def deduce(members):
             path, is_text, _ = token.partition("\n")
             if is_text and path in nested and nested[path]["vector"] == vector:
                 constants.add(token)
-    masses = {p: m["varying"] for p, m in nested.items() if p and m["varying"]}
-    masses = masses or {p: m["mass"] for p, m in nested.items() if p and m["mass"]}
+    # Where most text is constant, all of the host's pages may be copies: the slot has to hold the constants too.
+    page = nested.get("", {"mass": 0, "varying": 0})
+    measure_of = "mass" if 2 * page["varying"] < page["mass"] else "varying"
+    masses = {p: m[measure_of] for p, m in nested.items() if p and m[measure_of]}
     return choose_slot(masses), frozenset(constants)
 
 
@@ -265,8 +290,10 @@ def _emit(batches):
         for start, end in words.slabs(words.text_sizes(whole.column("html")), BYTES_AT_ONCE):
             part = whole.slice(start, end - start).to_pydict()
             columns = [], [], [], []
-            for host, page, text in zip(part["host"], part["page"], part["html"]):
-                for token, count in Counter(sequence(*parse(text or ""))).items():
+            for host, text in zip(part["host"], part["html"]):
+                blocks, opened = parse(text or "")
+                page = content_of(blocks)
+                for token, count in Counter(sequence(blocks, opened)).items():
                     for column, value in zip(columns, (host, page, token, count)):
                         column.append(value)
             kinds = pa.string(), pa.int64(), pa.string(), pa.int64()
@@ -291,11 +318,13 @@ def _measure_all(batches):
     for whole in batches:
         for start, end in words.slabs(words.text_sizes(whole.column("html")), BYTES_AT_ONCE):
             part = whole.slice(start, end - start)
-            rows = part.select(["host", "page", "html"]).to_pydict()
+            rows = part.select(["host", "html"]).to_pydict()
             columns = [], [], [], [], [], []
             told = _by_host(known, part, "members", lambda own: {m["token"]: m["vector"] for m in own})
-            for host, page, text, vectors in zip(rows["host"], rows["page"], rows["html"], told):
-                for token, values in measure(text or "", vectors).items():
+            for host, text, vectors in zip(rows["host"], rows["html"], told):
+                blocks, opened = parse(text or "")
+                page = content_of(blocks)
+                for token, values in measure(blocks, opened, vectors).items():
                     for column, value in zip(columns, (host, page, token, *values)):
                         column.append(value)
             kinds = pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()
@@ -316,30 +345,39 @@ def _with_hosts(pages, hosts, path, how):
 def host_templates(pages):
     """``host, members``: the tokens that half of a host's pages have, with their classes and measures.
 
-    ``pages`` has ``host, page, html``. A token is on two pages or more and on half of the host's.
-    Tokens of one page are left out before anything is joined.
+    ``pages`` has ``host, html``. Pages of a host with the same texts are one page. An element is on two
+    pages or more, a text on ``SUPPORT``, and both on half of the host's. Tokens of
+    one page are left out before anything is joined.
     """
     spark = pages.sparkSession
     emitted = pages.mapInArrow(_emit, "host string, page bigint, token string, times bigint")
-    found = emitted.groupBy("host", "token").agg(
+    distinct = emitted.groupBy("host", "page", "token").agg(F.max("times").alias("times"))
+    found = distinct.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"),
         F.bit_xor(F.xxhash64("page", "times")).alias("vector"),
     )
     found = session.written(found.where("pages > 1"), session.scratch_path(spark, "html-tokens"))
     hosts = found.where("token = ''").select("host", F.col("pages").alias("of"))
     frequent = found.join(hosts, "host").where("2 * pages >= of")
+    frequent = frequent.where((F.col("pages") >= SUPPORT) | (F.instr("token", "\n") == 0))
     path = session.scratch_path(spark, "html-classes")
     classes = session.written(
         frequent.groupBy("host").agg(F.collect_list(F.struct("token", "vector")).alias("members")), path
     )
-    measured = _with_hosts(pages, classes, path, "inner").select("host", "page", "html", "members")
+    measured = _with_hosts(pages, classes, path, "inner").select("host", "html", "members")
     measured = measured.mapInArrow(
         _measure_all,
         "host string, page bigint, token string, place bigint, mass bigint, varying bigint",
     )
-    measured = measured.groupBy("host", "token").agg(
+    measured = measured.groupBy("host", "page", "token").agg(
         F.min("place").alias("least"),
         F.max("place").alias("most"),
+        F.max("mass").alias("mass"),
+        F.max("varying").alias("varying"),
+    )
+    measured = measured.groupBy("host", "token").agg(
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
         F.sum("mass").alias("mass"),
         F.sum("varying").alias("varying"),
     )
@@ -374,7 +412,7 @@ def main_text(pages):
     hold one space for each run of ``[\\x20\\x09-\\x0D]`` and are joined by two line feeds; character references are
     decoded. Null or empty html gives an empty text, as does a page with no article. Pages
     without a host are one host; a host with one page has no template and its page
-    is read by its own elements. Repeated rows count as pages and give equal texts.
+    is read by its own elements. Rows with the same texts count as one page and keep theirs.
 
     Returns ``page_id, url, text, n_chars``.
     """
@@ -383,11 +421,10 @@ def main_text(pages):
         F.col("page_id").cast("long").alias("page_id"),
         "url",
         host_of(F.col("url")).alias("host"),
-        F.xxhash64("page_id", "url").alias("page"),
         "html",
     )
     path = session.scratch_path(spark, "html-templates")
-    templates = session.written(host_templates(own.select("host", "page", "html")), path)
+    templates = session.written(host_templates(own.select("host", "html")), path)
     joined = _with_hosts(own, templates, path, "left")
     return joined.select("page_id", "url", "host", "html", "members").mapInArrow(
         _extract_all, "page_id bigint, url string, text string, n_chars bigint"
