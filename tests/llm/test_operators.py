@@ -421,6 +421,24 @@ def test_html_text_keeps_near_copies(spark, others):
     assert all(f"another {k} " in found[k] for k in range(4, 4 + others))
 
 
+def test_html_furniture_is_not_what_holds_the_article():
+    def text(body, attributes=""):
+        return html_text.extract(page(body).replace("<body>", f"<body{attributes}>"), None)
+
+    story = "<article><p>the whole story of the page</p></article>"
+    told = "the whole story of the page"
+    assert text(story, " class=has-sidebar") == text(story, " class='home sidebar'") == told
+    assert text(f"<div id=page class='with-banner banner'>{story}<div class=related>more</div></div>") == told
+    assert text(story.replace("<article>", "<article class='post no-comments related'>")) == told
+    assert text(f"<form action=/>{story}<fieldset>ask</fieldset></form>") == told
+    assert text("<form><section class=skip-link><p>the whole story of the page</p></section></form>") == told
+    assert told in text(f"<div class=widget>{story}</div><div class=related>{story}</div><p>home</p>")
+    # Furniture stays furniture beside an article, and in part of a page's text.
+    comments = f"<div class=comments><article>{'long comment ' * 9}</article></div>"
+    assert text(f"{story}{comments}<form>ask for a letter</form>") == told
+    assert text(f"<div class=b><p>{told}</p></div><div class=related>more</div>") == told
+
+
 def test_html_template_leaves_out_what_changes_places():
     def member(token, vector, least=0, most=0, mass=0, varying=0):
         return dict(token=token, vector=vector, least=least, most=most, mass=mass, varying=varying)

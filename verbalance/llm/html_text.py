@@ -44,11 +44,14 @@ BLOCKS = STRUCTURE | {
     "option",
 }
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "wbr"}
-FURNITURE = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset"}
+FURNITURE = {"head", "nav", "footer", "aside", "menu", "dialog", "button"}
 FURNITURE_ROLES = {
-    "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu",
-    "menubar", "toolbar", "form",
+    "navigation", "banner", "contentinfo", "complementary", "dialog", "alert", "menu", "menubar",
+    "toolbar",
 }
+# Furniture as those in FURNITURE_NAMES are: unless they hold the article or most of a page's text.
+FORMS, FORM_ROLES = {"form", "fieldset"}, {"form", "search"}
+WHOLE = {"html", "body", "main", "article"}
 FURNITURE_NAMES = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsbygoogle",
     "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "consent",
@@ -71,20 +74,47 @@ _NAME = re.compile(r"[a-z]+")
 
 @words.remembered
 def _element(tag, attributes):
-    """Name of an element in paths, and whether it is page furniture."""
-    names, furniture, role = [], tag in FURNITURE, ""
+    """Name of an element in paths, and whether it is page furniture: by its kind, and by its name or as a form."""
+    names, tokens, hidden, role = [], set(), False, ""
     for key, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         key, value = key.lower(), html.unescape(value.strip("\"'")).lower()
         if key == "hidden":
-            furniture = True
+            hidden = tag not in ("html", "body")
         elif key == "role":
             role = value
-            furniture = furniture or value in FURNITURE_ROLES
         else:
             names += _NAME.findall(value)
-    furniture = furniture or not FURNITURE_NAMES.isdisjoint(names)
-    kind = "main" if role == "main" else "article" if role == "article" else tag
-    return ".".join([kind, *sorted(set(names))]), furniture
+            tokens.update(value.split())
+    kind = role if role in ("main", "article") else tag
+    whole = kind in WHOLE
+    sure = hidden or not whole and (tag in FURNITURE or role in FURNITURE_ROLES)
+    form = tag in FORMS or role in FORM_ROLES
+    likely = not whole and (form or not FURNITURE_NAMES.isdisjoint(tokens))
+    return ".".join([kind, *sorted(set(names))]), sure, likely
+
+
+def _kept(texts, articles, likely):
+    """Elements of ``likely`` that hold the article or most of the page's text, and so are no furniture.
+
+    ``texts`` are ``(elements of likely around it, characters)``; ``articles`` are ``(kind, elements of likely
+    around it)`` of the outermost article and main elements; ``likely`` tells forms.
+    """
+    held, own = Counter(e for _, around in articles for e in around), Counter()
+    for around, size in texts:
+        for element in around:
+            own[element] += size
+    total = sum(size for _, size in texts)
+    # Several articles without a main may be teasers.
+    sole = len(articles) == 1 or any(kind == "main" for kind, _ in articles)
+    kept = {
+        element
+        for element, form in likely.items()
+        if held[element] == len(articles)
+        and (articles and (form or sole) or 2 * own[element] > total)
+    }
+    if articles and not any(kept.issuperset(around) for _, around in articles):
+        kept.update(held)
+    return kept if any(kept.issuperset(around) for around, _ in texts) else set(likely)
 
 
 def parse(page):
@@ -94,7 +124,8 @@ def parse(page):
     An end tag closes the innermost open element of its name; one without any is ignored.
     """
     blocks, opened = [], []
-    stack = [("", "", False)]  # tag, path, furniture
+    stack = [("", "", False, ())]  # tag, path, furniture, elements around that are likely furniture
+    around, articles, likely = [], [], {}
     pieces, at, end = [], 0, len(page)
 
     def flush():
@@ -102,6 +133,7 @@ def parse(page):
             text = _BLANKS.sub(" ", html.unescape("".join(pieces))).strip(" ")
             if text:
                 blocks.append((stack[-1][1], stack[-1][2], text, len(opened)))
+                around.append(stack[-1][3])
             pieces.clear()
 
     while at < end:
@@ -132,13 +164,27 @@ def parse(page):
                     del stack[depth:]
                     break
         else:
-            label, furniture = _element(name, tag.group(3).strip())
-            path = f"{stack[-1][1]}/{label}"
-            if name == "header" and not _inside_article(stack[-1][1]):
+            label, furniture, maybe = _element(name, tag.group(3).strip())
+            _, above, inherited, outer = stack[-1]
+            path = f"{above}/{label}"
+            if name == "header" and not _inside_article(above):
                 furniture = True
+            furniture = furniture or inherited
+            if maybe and not furniture:
+                outer = (*outer, len(opened))
+                likely[len(opened)] = name in FORMS
+            if not furniture and _inside_article(path) and not _inside_article(above):
+                articles.append((label.split(".")[0], outer))
             opened.append(path)
-            stack.append((name, path, furniture or stack[-1][2]))
+            stack.append((name, path, furniture, outer))
     flush()
+    if likely:
+        texts = [(own, len(b[2])) for b, own in zip(blocks, around) if not b[1]]
+        kept = _kept(texts, articles, likely)
+        blocks = [
+            (path, furniture or not kept.issuperset(own), text, before)
+            for (path, furniture, text, before), own in zip(blocks, around)
+        ]
     return blocks, opened
 
 
@@ -154,11 +200,10 @@ def _inside_article(path):
 @words.remembered
 def _worth(path):
     """How much an element's name speaks for being the article's."""
-    label = path.rsplit("/", 1)[-1]
-    kind = label.split(".")[0]
+    kind, *names = path.rsplit("/", 1)[-1].split(".")
     if kind in ("article", "main"):
-        return 6.0 if kind == "article" else 3.0
-    return 1.5 if not CONTENT_NAMES.isdisjoint(label.split(".")) else 1.0
+        return 6.0 if kind == "article" and FURNITURE_NAMES.isdisjoint(names) else 3.0
+    return 1.0 if CONTENT_NAMES.isdisjoint([kind, *names]) else 1.5
 
 
 def _masses(texts):
