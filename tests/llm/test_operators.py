@@ -439,6 +439,17 @@ def test_html_furniture_is_not_what_holds_the_article():
     assert text(f"<div class=b><p>{told}</p></div><div class=related>more</div>") == told
 
 
+def test_html_skips_only_the_tag_of_what_has_no_end():
+    def text(body):
+        return html_text.extract(page(f"<article><p>one {body}<p>two</article>"), None)
+
+    for tag in ("<svg class=i />", "<svg/>", "<iframe src='x'/>", "<select>", "<noscript>", "<select><select>"):
+        assert text(tag) == "one\n\ntwo"
+    assert text("<svg/> and <svg><text>no</text></svg>") == "one and\n\ntwo"
+    assert text("<iframe src=http://x.y/>no</iframe>") == text("<SELECT><option>no</SELECT>") == "one\n\ntwo"
+    assert text("<script>no") == text("<style/>no") == "one"
+
+
 def test_html_template_leaves_out_what_changes_places():
     def member(token, vector, least=0, most=0, mass=0, varying=0):
         return dict(token=token, vector=vector, least=least, most=most, mass=mass, varying=varying)

@@ -33,6 +33,7 @@ BROADCAST_HOSTS, BROADCAST_BYTES = 200_000, 32 * 1024 * 1024
 
 # HTML element names by what they are, and names authors give to page furniture.
 SKIPPED = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "select", "title"}
+TO_THE_END = {"script", "style"}
 STRUCTURE = {
     "html", "head", "body", "header", "footer", "nav", "aside", "main", "article", "section",
     "div", "ul", "ol", "dl", "table", "form", "figure", "fieldset", "menu", "dialog", "button",
@@ -68,6 +69,7 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 _NAME = re.compile(r"[a-z]+")
 
@@ -121,11 +123,14 @@ def parse(page):
     """Blocks ``(path, furniture, text, elements opened before)`` of a page in order, and the
     paths of its elements.
 
-    An end tag closes the innermost open element of its name; one without any is ignored.
+    An end tag closes the innermost open element of its name; one without any is ignored. Skipped
+    elements go up to their end tag; of one without, or self-closed, only the tag is skipped,
+    but script and style go on to the end.
     """
     blocks, opened = [], []
     stack = [("", "", False, ())]  # tag, path, furniture, elements around that are likely furniture
     around, articles, likely = [], [], {}
+    endless = set()  # skipped elements that have no end tag in the rest of the page
     pieces, at, end = [], 0, len(page)
 
     def flush():
@@ -148,8 +153,15 @@ def parse(page):
         if not name:
             continue
         if name in SKIPPED and not tag.group(1):
+            if name not in TO_THE_END and (name in endless or _SELF_CLOSED.search(tag.group(3))):
+                continue
             close = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            if close:
+                at = close.end()
+            elif name in TO_THE_END:
+                at = end
+            else:
+                endless.add(name)
             continue
         if name == "br":
             pieces.append(" ")
