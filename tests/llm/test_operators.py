@@ -20,6 +20,7 @@ from verbalance.llm import (
     line_dedup,
     minhash,
     mixing,
+    samples,
     toxicity,
     url_filter,
 )
@@ -303,6 +304,22 @@ def test_language(spark):
     assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.97
 
 
+def test_samples_are_bounded_where_ids_repeat(spark):
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 5]
+    hot, long = ids[0], ids[1]
+    rows = [(k, f"text {k}") for k in ids[2:30]] + [(hot, f"hot {k:03}") for k in range(300)]
+    rows += [(long, "long " * 100), (ids[2], None), (ids[3], "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marked = docs.select("doc_id", F.lit("x").alias("label"))
+    # All ids fit, the hot one with one text; the long text is passed over.
+    expected = [("x", "hot 000"), *(("x", f"text {k}") for k in ids[2:30])]
+    assert same(samples.take_sample(marked, docs, 40, 400), expected)
+    # The places are those of distinct ids.
+    ten = samples.take_sample(marked, docs, 10, 4000)
+    assert len(ten) == len(set(ten)) == 10
+    assert samples.take_sample(marked, docs.where(f"doc_id = {long}"), 40, 400) == [("x", "long " * 100)]
+
+
 def test_toxicity(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -22,9 +22,10 @@ def with_fold(docs):
 def take_sample(marked, docs, per_class, most_bytes):
     """Rows ``label, text`` of at most ``per_class`` ids per label and ``most_bytes`` of text.
 
-    ``marked`` has ``doc_id, label``. Outside the held-out fold the first ids in order of a
-    hash are taken, with their whole texts, so every run takes the same. Only ids and
-    labels are ranked, and the ranks are cut before the shuffle.
+    ``marked`` has ``doc_id, label``. Outside the held-out fold the first distinct ids in order of a
+    hash are taken, so every run takes the same, each with one text: the least that is not empty, if
+    it has several. A text that does not fit is passed over; if none of a label fits, its shortest is
+    taken. Only ids and labels are ranked, and the ranks are cut before the shuffle.
     """
     spark = docs.sparkSession
     place = F.xxhash64(F.lit(SEED), "doc_id")
@@ -32,24 +33,35 @@ def take_sample(marked, docs, per_class, most_bytes):
         ~held_out(F.col("doc_id"))
     )
     first = Window.partitionBy("label").orderBy(place, "doc_id")
-    chosen = usable.withColumn("rank", F.row_number().over(first)).where(
+    distinct = usable.select("doc_id", "label").distinct()
+    chosen = distinct.withColumn("rank", F.row_number().over(first)).where(
         F.col("rank") <= per_class
     )
     rows = [tuple(r) for r in chosen.select("doc_id", "label").collect()]
-    kind = dict(marked.dtypes)["label"]
     # At most per_class rows for each label.
-    listed = spark.createDataFrame(rows, f"doc_id bigint, label {kind}").distinct()
-    texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    found = texts.join(F.broadcast(listed), "doc_id").withColumn("place", place)
-    sizes = found.select("label", "place", "doc_id", F.octet_length("text").alias("bytes"))
-    total, last = {}, {}
-    for row in sizes.orderBy("place", "doc_id", "bytes").collect():
-        total[row["label"]] = total.get(row["label"], 0) + row["bytes"]
-        if total[row["label"]] <= most_bytes or row["label"] not in last:
-            last[row["label"]] = row["place"]
-    limits = spark.createDataFrame(list(last.items()), f"label {kind}, last bigint")
-    within = found.join(F.broadcast(limits), "label").where("place <= last")
-    rows = sorted(within.collect(), key=lambda r: (r["place"], r["doc_id"], r["text"]))
-    return [(r["label"], r["text"]) for r in rows]
+    listed = spark.createDataFrame(rows, f"doc_id bigint, label {dict(marked.dtypes)['label']}")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.nullif("text", F.lit("")).alias("text"))
+
+    def text_of(ids):
+        own = texts.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id")
+        return own.groupBy("doc_id").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
+
+    sizes = text_of(listed).select("doc_id", place.alias("place"), F.octet_length("text").alias("bytes"))
+    sizes = {row["doc_id"]: (row["place"], row["bytes"]) for row in sizes.collect()}
+    by_label = {}
+    for doc_id, label in rows:
+        if doc_id in sizes:
+            by_label.setdefault(label, []).append((*sizes[doc_id], doc_id))
+    taken = []
+    for label, own in by_label.items():
+        total, before = 0, len(taken)
+        for spot, size, doc_id in sorted(own, key=lambda r: (r[0], r[2])):
+            if total + size <= most_bytes:
+                total += size
+                taken.append((spot, doc_id, label))
+        if len(taken) == before:
+            spot, _, doc_id = min(own, key=lambda r: (r[1], r[0], r[2]))
+            taken.append((spot, doc_id, label))
+    picked = spark.createDataFrame([(doc_id,) for _, doc_id, _ in taken], "doc_id bigint")
+    found = {row["doc_id"]: row["text"] for row in text_of(picked).collect()}
+    return [(label, found[doc_id]) for _, doc_id, label in sorted(taken, key=lambda r: (r[:2], repr(r[2])))]
