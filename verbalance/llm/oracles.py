@@ -125,10 +125,98 @@ from ruled join rated using (host)
 """
 
 
+def _merkle_manifest(levels=8):
+    """Trees of up to 16 ** levels leaves; more levels would only repeat a lone node."""
+
+    def digest(text):
+        framed = [
+            f"case when {v} is null then '-' else concat(strlen({v}::varchar), ':', {v}::varchar) end"
+            for v in ("doc_id", "source", "lang", "n_chars", text)
+        ]
+        return f"sha256(concat({', '.join(framed)}))"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # CRC-32 of the decimal digits, bit by bit; 3988292384 is its reversed polynomial.
+    shift = "lambda x, y: xor(x >> 1, (x & 1) * 3988292384::bigint)"
+    crc = f"""xor(4294967295::bigint, list_reduce(
+        list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)::bigint),
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], {shift}),
+        4294967295::bigint))"""
+
+    def tree(name, group):
+        """CTEs of all levels and, per member of a level, the digests beside it in its run."""
+        parts = []
+        for k in range(levels):
+            parts.append(f"""{name}{k + 1} as (
+    select {group}, pos // 16 as pos, (n + 15) // 16 as n,
+        case when n > 1 then sha256(string_agg(digest, '' order by pos)) else min(digest) end as digest
+    from {name}{k} group by {group}, pos // 16, n
+)""")
+        for k in range(levels):
+            run = f"over (partition by {group}, pos // 16 order by pos rows between"
+            parts.append(f"""{name}_side{k} as (
+    select {group}, pos, n, coalesce(string_agg(digest, '') {run} unbounded preceding and 1 preceding), '') as l,
+        coalesce(string_agg(digest, '') {run} 1 following and unbounded following), '') as r
+    from {name}{k}
+)""")
+        return parts
+
+    def climb(start, name, own, source):
+        """CTEs that take each row from a leaf up to the root of its tree."""
+        parts, before = [], start
+        for k in range(levels):
+            here = f"{start}_{name}{k}"
+            parts.append(f"""{here} as (
+    select b.* replace (b.proof || s.l || s.r as proof,
+        case when s.n > 1 then sha256(s.l || b.folded || s.r) else b.folded end as folded)
+    from {before} b join {name}_side{k} s
+    on {source} and s.pos = b.{own} // {16 ** k}::bigint
+)""")
+            before = here
+        return parts, before
+
+    below, inner = climb("begun", "src", "pos", "s.source is not distinct from b.source")
+    above, outer = climb(inner, "top", "rank", "true")
+    parts = [
+        f"""leaves as (
+    select doc_id, source, {digest("text")} as leaf,
+        case when doc_id is not null and ({crc}) % 5 = 0 then {digest(lower)} end as tampered
+    from documents
+)""",
+        """placed as (
+    select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+        count(*) over (partition by source) as n
+    from leaves
+)""",
+        "src0 as (select source, pos, n, leaf as digest from placed)",
+        *tree("src", "source"),
+        f"""subroots as (
+    select source, digest, row_number() over (order by source nulls first) - 1 as rank from src{levels}
+)""",
+        """top0 as (
+    select 0 as all_sources, rank as pos, count(*) over () as n, digest from subroots
+)""",
+        *tree("top", "all_sources"),
+        """begun as (
+    select doc_id, p.source, leaf, pos, rank, digest as subroot, '' as proof,
+        coalesce(tampered, leaf) as folded
+    from placed p join subroots s on p.source is not distinct from s.source
+)""",
+        *below,
+        *above,
+    ]
+    return f"""with {", ".join(parts)}
+select doc_id, leaf, subroot, t.digest as root, sha256(proof) as proof_sha256, folded as folded_root,
+    folded = t.digest as verified
+from {outer}, top{levels} t
+"""
+
+
 def statements():
     return {
         "op1_line_dedup": LINE_DEDUP,
         "op4_embedding_dedup": EMBEDDING_DEDUP,
         "op7_exact_dedup": EXACT_DEDUP,
         "op8_url_filter": _url_filter(),
+        "op12_merkle_manifest": _merkle_manifest(),
     }

@@ -9,6 +9,7 @@ from verbalance.llm import (
     html_text,
     language,
     line_dedup,
+    merkle,
     minhash,
     mixing,
     toxicity,
@@ -67,6 +68,10 @@ def op10_minhash(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(documents(spark, sf_dir))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -80,5 +85,6 @@ QUERIES = {
         op8_url_filter,
         op9_html_text,
         op10_minhash,
+        op12_merkle_manifest,
     )
 }
