@@ -285,7 +285,8 @@ def manifest(docs, tampering=default_tampering):
         .select(
             F.col("kid.doc_id").alias("doc_id"),
             F.col("kid.digest").alias("leaf"),
-            "subroot",
+            # With one source its subroot is the root, above which nothing is met.
+            F.coalesce("subroot", F.lit(root)).alias("subroot"),
             F.lit(root).alias("root"),
             F.sha2(F.concat("beside.left", "beside.right", "joined"), 256).alias("proof_sha256"),
             F.aggregate(

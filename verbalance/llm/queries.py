@@ -3,9 +3,11 @@
 import public_tokenizers
 
 from verbalance.llm import (
+    alignment,
     bpe,
     embedding_dedup,
     exact_dedup,
+    fingerprint,
     html_text,
     language,
     line_dedup,
@@ -17,6 +19,7 @@ from verbalance.llm import (
 )
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark, sf_dir, name):
@@ -68,10 +71,18 @@ def op10_minhash(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark, sf_dir):
+    return alignment.align(documents(spark, sf_dir), VOCABULARY, PIECES)
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest(documents(spark, sf_dir))
 
 
+def op13_fingerprints(spark, sf_dir):
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -85,6 +96,8 @@ QUERIES = {
         op8_url_filter,
         op9_html_text,
         op10_minhash,
+        op11_token_alignment,
         op12_merkle_manifest,
+        op13_fingerprints,
     )
 }
