@@ -3,6 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from verbalance import session
+
 FOLDS = 5
 SEED = 2027
 
@@ -19,49 +21,68 @@ def with_fold(docs):
     return docs.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "text")
 
 
-def take_sample(marked, docs, per_class, most_bytes):
-    """Rows ``label, text`` of at most ``per_class`` ids per label and ``most_bytes`` of text.
+def _first_ids(marked, per_class):
+    """``doc_id, label, spot`` of the first ``per_class`` distinct ids of each label by a hash.
 
-    ``marked`` has ``doc_id, label``. Outside the held-out fold the first distinct ids in order of a
-    hash are taken, so every run takes the same, each with one text: the least that is not empty, if
-    it has several. A text that does not fit is passed over; if none of a label fits, its shortest is
-    taken. Only ids and labels are ranked, and the ranks are cut before the shuffle.
+    Ranked in two steps: parts of a label first, by another hash, so that no task sorts a label.
     """
-    spark = docs.sparkSession
-    place = F.xxhash64(F.lit(SEED), "doc_id")
+    spark = marked.sparkSession
     usable = marked.where("doc_id is not null and label is not null").where(
         ~held_out(F.col("doc_id"))
     )
-    first = Window.partitionBy("label").orderBy(place, "doc_id")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     distinct = usable.select("doc_id", "label").distinct()
-    chosen = distinct.withColumn("rank", F.row_number().over(first)).where(
-        F.col("rank") <= per_class
+    placed = distinct.withColumn("spot", F.xxhash64(F.lit(SEED), "doc_id")).withColumn(
+        "part", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(parts))
     )
-    rows = [tuple(r) for r in chosen.select("doc_id", "label").collect()]
-    # At most per_class rows for each label.
-    listed = spark.createDataFrame(rows, f"doc_id bigint, label {dict(marked.dtypes)['label']}")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.nullif("text", F.lit("")).alias("text"))
+    for group in (["label", "part"], ["label"]):
+        first = Window.partitionBy(*group).orderBy("spot", "doc_id")
+        placed = placed.withColumn("rank", F.row_number().over(first)).where(
+            F.col("rank") <= per_class
+        )
+    return placed.select("doc_id", "label", "spot")
+
 
-    def text_of(ids):
-        own = texts.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id")
-        return own.groupBy("doc_id").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
+def sample_table(marked, docs, per_class, most_bytes):
+    """A written table ``spot, label, text`` of at most ``per_class`` ids per label and ``most_bytes`` of text.
 
-    sizes = text_of(listed).select("doc_id", place.alias("place"), F.octet_length("text").alias("bytes"))
-    sizes = {row["doc_id"]: (row["place"], row["bytes"]) for row in sizes.collect()}
+    ``marked`` has ``doc_id, label``. Outside the held-out fold the first distinct ids in order of a
+    hash are taken, so every run takes the same, each with one text: the least that is not empty, if
+    it has several. A text that does not fit is passed over; if none of a label fits, its shortest is
+    taken. The driver sees ids and sizes of the sample, never its texts.
+    """
+    spark = docs.sparkSession
+    # At most per_class rows for each label.
+    chosen = session.written(_first_ids(marked, per_class), session.scratch_path(spark, "sample-ids"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.nullif("text", F.lit("")).alias("text"))
+    ids = F.broadcast(chosen.select("doc_id").distinct())
+    found = session.written(
+        texts.join(ids, "doc_id")
+        .groupBy("doc_id")
+        .agg(F.coalesce(F.min("text"), F.lit("")).alias("text")),
+        session.scratch_path(spark, "sample-texts"),
+    )
+    sized = found.select("doc_id", F.octet_length("text").alias("bytes"))
     by_label = {}
-    for doc_id, label in rows:
-        if doc_id in sizes:
-            by_label.setdefault(label, []).append((*sizes[doc_id], doc_id))
+    for row in chosen.join(sized, "doc_id").collect():
+        by_label.setdefault(row["label"], []).append((row["spot"], row["doc_id"], row["bytes"]))
     taken = []
     for label, own in by_label.items():
         total, before = 0, len(taken)
-        for spot, size, doc_id in sorted(own, key=lambda r: (r[0], r[2])):
+        for spot, doc_id, size in sorted(own):
             if total + size <= most_bytes:
                 total += size
                 taken.append((spot, doc_id, label))
         if len(taken) == before:
-            spot, _, doc_id = min(own, key=lambda r: (r[1], r[0], r[2]))
+            spot, doc_id, _ = min(own, key=lambda r: (r[2], r[0], r[1]))
             taken.append((spot, doc_id, label))
-    picked = spark.createDataFrame([(doc_id,) for _, doc_id, _ in taken], "doc_id bigint")
-    found = {row["doc_id"]: row["text"] for row in text_of(picked).collect()}
-    return [(label, found[doc_id]) for _, doc_id, label in sorted(taken, key=lambda r: (r[:2], repr(r[2])))]
+    picked = spark.createDataFrame(
+        taken, f"spot bigint, doc_id bigint, label {dict(marked.dtypes)['label']}"
+    )
+    return found.join(F.broadcast(picked), "doc_id").select("spot", "label", "text")
+
+
+def take_sample(marked, docs, per_class, most_bytes):
+    """``label, text`` of the rows of ``sample_table``, in a fixed order, on the driver."""
+    rows = sample_table(marked, docs, per_class, most_bytes).collect()
+    return [(r["label"], r["text"]) for r in sorted(rows, key=lambda r: (r["spot"], repr(r["label"])))]

@@ -7,6 +7,8 @@ neighbours. Marginals by forward and backward passes give spans and, by the high
 of them and their sum, a document score that is calibrated on the sample's labels.
 """
 
+import pickle
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -22,13 +24,24 @@ LEAST_DOCUMENTS = 3
 LEAST_SCORE = 2.0
 NEAR_THE_BEST = 0.75
 STEPS, RATE, RIDGE = 80, 0.3, 0.05
-# The field is fitted on chains of so many tokens, at most so many with and without toxic ones.
+# The field is fitted on chains of so many tokens of the sample, at most so many with and without
+# toxic ones, evenly spread over it.
 CHAIN, MOST_CHAINS = 32, 6000
+WORDS_AT_ONCE = 50_000
 CHUNK = 32
 BYTES_AT_ONCE = 2_000_000
 SPAN_AT = 0.5
 
 
+def _hashed(data, starts, ends):
+    """Hashes of words, some at a time: hashing lays out a number for each byte."""
+    parts = [
+        words.hash_words(data, starts[i : i + WORDS_AT_ONCE], ends[i : i + WORDS_AT_ONCE])
+        for i in range(0, len(starts), WORDS_AT_ONCE)
+    ]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
+
+
 class Tokens:
     """Words of many texts: hashes, places in the bytes, and the range of each text."""
 
@@ -36,10 +49,10 @@ class Tokens:
         self.data, self.offsets = words.joined_bytes(texts)
         self.starts, self.ends = words.find_words(self.data, letters_only=True)
         # Units of a token: its word, and those of its beginnings that are shorter (else 0).
-        self.units = [words.hash_words(self.data, self.starts, self.ends)]
+        self.units = [_hashed(self.data, self.starts, self.ends)]
         for size in BEGINNINGS:
             cut = np.minimum(self.ends, self.starts + size)
-            unit = words.mix(words.hash_words(self.data, self.starts, cut) + np.uint64(size))
+            unit = words.mix(_hashed(self.data, self.starts, cut) + np.uint64(size))
             self.units.append(np.where(cut < self.ends, unit, np.uint64(0)))
         self.bounds = np.searchsorted(self.starts, self.offsets)
         self.text_of = np.repeat(np.arange(len(texts)), np.diff(self.bounds))
@@ -227,12 +240,14 @@ def fit(texts, toxic):
         return {"base": base}
     tokens = Tokens(texts)
     labels, vocabulary = label_tokens(tokens, toxic)
-    features = _features(tokens, vocabulary)
+    every = _features(tokens, vocabulary)
+    # The hashes are numbered now.
+    tokens.units = None
     size = len(vocabulary) + 1
     weights = np.zeros((3, size))
     bias, transitions = np.array([-4.0]), np.zeros((2, 2))
     picked, bounds = _chains(tokens, labels)
-    features, labels = [f[picked] for f in features], labels[picked]
+    features, labels = [f[picked] for f in every], labels[picked]
     inner = np.ones(max(len(labels) - 1, 0), dtype=bool)
     inner[bounds[1:-1] - 1] = False
     seen = np.zeros((2, 2))
@@ -256,16 +271,19 @@ def fit(texts, toxic):
             p += (
                 RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-10)
             )
-    features = _features(tokens, vocabulary)
-    unary = _unary(bias[0], weights, features)
-    chance, _ = marginals(unary, tokens.bounds, transitions)
+    evidence = []
+    for first, last in words.slabs(np.diff(tokens.bounds).tolist(), WORDS_AT_ONCE):
+        start, end = tokens.bounds[first], tokens.bounds[last]
+        bounds = tokens.bounds[first : last + 1] - start
+        unary = _unary(bias[0], weights, [f[start:end] for f in every])
+        evidence.append(_evidence(marginals(unary, bounds, transitions)[0], bounds))
     return {
         "base": base,
         "vocabulary": vocabulary,
         "weights": weights,
         "bias": float(bias[0]),
         "transitions": transitions,
-        "curve": _calibrate(_evidence(chance, tokens.bounds), toxic),
+        "curve": _calibrate(np.concatenate(evidence), toxic),
     }
 
 
@@ -323,29 +341,43 @@ def score_texts(model, texts):
     chance, _ = marginals(unary, tokens.bounds, model["transitions"])
     scores = _doc_scores(model["curve"], _evidence(chance, tokens.bounds))
     hits = np.flatnonzero(chance >= SPAN_AT)
-    for start, end, text in zip(tokens.starts[hits], tokens.ends[hits], tokens.text_of[hits]):
-        own = tokens.data[tokens.offsets[text] : end]
-        points = np.cumsum((own & 0xC0) != 0x80)
-        first = int(points[start - tokens.offsets[text]]) - 1
-        span = (first, int(points[-1]))
-        spans = none[text]
-        if spans and spans[-1][1] + 1 >= span[0]:
-            span = (spans.pop()[0], span[1])
-        spans.append(span)
+    found, first = np.unique(tokens.text_of[hits], return_index=True)
+    for text, own in zip(found.tolist(), np.split(hits, first[1:])):
+        begin = tokens.offsets[text]
+        points = np.cumsum((tokens.data[begin : tokens.offsets[text + 1]] & 0xC0) != 0x80)
+        starts = points[tokens.starts[own] - begin] - 1
+        ends = points[tokens.ends[own] - begin - 1]
+        # Words with one character between them are one span.
+        new = np.append(True, starts[1:] > ends[:-1] + 1)
+        last = np.append(np.flatnonzero(new)[1:] - 1, len(own) - 1)
+        none[text] = list(zip(starts[new].tolist(), ends[last].tolist()))
     return scores, none
 
 
 def learn(docs, labels):
     """A model of a bounded sample of documents labelled 0 or 1, none of the held-out fold.
 
-    An id with several labels counts as toxic if one of them says so.
+    An id with several labels counts as toxic if one of them says so. One task fits the field, on
+    the ``SAMPLE_BYTES`` of either label at most; the driver sees the finished model only, whose
+    size is bounded by the words of the sample.
     """
     marked = labels.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label")
     )
     marked = marked.where("label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
-    rows = samples.take_sample(marked, docs, SAMPLE_DOCUMENTS, SAMPLE_BYTES)
-    return fit([text for _, text in rows], [label == 1 for label, _ in rows])
+    sample = samples.sample_table(marked, docs, SAMPLE_DOCUMENTS, SAMPLE_BYTES)
+
+    def run(batches):
+        rows = sorted(
+            (row["spot"], row["label"], row["text"])
+            for batch in batches
+            for row in batch.to_pylist()
+        )
+        model = fit([text for _, _, text in rows], [label == 1 for _, label, _ in rows])
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    found = sample.coalesce(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found["model"]) if found else fit([], [])
 
 
 def score(docs, labels):
@@ -353,7 +385,8 @@ def score(docs, labels):
 
     ``docs`` needs ``doc_id`` (long) and ``text``, ``labels`` ``doc_id`` and ``toxic``;
     other columns are ignored. The model is fitted on at most ``SAMPLE_DOCUMENTS`` labelled
-    documents of either label (and ``SAMPLE_BYTES`` of text), none of the held-out fold. Without labels
+    documents of either label (and ``SAMPLE_BYTES`` of text, ``MOST_CHAINS`` chains of ``CHAIN`` tokens
+    with and as many without toxic ones), none of the held-out fold. Without labels
     of both kinds every score is the share of toxic ones (0 if there are none).
     Null and empty texts have no tokens and get the lowest score. Each row is scored by its text
     alone, so repeated rows get equal scores; a null id is never held out.
