@@ -69,3 +69,57 @@ def test_streams_into_one_store_keep_their_records_apart(spark, tmp_path):
     run_stream(spark, tmp_path / "a", store, tmp_path / "checkpoint-a")
     names = [r["audio_filename"] for r in store.bronze().collect()]
     assert sorted(names) == ["a1.wav", "b1.wav", "old.wav"]
+
+
+def test_the_same_rows_whatever_the_size_of_a_trigger(spark, tmp_path):
+    """Names that several files share, some tried in vain, dealt to micro-batches of 1, 2 and 100."""
+    found = []
+    for size in (1, 2, 100):
+        root = tmp_path / f"by-{size}"
+        drop = root / "incoming"
+        drop.mkdir(parents=True)
+        # The later file in path order has the earlier time, so that it arrives first.
+        for age, (name, content) in enumerate(
+            [("c.mp3", b"poison"), ("a.wav", b"second a"), ("b.wav", b"only b"), ("a.mp3", b"first a"), ("c.wav", b"late c"), ("a.flac", b"poison")]
+        ):
+            (drop / name).write_bytes(content)
+            os.utime(drop / name, (1000 + age, 1000 + age))
+        store = IntakeStore(spark, str(root / "store"))
+        incremental.start_intake(
+            files.stream_audio(spark, str(drop), size), store, str(root / "checkpoint"), recognizer_for_bytes(), min_tasks=2
+        ).awaitTermination()
+        found.append(sorted((r["audio_file"], r["status"], r["transcription"] or "") for r in store.audit().collect()))
+    assert found[0] == found[1] == found[2] == [
+        ("a.flac", "failed", ""), ("a.mp3", "success", "first a"), ("a.wav", "skipped", ""),
+        ("b.wav", "success", "only b"), ("c.mp3", "failed", ""), ("c.wav", "success", "late c"),
+    ]
+
+
+def test_a_stream_skips_what_a_batch_run_did(spark, tmp_path):
+    from verbalance.plans.intake_batch import run_intake
+
+    drop, store = tmp_path / "incoming", IntakeStore(spark, str(tmp_path / "store"))
+    drop.mkdir()
+    (drop / "a.wav").write_bytes(b"hello")
+    run_stream(spark, drop, store, tmp_path / "checkpoint")
+    (drop / "b.wav").write_bytes(b"by batch")
+    run_intake(spark, str(drop / "b.wav"), store, recognizer_for_bytes())
+    (drop / "b.mp3").write_bytes(b"poison")
+    run_stream(spark, drop, store, tmp_path / "checkpoint")
+    rows = sorted((r["audio_file"], r["status"]) for r in store.audit().collect())
+    assert rows == [("a.wav", "success"), ("b.mp3", "skipped"), ("b.wav", "skipped"), ("b.wav", "success")]
+
+
+def test_a_stream_reads_no_bronze_of_its_own(spark, tmp_path, monkeypatch):
+    """Once names are known to the state, stored records are not read for them again."""
+    drop, store = tmp_path / "incoming", IntakeStore(spark, str(tmp_path / "store"))
+    drop.mkdir()
+    (drop / "a.wav").write_bytes(b"hello")
+    run_stream(spark, drop, store, tmp_path / "checkpoint")
+    (drop / "a.mp3").write_bytes(b"again")
+    reads = []
+    real = store.bronze
+    monkeypatch.setattr(store, "bronze", lambda: reads.append(1) or real())
+    monkeypatch.setattr("verbalance.sinks.done_names.catch_up", lambda *args: None)
+    run_stream(spark, drop, store, tmp_path / "checkpoint")
+    assert not reads and sorted(r["status"] for r in store.audit().collect()) == ["skipped", "success"]

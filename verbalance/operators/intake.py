@@ -64,8 +64,14 @@ def already_done(files, prior, hot=None):
 
 def mark_done(files, prior, hot=None):
     """All files with a flag ``done``: pending and skipped ones in one join."""
-    names = completed_names(prior, files).withColumn("done", F.lit(True))
-    return _by_name(files, names, "left", hot).withColumn(
+    return mark_names(files, completed_names(prior, files), hot)
+
+
+def mark_names(files, names, hot=None):
+    """All files with a flag ``done``, true for those of ``names`` (``base_name``)."""
+    wanted = files.select("base_name").distinct()
+    done = names.select("base_name").join(wanted, "base_name", "left_semi").distinct()
+    return _by_name(files, done.withColumn("done", F.lit(True)), "left", hot).withColumn(
         "done", F.coalesce("done", F.lit(False))
     )
 
@@ -159,14 +165,14 @@ def transcripts(settled):
     )
 
 
-def dispositions(settled):
-    """Where each source file belongs: a move list, not a move."""
+def dispositions(settled, *others):
+    """Where each source file belongs, and columns to know it by."""
     place = (
         F.when(F.col("status") == fixed.SUCCESS, fixed.DISPOSITION_PROCESSED)
         .when(F.col("status") == fixed.FAILED, fixed.DISPOSITION_FAILED)
         .otherwise(fixed.DISPOSITION_INCOMING)
     )
-    return settled.select("path", "status", "batch_id", place.alias("disposition"))
+    return settled.select("path", "status", "batch_id", place.alias("disposition"), *others)
 
 
 def batch_summary(rows):

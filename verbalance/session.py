@@ -80,6 +80,21 @@ def stored_bytes(spark, path):
 
 
 @contextmanager
+def settings(spark, values):
+    """Settings of the session for the length of a block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shuffles_for(spark, size):
     """Use enough shuffle partitions for ``size`` bytes, never fewer than configured.
 
@@ -87,10 +102,5 @@ def shuffles_for(spark, size):
     except for skew.
     """
     key = "spark.sql.shuffle.partitions"
-    configured = spark.conf.get(key)
     needed = math.ceil(size / BYTES_PER_SHUFFLE_PARTITION)
-    spark.conf.set(key, str(max(int(configured), needed)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, configured)
+    return settings(spark, {key: str(max(int(spark.conf.get(key)), needed))})

@@ -25,36 +25,50 @@ def audio_only(files):
     return files.where(paths.is_audio(F.col("path")))
 
 
-def _qualified(spark, location):
-    """The location as the ``path`` column spells it."""
+def _place(spark, location):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def qualified(spark, location):
+    """The location as the ``path`` column spells it."""
+    system, path = _place(spark, location)
     return system.makeQualified(path).toString()
 
 
-def _listed(reader, spark, location):
-    """``path, length`` of audio files that are, or are directly in, ``location``.
+def is_folder(spark, location):
+    system, path = _place(spark, location)
+    return system.exists(path) and system.getFileStatus(path).isDirectory()
+
+
+def _listed(reader, spark, location, columns=("path", "length")):
+    """``columns`` of audio files that are, or are directly in, ``location``.
 
     The source would take folders below for partitions, so it lists them as well
     and their files are dropped here. The content column is pruned from the scan.
     """
-    root, path = _qualified(spark, location), F.col("path")
+    root, path = qualified(spark, location), F.col("path")
     parent = F.left(path, F.length(path) - F.length(paths.file_name(path)) - F.lit(1))
     return (
         reader.option("pathGlobFilter", AUDIO_GLOB)
         .option("recursiveFileLookup", True)
         .load(location)
-        .select("path", "length")
+        .select(*columns)
         .where((path == root) | (parent == root))
         .transform(audio_only)
     )
 
 
-def discover(spark, location):
-    """The audio files directly in ``location``, or that one file."""
+def discover(spark, location, with_content=False):
+    """The audio files directly in ``location``, or that one file.
+
+    ``with_content`` reads them through Spark as well, which opens whatever it can list; a file
+    then has to fit in memory.
+    """
+    columns = ("path", "length", "content") if with_content else ("path", "length")
     supported = ", ".join(fixed.AUDIO_EXTENSIONS)
     try:
-        found = _listed(spark.read.format("binaryFile"), spark, location)
+        found = _listed(spark.read.format("binaryFile"), spark, location, columns)
     except AnalysisException as error:
         raise NoAudioFound(f"input path not found: {location}") from error
     if found.isEmpty():

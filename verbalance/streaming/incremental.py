@@ -1,6 +1,26 @@
-"""Incremental intake: each start takes in the files that arrived since the last one."""
+"""Incremental intake: each start takes in the files that arrived since the last one.
 
-from verbalance.plans.intake_batch import take_in
+Two streams follow each other. The first writes down what arrived, in micro-batches of any
+size. The second takes all that one start wrote down as one micro-batch, by base name, and
+keeps per name whether it is done and by which path. So files that share a name are
+tried in path order however they were dealt to micro-batches, and neither stream reads what
+earlier starts recorded.
+"""
+
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
+
+from verbalance import fixed, session
+from verbalance.functions import paths
+from verbalance.operators import intake, recognize
+from verbalance.plans.run_audit import utc_now
+from verbalance.sinks import control, done_names
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ARRIVED = "base_name string, path string, length bigint, content binary, done boolean"
+_TAKEN = f"{recognize.ATTEMPT_SCHEMA}, base_name string, skipped boolean"
+_TOLD = "done_"
 
 
 def epoch_batch_id(query_id, epoch):
@@ -11,22 +31,145 @@ def epoch_batch_id(query_id, epoch):
     return f"stream_{query_id}_{epoch:012d}"
 
 
+def _by_name(make_recognizer, clock):
+    """A processor that tries the files of a name until one gives text, and remembers which did."""
+    start = recognize.attempter(make_recognizer, clock)
+
+    # A class made in here is shipped with the task by value.
+    class Taker(StatefulProcessor):
+        def init(self, handle):
+            self.winner = handle.getValueState("winner", "path string")
+            self.attempt = start()
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            found = pd.concat(list(rows), ignore_index=True).sort_values("path", kind="stable")
+            won = self.winner.get() if self.winner.exists() else None
+            # Names that others did come with a row of their own, and before any file.
+            if won is None and found["done"].any():
+                won = ("",)
+                self.winner.update(won)
+            out = []
+            for row in found[~found["done"]].itertuples(index=False):
+                if won is not None:
+                    out.append((row.path, int(row.length), *[None] * 6, key[0], True))
+                    continue
+                content = row.content if isinstance(row.content, (bytes, bytearray)) else None
+                tried = self.attempt(row.path, int(row.length), content)
+                out.append((*tried, key[0], False))
+                text, error_type = tried[5], tried[7]
+                if error_type is None and text and text.strip():
+                    won = (row.path,)
+                    self.winner.update(won)
+            names = [field.split()[0] for field in _TAKEN.split(", ")]
+            yield pd.DataFrame(out, columns=names)
+
+        def close(self):
+            pass
+
+    return Taker()
+
+
+def _arrivals(files, store, checkpoint):
+    """Write down what arrived, one folder per micro-batch; one tried again replaces its own."""
+    columns = [c for c in ("path", "length", "content") if c in files.columns]
+
+    def write(rows, epoch):
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows.write.mode("overwrite").parquet(f"{store.arrivals_path}/{query}/{epoch:012d}")
+
+    return (
+        files.select(*columns)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoint}/arrivals")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _tell_done(store, folder, own):
+    """Write the names that other runs got done since the last start, as arrivals of their own kind."""
+    told = {n[len(_TOLD) :] for n in control.names(store.spark, folder) if n.startswith(_TOLD)}
+    for batch_id in control.batch_ids(store.spark, store.bronze_path, told):
+        if own and batch_id.startswith(own):
+            continue
+        names = done_names.done_in(store.bronze().where(F.col("batch_id") == batch_id))
+        rows = names.select("base_name", F.lit("").alias("path"), F.lit(True).alias("done"))
+        rows.write.mode("overwrite").parquet(f"{folder}/{_TOLD}{batch_id}")
+
+
+def _own_prefix(spark, checkpoint):
+    """How the batch ids of a query start; None if it never ran."""
+    facts = f"{checkpoint}/metadata"
+    if control.exists(spark, facts):
+        return f"stream_{control.read_json(spark, facts)['id']}_"
+    return None
+
+
 def start_intake(files, store, checkpoint, make_recognizer, clock=None, min_tasks=None):
     """Take in a stream of ``path, length[, content]`` and stop when it is drained.
 
-    The checkpoint remembers which paths were seen; the stored records decide
-    whether a base name is done. So a failed file dropped again under a new path
-    is tried again and a successful one is skipped.
+    The checkpoint remembers which paths were seen and, by base name, what is done; names that
+    batch runs or other streams got done are told to it at each start, once. So a failed
+    file dropped again under a new path is tried again and a successful one is skipped.
+    Names are dealt to ``min_tasks`` tasks, by default one per core, for as long as the checkpoint lives.
     """
+    spark = store.spark
+    store.finish_open_moves()
+    arriving = _arrivals(files, store, checkpoint)
+    arriving.awaitTermination()
+    folder = f"{store.arrivals_path}/{arriving.id}"
+    control.make_folder(spark, folder)
+    _tell_done(store, folder, _own_prefix(spark, f"{checkpoint}/names"))
+    arrived = (
+        spark.readStream.schema(_ARRIVED)
+        .option("recursiveFileLookup", True)
+        .option("maxFileAge", "36500d")
+        .parquet(folder)
+        .withColumn("done", F.coalesce("done", F.lit(False)))
+    )
+    named = arrived.withColumn(
+        "base_name", F.coalesce("base_name", paths.base_name(F.col("path")))
+    )
+    taken = named.groupBy("base_name").transformWithStateInPandas(
+        _by_name(make_recognizer, clock),
+        outputStructType=_TAKEN,
+        outputMode="Append",
+        timeMode="None",
+    )
+    started = utc_now().isoformat()
+
+    def write(rows, epoch):
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch_id = epoch_batch_id(query, epoch)
+        path = f"{store.work_path}/batch_id={batch_id}/outcome"
+        rows.transform(_outcome, started).transform(intake.with_batch_stamps, batch_id).write.mode(
+            "overwrite"
+        ).parquet(path)
+        outcome = rows.sparkSession.read.parquet(path)
+        if not outcome.isEmpty():
+            store.write(outcome, batch_id)
 
-    def process(files, epoch):
-        context = files.sparkSession.sparkContext
-        batch_id = epoch_batch_id(context.getLocalProperty("sql.streaming.queryId"), epoch)
-        take_in(files, store, batch_id, make_recognizer, clock, min_tasks=min_tasks)
+    tasks = str(min_tasks or spark.sparkContext.defaultParallelism)
+    with session.settings(spark, {_PROVIDER: ROCKSDB, "spark.sql.shuffle.partitions": tasks}):
+        return (
+            taken.writeStream.foreachBatch(write)
+            .option("checkpointLocation", f"{checkpoint}/names")
+            .trigger(availableNow=True)
+            .start()
+        )
 
+
+def _outcome(taken, started):
+    """Attempts and skipped files as the rows of a settled batch."""
+    skipped = F.col("skipped")
+    checked = intake.validate_text(taken.transform(intake.with_file_facts))
+    status = F.when(skipped, fixed.SKIPPED).when(F.col("recognized"), fixed.SUCCESS)
     return (
-        files.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        checked.withColumn("status", status.otherwise(fixed.FAILED))
+        .withColumn("ingestion_timestamp", F.coalesce("ingestion_timestamp", F.lit(started)))
+        .withColumn("error", F.when(~skipped, F.col("error")))
+        .withColumn("error_type", F.when(~skipped, F.col("error_type")))
+        .drop("skipped")
     )
