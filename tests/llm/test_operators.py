@@ -548,3 +548,82 @@ def test_empty_tables_of_pages_and_vectors(spark):
     assert html_text.main_text(pages).count() == 0
     assert url_filter.judge(pages, labels).count() == 0
     assert embedding_dedup.near_vectors(vectors).count() == 0
+
+
+def _near_texts():
+    words = [f"w{i}" for i in range(60)]
+    one, other = " ".join(words), " ".join(f"v{i}" for i in range(60))
+    return one, other, " ".join([*words[:30], "changed", *words[31:]])
+
+
+def _grouped(rows, linked):
+    """The smallest id reachable, for rows ``(id, content)``: equal ids and linked contents are joined."""
+    links = [
+        (a, b) for a, x in rows for b, y in rows if a is not None and b is not None and linked(x, y)
+    ]
+    return brute.components({i for i, _ in rows if i is not None}, links)
+
+
+@pytest.mark.parametrize("turn", range(4))
+def test_minhash_of_an_id_with_several_texts(spark, turn):
+    a, b, near_a = _near_texts()
+    rows = [(1, a), (1, b), (9, b), (20, near_a), (30, "alone x y"), (1, a), (9, b)]
+    rows = rows[turn:] + rows[:turn] if turn < 3 else [(i, {a: b, b: a}.get(t, t)) for i, t in rows]
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id bigint, text string").repartition(3)
+
+    def linked(x, y):
+        s, t = brute.shingles(x, 2), brute.shingles(y, 2)
+        return 100 * len(s & t) >= 80 * len(s | t)
+
+    of = _grouped(rows, linked)
+    found = minhash.near_duplicates(docs).select("doc_id", "component_id", "kept").collect()
+    assert sorted(map(tuple, found)) == sorted((i, of[i], of[i] == i) for i, _ in rows)
+
+
+@pytest.mark.parametrize("turn", range(4))
+def test_vectors_of_an_id_with_several_contents(spark, turn):
+    rng = np.random.default_rng(4)
+    a, b = (rng.normal(size=16).round(3).tolist() for _ in range(2))
+    near_a = [x + 0.001 for x in a]
+    rows = [(1, a), (1, b), (9, b), (20, near_a), (30, [-x for x in a]), (1, a)]
+    rows = rows[turn:] + rows[:turn] if turn < 3 else [(i, b if v is a else a if v is b else v) for i, v in rows]
+    frame = spark.createDataFrame([(i, 0, v) for i, v in rows], "vec_id bigint, label int, embedding array<double>")
+
+    def linked(x, y):
+        x, y = np.array(x), np.array(y)
+        return x @ y >= 0.98 * np.sqrt((x @ x) * (y @ y))
+
+    of = _grouped(rows, linked)
+    contents = {(i, tuple(v)) for i, v in rows}
+    expected = [
+        (i, sum(linked(v, w) for j, w in contents if (j, w) != (i, tuple(v))), of[i], of[i] == i)
+        for i, v in rows
+    ]
+    found = embedding_dedup.near_vectors(frame).select("vec_id", "n_links", "component_id", "kept")
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_sample_is_ranked_in_parts(spark):
+    """No task sorts all ids of a label; the first ids by the hash are taken all the same."""
+    marked = spark.range(4000).selectExpr("id as doc_id", "cast(id % 2 as int) as label")
+    found = samples._first_ids(marked, 1500)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") >= 2 and "part" in plan
+    usable = marked.where(~samples.held_out(F.col("doc_id"))).withColumn(
+        "spot", F.xxhash64(F.lit(samples.SEED), "doc_id")
+    )
+    for label in (0, 1):
+        own = usable.where(F.col("label") == label).orderBy("spot", "doc_id").limit(1500)
+        assert rows_of(found.where(F.col("label") == label).select("doc_id")) == rows_of(own.select("doc_id"))
+
+
+def test_spans_of_a_very_long_text_take_linear_time(spark):
+    import time
+
+    texts = ["you are a stupid idiot and a fool", "a calm clean day at the sea"] * 40
+    model = toxicity.fit(texts, [i % 2 == 0 for i in range(len(texts))])
+    long = "stupid clean " * 250_000
+    start = time.perf_counter()
+    _, (spans,) = toxicity.score_texts(model, [long])
+    assert time.perf_counter() - start < 60
+    assert spans == [(0, len(long) - 1)]

@@ -210,7 +210,9 @@ def near_vectors(embeddings, cosine=COSINE):
     (array of float or double); other columns are ignored. Vectors of equal label
     and length are linked if their cosine is ``cosine`` or more. A null label or
     id, a vector that is null, empty or zero or holds a null or non-finite component link
-    with nothing. Rows that repeat an id are one vector, each with a row.
+    with nothing. Rows that repeat an id are one vector, each with a row. If an id comes with
+    several vectors, a row has the links of its own vector, in which each of them counts, and
+    their classes are one.
 
     Returns ``vec_id, n_links, component_id, kept``: how many other vectors are linked
     directly, the smallest ``vec_id`` reachable, and whether it is this one.
@@ -244,16 +246,16 @@ def near_vectors(embeddings, cosine=COSINE):
         marks.where("fit")
         .groupBy(*same)
         .agg(
-            F.min("vec_id").alias("id"),
+            F.min("vec_id").alias("first"),
             F.count_distinct("vec_id").alias("copies"),
             F.min(F.struct("label", "embedding")).alias("row"),
         )
-        .select(*same, "id", "copies", "row.label", "row.embedding"),
+        .select(*same, "first", "copies", "row.label", "row.embedding"),
         "classes",
     )
+    members = marks.where("fit").select(F.col("vec_id").alias("member"), *same)
+    classes, identities = graph.class_nodes(classes, members, same, "vectors")
     heads = classes
-    if not heads.groupBy("id").count().where("count > 1").isEmpty():
-        heads = written(heads.dropDuplicates(["id"]), "heads")
     per_label = heads.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d"))
     most, width = per_label.agg(F.max("n"), F.max("d")).first()
     # More hashes with more rows, so that a bucket holds few vectors by chance.
@@ -279,7 +281,8 @@ def near_vectors(embeddings, cosine=COSINE):
     )
     found = written(found, "found")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    reached = graph.components(found.select(F.col("root").alias("a"), F.col("id").alias("b")))
+    edges = found.select(F.col("root").alias("a"), F.col("id").alias("b"))
+    reached = graph.components(edges if identities is None else edges.union(identities))
     named = (
         classes.select(*same, "id", "copies")
         .join(links, "id", "left")

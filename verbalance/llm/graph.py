@@ -55,3 +55,38 @@ def components(edges, label="components"):
         raise RuntimeError("components did not settle")
     roots = current.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return current.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots)
+
+
+def class_nodes(classes, members, same, label):
+    """A node ``id`` for each class of equal contents, and edges between classes that share a member.
+
+    ``classes`` has one row per class: ``same``, the columns that tell classes apart, and ``first``,
+    its smallest member; ``members`` has a row ``member, same`` per row of the table. A class is the
+    node of its smallest member. Where a member comes with several contents, several classes have
+    the same smallest member; one of them is its node, the others get numbers above all members, and
+    edges join all classes of a member. So the smallest node of a component is always a member.
+    """
+    spark = classes.sparkSession
+    repeated = members.groupBy("member").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = session.written(repeated.select("member"), session.scratch_path(spark, f"{label}-repeated"))
+    contents = members.join(repeated, "member").select("member", *same).distinct()
+    several = contents.groupBy("member").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty() or several.isEmpty():
+        return classes.withColumn("id", F.col("first")), None
+    least = classes.groupBy("first").agg(F.min(F.struct(*same)).alias("least"))
+    above = classes.agg(F.max("first")).first()[0] + 1
+    number = F.lit(above) + F.monotonically_increasing_id()
+    numbered = session.written(
+        classes.join(least, "first")
+        .withColumn("id", F.when(F.struct(*same) == F.col("least"), F.col("first")).otherwise(number))
+        .drop("least"),
+        session.scratch_path(spark, f"{label}-nodes"),
+    )
+    nodes = (
+        contents.join(several.select("member"), "member")
+        .join(numbered.select(*same, "id"), same)
+        .select("member", "id")
+    )
+    lowest = nodes.groupBy("member").agg(F.min("id").alias("a"))
+    edges = nodes.join(lowest, "member").where("id > a").select("a", F.col("id").alias("b"))
+    return numbered, session.written(edges, session.scratch_path(spark, f"{label}-same"))

@@ -29,7 +29,6 @@ MEMBERS_PER_TASK = 64
 # A unit of an open bucket holds two parts of about so many members.
 MEMBERS_PER_PART = 512
 # Ids are 8 bytes; a broadcast of so many takes about 32 MB.
-BROADCAST_IDS = 1_000_000
 
 _rng = np.random.default_rng(811)
 _FACTORS = _rng.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -135,14 +134,13 @@ def _confirm(size, percent):
     return run
 
 
-def _texts_of(texts, rows):
-    """Texts without most of those that ``rows`` has no id of, before they are shuffled."""
-    ids = session.written(
-        rows.select("id").distinct(), session.scratch_path(rows.sparkSession, "near-ids")
-    )
-    if ids.count() <= BROADCAST_IDS:
-        return texts.join(F.broadcast(ids), "id", "left_semi")
-    return texts
+def _texts_of(rows, heads, texts):
+    """``rows`` with the text of their class: that of one row of its first document.
+
+    Joined by document and hash of the text, both sides shuffled once whatever their size.
+    """
+    named = rows.join(heads.select("id", F.col("first").alias("doc_id"), "text_key"), "id")
+    return named.join(texts, ["doc_id", "text_key"]).drop("doc_id", "text_key")
 
 
 def _confirmed(pairs, texts, heads, size, percent):
@@ -160,9 +158,7 @@ def _confirmed(pairs, texts, heads, size, percent):
     needed = dealt.select("task", F.lit(1).alias("role"), F.col("b").alias("id")).unionByName(
         dealt.select("task", F.lit(0).alias("role"), F.col("a").alias("id")).distinct()
     )
-    texts = _texts_of(texts, needed)
-    rows = needed.join(heads.select("id", "text_key"), "id").join(texts, ["id", "text_key"])
-    rows = rows.select("task", "role", "id", "text").repartition("task")
+    rows = _texts_of(needed, heads, texts).select("task", "role", "id", "text").repartition("task")
     return rows.sortWithinPartitions("task", "role").mapInArrow(
         _confirm(size, percent), "a bigint, b bigint"
     )
@@ -170,8 +166,7 @@ def _confirmed(pairs, texts, heads, size, percent):
 
 _UNIT = ["bucket", "low", "high"]
 _FOUND = (
-    "bucket bigint, low int, high int, part int, id bigint, text_key bigint, component bigint, "
-    "signature binary"
+    "bucket bigint, low int, high int, part int, id bigint, component bigint, signature binary"
 )
 _FOUND_NAMES = [field.split()[0] for field in _FOUND.split(", ")]
 
@@ -300,12 +295,11 @@ def _open_units(open_rows, size=MEMBERS_PER_PART):
 
 def _more_edges(open_rows, heads, reached, texts, size, percent):
     """Links across components within the buckets of ``open_rows``, found in blocks."""
-    payload = _with_component(heads, reached).select("id", "text_key", "signature", "component")
+    payload = _with_component(heads, reached).select("id", "signature", "component")
     units = _open_units(open_rows).join(payload, "id")
     rows = _by_unit(units).mapInArrow(_with_candidates, _FOUND)
     rows = session.written(rows, session.scratch_path(open_rows.sparkSession, "near-units"))
-    needed = rows.join(_texts_of(texts, rows), ["id", "text_key"])
-    return _by_unit(needed.drop("text_key")).mapInArrow(
+    return _by_unit(_texts_of(rows, heads, texts)).mapInArrow(
         _confirm_units(size, percent), "a bigint, b bigint"
     )
 
@@ -319,7 +313,7 @@ def near_duplicates(docs, shingle_words=2, percent=PERCENT):
     are linked if their sets share ``percent`` of their union or more. A null id is
     linked with nothing (its ``component_id`` is null and it is kept), nor is a text
     without words. Rows that repeat an id are one document, each with a row; if their
-    texts differ, those with equal sets elsewhere are linked and one is compared further.
+    texts differ, the document is linked with whatever any of them is linked with.
 
     Returns ``doc_id, n_shingles, component_id, kept``; ``component_id`` is the smallest
     ``doc_id`` reachable, and ``kept`` says that it is this one.
@@ -336,17 +330,19 @@ def near_duplicates(docs, shingle_words=2, percent=PERCENT):
     same = ["print1", "print2", "n_shingles"]
     linked = marks.where("doc_id is not null and n_shingles > 0")
     # A class is one row from here on; copies are combined before the shuffle.
-    first = F.min(F.struct("doc_id", "text_key", "signature")).alias("first")
+    first = F.min(F.struct("doc_id", "text_key", "signature")).alias("least")
     classes = written(
         linked.groupBy(*same)
         .agg(first)
-        .select(*same, F.col("first.doc_id").alias("id"), "first.text_key", "first.signature"),
+        .select(*same, F.col("least.doc_id").alias("first"), "least.text_key", "least.signature"),
         "classes",
     )
-    heads = classes.select("id", "text_key", "signature")
-    if not heads.groupBy("id").count().where("count > 1").isEmpty():
-        heads = written(heads.dropDuplicates(["id"]), "heads")
-    own_texts = texts.withColumnRenamed("doc_id", "id")
+    members = linked.select(F.col("doc_id").alias("member"), *same)
+    classes, identities = graph.class_nodes(classes, members, same, "near")
+    heads = classes.select("id", "first", "text_key", "signature")
+    # Rows given several times are one text.
+    given = marks.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    own_texts = texts if given.isEmpty() else texts.dropDuplicates(["doc_id", "text_key"])
 
     # Each member of a bucket with the two ends of it.
     rows = band_rows(heads)
@@ -360,6 +356,8 @@ def near_duplicates(docs, shingle_words=2, percent=PERCENT):
     )
     tested = written(_likely(pairs.distinct(), heads), "pairs")
     edges = written(_confirmed(tested, own_texts, heads, shingle_words, percent), "edges")
+    if identities is not None:
+        edges = edges.union(identities)
     reached = written(graph.components(edges, "near-components"), "reached")
 
     # Buckets of three and more that still span several components.
