@@ -1,5 +1,6 @@
 """Token alignment against the tokenizers' own output, byte by byte."""
 
+import bisect
 import hashlib
 import random
 from collections import Counter, defaultdict
@@ -75,12 +76,12 @@ def expected(both, rows):
         at_b = [i for i, t in enumerate(bytes_b) for _ in t]
         links.append([(of_a[i], of_b[j]) for i, j in sorted(set(zip(at_a, at_b)))])
         ends_a, ends_b = ends(bytes_a), ends(bytes_b)
-        groups, before = [], 0
-        for cut in sorted(set(ends_a) & set(ends_b)):
-            group_a = [str(i) for i, e in zip(of_a, ends_a) if before < e <= cut]
-            group_b = [str(i) for i, e in zip(of_b, ends_b) if before < e <= cut]
-            groups.append(",".join(group_a) + "|" + ",".join(group_b))
-            before = cut
+        cuts = sorted(set(ends_a) & set(ends_b))
+        members = {cut: ([], []) for cut in cuts}
+        for side, (ids, own_ends) in enumerate(((of_a, ends_a), (of_b, ends_b))):
+            for i, end in zip(ids, own_ends):
+                members[cuts[bisect.bisect_left(cuts, end)]][side].append(str(i))
+        groups = [",".join(x) + "|" + ",".join(y) for x, y in members.values()]
         sha = hashlib.sha256(";".join(groups).encode()).hexdigest()
         facts.append((len(of_a), len(of_b), len(groups), sha))
     count = Counter(pair for own in links for pair in own)
@@ -132,17 +133,33 @@ def test_small_blocks_slabs_and_pieces(both, monkeypatch):
     words = "the quick brown fox über 12 it's, jumped  over \n中文 <s> lazy".split(" ")
     text = " ".join(random.choices(words, k=4000))
     texts = [text, "", "a b", text[::-1]]
-    plain = alignment.Aligned(tokenizers, texts)
+    rows = list(enumerate(texts))
+    whole = module._block(0, rows, tokenizers).to_pylist()[0]
     monkeypatch.setattr(module, "PIECE_CHARS", 50)
     monkeypatch.setattr(module, "ENTRIES_AT_ONCE", 7)
-    cut = alignment.Aligned(tokenizers, texts)
-    assert (plain.a_ids == cut.a_ids).all() and (plain.b_ids == cut.b_ids).all()
-    assert plain.digests() == cut.digests()
-    whole = expected(both, list(enumerate(texts)))
-    assert [r[7] for r in sorted(whole)] == cut.digests()
-    got = cut.pairs()
-    monkeypatch.undo()
-    assert all((x == y).all() for x, y in zip(got, plain.pairs()))
+    monkeypatch.setattr(module, "SLAB_BYTES", 60)
+    assert module._block(0, rows, tokenizers).to_pylist()[0] == whole
+    facts = sorted(expected(both, rows))
+    assert [r[7] for r in facts] == whole["groups_sha256"]
+    assert [r[4] for r in facts] == whole["n_links"] and [r[1] for r in facts] == whole["n_a"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_segments_change_no_token(both, seed):
+    """The tokens of a text are those of its segments, whatever stands around the blanks."""
+    with open(VOCABULARY) as file, open(PIECES, "rb") as model:
+        tokenizers = alignment.Tokenizers(file.read(), model.read())
+    random.seed(seed)
+    parts = ["word", "Über", "12", "'s", "\n", "\t", "\r\n", "\xa0", "\x1c", "\u2003", "中文", "▁", "--", "<s>", "e\u0301", "\U0001f600", "."]
+    for _ in range(300):
+        text = "".join(random.choice(parts) + " " * random.choice([0, 1, 1, 1, 2, 3]) for _ in range(12))
+        text = " " * random.choice([0, 0, 1, 2]) + text
+        a, b = both
+        segments = [s for piece in tokenizers.pieces(text) for s in tokenizers.segments(piece)]
+        of_a = [i for s in segments for i in a.encode(" " + s, add_special_tokens=False).ids]
+        of_b = [i for s in segments for i in b.encode(s)]
+        assert of_a == a.encode(" " + text, add_special_tokens=False).ids, repr(text)
+        assert of_b == b.encode(text), repr(text)
 
 
 def test_product_against_dense_matrices():

@@ -5,6 +5,10 @@ compressed rows. The product of one by the transpose of the other has an entry f
 of tokens that share bytes; the product of the incidences of tokens and groups has one for
 each pair in the same group. Both are computed row by row as Gustavson does it.
 
+A text is the sequence of its segments, which end before a lone blank: no token of either
+side goes over such an end, so both matrices of a text have a block on their diagonal for each
+segment. A block of documents multiplies the matrices of its distinct segments once.
+
 Pairs are counted corpus-wide by blocks of documents: a block sends each of its distinct
 pairs once, and gets each back once with its count.
 """
@@ -22,20 +26,22 @@ from verbalance import session
 from verbalance.llm.bpe import byte_letters
 from verbalance.llm.words import slabs, text_sizes
 
-# Text of one slab of tokenization, of one block of documents, and entries of one product.
+# Text tokenized at once, text of one block of documents, and entries of one product.
 SLAB_BYTES = 500_000
-BLOCK_BYTES = 8_000_000
+BLOCK_CHARS = 8_000_000
 ENTRIES_AT_ONCE = 1_000_000
-# Longer texts are tokenized in pieces; a piece ends before a lone blank between two letters.
+# Texts are cut into segments some characters at a time.
 PIECE_CHARS = 200_000
-_BETWEEN = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+# A lone blank between characters that are neither white space nor its mark ends a segment.
+_BETWEEN = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 _BLANK_MARK = "▁"
 _B_BITS = 32
 
 BLOCK = (
     "block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, "
     "n_groups array<bigint>, n_links array<bigint>, groups_sha256 array<string>, "
-    "n_pairs array<bigint>, pair array<bigint>, total array<bigint>, which binary, times binary"
+    "pair array<bigint>, total array<bigint>, pairs_of_segment array<bigint>, which binary, "
+    "times binary, segments_of_doc array<bigint>, segment binary, occurrences binary"
 )
 RESULT = (
     "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
@@ -141,8 +147,8 @@ class Tokenizers:
         self.b_written = len(self.written)
         self.written += [f"{i}{end}".encode() for i in range(len(pieces)) for end in ",;"]
 
-    def _pieces(self, text):
-        """The text in pieces that both tokenizers treat as they treat the whole; without the blanks between."""
+    def pieces(self, text):
+        """The text in pieces that end where a segment does; without the blanks between."""
         if len(text) <= PIECE_CHARS or not self.can_cut:
             return [text]
         pieces, start = [], 0
@@ -154,27 +160,25 @@ class Tokenizers:
             start = cut.end()
         return [*pieces, text[start:]]
 
+    def segments(self, text):
+        """The segments of a piece, without the blanks between them."""
+        return _BETWEEN.split(text) if self.can_cut else [text]
+
     def encode(self, texts):
         """The ids of each text by either tokenizer; none where they do not spell the text."""
-        pieces, owners = [], []
-        for i, text in enumerate(texts):
-            for piece in self._pieces(text) if text else ():
-                pieces.append(piece)
-                owners.append(i)
-        found = [([], []) for _ in texts]
-        a = self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)
-        b = self.b.encode(pieces, num_threads=1) if pieces else []
-        for owner, of_a, of_b in zip(owners, a, b):
-            found[owner][0].extend(of_a.ids)
-            found[owner][1].extend(of_b)
-        for i, (of_a, of_b) in enumerate(found):
-            spelled = (" " + texts[i]).encode("utf-8", "surrogatepass") if of_a or of_b else b""
-            if (
-                b"".join(map(self.a_bytes.__getitem__, of_a)) != spelled
-                or b"".join(map(self.b_bytes.__getitem__, of_b)) != spelled
-            ):
-                found[i] = ([], [])
-        return found
+        a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+        b = self.b.encode(texts, num_threads=1) if texts else []
+        return [self._spelled(text, of_a.ids, of_b) for text, of_a, of_b in zip(texts, a, b)]
+
+    def _spelled(self, text, of_a, of_b):
+        whole = (" " + text).encode("utf-8", "surrogatepass")
+        if (
+            not text
+            or b"".join(map(self.a_bytes.__getitem__, of_a)) != whole
+            or b"".join(map(self.b_bytes.__getitem__, of_b)) != whole
+        ):
+            return [], []
+        return of_a, of_b
 
 
 class Aligned:
@@ -212,8 +216,8 @@ class Aligned:
         upto = np.concatenate((self.a_group, [self.groups]))[self.a_first]
         return np.diff(upto)
 
-    def digests(self):
-        """SHA-256 of each text's groups, written out; empty for a text without tokens."""
+    def written(self):
+        """Each text's groups, written out."""
         a_of = transposed(membership(self.a_group, self.groups)).starts
         b_of = transposed(membership(self.b_group, self.groups)).starts
         codes = np.empty(len(self.a_ids) + len(self.b_ids), dtype=np.int64)
@@ -222,18 +226,10 @@ class Aligned:
         codes[b + a_of[self.b_group + 1]] = (
             self.tokenizers.b_written + 2 * self.b_ids + (b + 1 == b_of[self.b_group + 1])
         )
-        written, out = self.tokenizers.written.__getitem__, []
-        for first, end in zip(self.a_first + self.b_first, (self.a_first + self.b_first)[1:]):
-            if first == end:
-                out.append("")
-                continue
-            digest = hashlib.sha256()
-            for start in range(first, end, ENTRIES_AT_ONCE):
-                some = b"".join(map(written, codes[start : min(start + ENTRIES_AT_ONCE, end)].tolist()))
-                # Nothing follows the last group.
-                digest.update(some[:-1] if start + ENTRIES_AT_ONCE >= end else some)
-            out.append(digest.hexdigest())
-        return out
+        parts = [self.tokenizers.written[code] for code in codes.tolist()]
+        bounds = (self.a_first + self.b_first).tolist()
+        # Nothing follows the last group.
+        return [b"".join(parts[first:end])[:-1] for first, end in zip(bounds, bounds[1:])]
 
     def pairs(self):
         """For each text and id pair in order: text, pair, and how many links of the text hold it."""
@@ -273,10 +269,10 @@ def _plain(docs):
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def _slabs(batches, tokenizers, limit):
+def _slabs(batches, tokenizers):
     """``doc_ids, Aligned`` of consecutive rows, by the size of their texts."""
     for whole in batches:
-        for start, end in slabs(text_sizes(whole.column("text")), limit):
+        for start, end in slabs(text_sizes(whole.column("text")), SLAB_BYTES):
             rows = whole.slice(start, end - start).to_pydict()
             yield rows["doc_id"], Aligned(tokenizers, [t or "" for t in rows["text"]])
 
@@ -292,7 +288,7 @@ def link_rows(docs, a_path, b_path, kind="overlap"):
 
     def run(batches):
         tokenizers = Tokenizers(*sent.value)
-        for doc_ids, aligned in _slabs(batches, tokenizers, SLAB_BYTES):
+        for doc_ids, aligned in _slabs(batches, tokenizers):
             links = aligned.overlaps() if kind == "overlap" else aligned.shared_groups()
             ids = pa.array(doc_ids, pa.int64())
             for a, b, weight in links:
@@ -310,56 +306,89 @@ def link_rows(docs, a_path, b_path, kind="overlap"):
     return _plain(docs).mapInArrow(run, LINK)
 
 
-def _block_rows(sent):
-    def run(batches):
-        from pyspark import TaskContext
-
-        tokenizers = Tokenizers(*sent.value)
-        number = TaskContext.get().partitionId() << 32
-        held, size = [], 0
-        for doc_ids, aligned in _slabs(batches, tokenizers, SLAB_BYTES):
-            texts, keys, times = aligned.pairs()
-            numbers = len(doc_ids)
-            held.append(
-                {
-                    "doc_id": np.array(doc_ids, dtype=object),
-                    "n_a": aligned.n_a,
-                    "n_b": aligned.n_b,
-                    "n_groups": aligned.n_groups(),
-                    "groups_sha256": np.array(aligned.digests(), dtype=object),
-                    "n_pairs": np.bincount(texts, minlength=numbers),
-                    "n_links": np.diff(
-                        np.concatenate(([0], np.cumsum(times)))[
-                            np.searchsorted(texts, np.arange(numbers + 1))
-                        ]
-                    ),
-                    "keys": keys,
-                    "times": times,
-                }
+class Described:
+    """Distinct segments and what the products of their matrices give for each of them."""
+
+    def __init__(self, tokenizers, segments):
+        parts = []
+        sizes = [len(s) for s in segments]
+        for start, end in slabs(sizes, SLAB_BYTES):
+            aligned = Aligned(tokenizers, segments[start:end])
+            owner, keys, times = aligned.pairs()
+            parts.append(
+                (
+                    aligned.n_a,
+                    aligned.n_b,
+                    aligned.n_groups(),
+                    np.bincount(owner, times, end - start).astype(np.int64),
+                    np.bincount(owner, minlength=end - start),
+                    keys,
+                    times,
+                    np.array(aligned.written(), dtype=object),
+                )
             )
-            size += len(aligned.a_rows.columns)
-            if size >= BLOCK_BYTES:
-                yield _block(number, held)
-                number, held, size = number + 1, [], 0
-        if held:
-            yield _block(number, held)
+        none = np.zeros(0, dtype=np.int64)
+        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [none] * 8
+        self.n_a, self.n_b, self.n_groups, self.n_links = columns[:4]
+        self.n_pairs, self.keys, self.times, self.written = columns[4:]
+        self.spelled = self.n_a > 0
 
-    return run
+
+def _sums(values, bounds):
+    return np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.int64)))[bounds])
 
 
-def _block(number, held):
-    joined = {name: np.concatenate([part[name] for part in held]) for name in held[0]}
-    pairs, which = np.unique(joined.pop("keys"), return_inverse=True)
-    times = joined.pop("times")
+def _block(number, rows, tokenizers):
+    """One row for ``(doc_id, text)`` rows: their own figures, their segments, and their pairs."""
+    numbers, own = {}, []
+    for _, text in rows:
+        ids = [
+            numbers.setdefault(segment, len(numbers))
+            for piece in (tokenizers.pieces(text) if text else ())
+            for segment in tokenizers.segments(piece)
+        ]
+        own.append(np.array(ids, dtype=np.int32))
+    segments = list(numbers)
+    described = Described(tokenizers, segments)
+    bad = [i for i, ids in enumerate(own) if not described.spelled[ids].all()]
+    if bad:
+        # A text with a segment that is not spelled is taken whole, and so is not spelled either
+        # unless its tokens spell it across segments.
+        for i in bad:
+            own[i] = np.array([len(segments)], dtype=np.int32)
+            segments.append(rows[i][1])
+        described = Described(tokenizers, segments)
+        for i in bad:
+            if not described.spelled[own[i][0]]:
+                own[i] = own[i][:0]
+    lengths = np.array([len(ids) for ids in own], dtype=np.int64)
+    bounds = np.concatenate(([0], np.cumsum(lengths)))
+    flat = np.concatenate(own) if own else np.zeros(0, dtype=np.int32)
+    keyed = np.repeat(np.arange(len(own)), lengths) * max(len(segments), 1) + flat
+    distinct, occurrences = np.unique(keyed, return_counts=True)
+    segment, doc = distinct % max(len(segments), 1), distinct // max(len(segments), 1)
+    used = np.bincount(segment, occurrences, len(segments)).astype(np.int64)
+    pairs, which = np.unique(described.keys, return_inverse=True)
     totals = np.zeros(len(pairs), dtype=np.int64)
-    np.add.at(totals, which, times)
+    np.add.at(totals, which, described.times * np.repeat(used, described.n_pairs))
+    held = totals > 0
     row = {
         "block": number,
-        **{name: values.tolist() for name, values in joined.items()},
-        "pair": pairs.tolist(),
-        "total": totals.tolist(),
-        "which": which.astype("<i4").tobytes(),
-        "times": times.astype("<i4").tobytes(),
+        "doc_id": [doc_id for doc_id, _ in rows],
+        **{
+            name: _sums(getattr(described, name)[flat], bounds).tolist()
+            for name in ("n_a", "n_b", "n_groups", "n_links")
+        },
+        "groups_sha256": [_digest(described.written, ids) for ids in own],
+        "pair": pairs[held].tolist(),
+        "total": totals[held].tolist(),
+        "pairs_of_segment": described.n_pairs.tolist(),
+        # Pairs of segments that no text has after all get no answer.
+        "which": np.where(held[which], np.cumsum(held)[which] - 1, -1).astype("<i4").tobytes(),
+        "times": described.times.astype("<i4").tobytes(),
+        "segments_of_doc": np.bincount(doc, minlength=len(own)).tolist(),
+        "segment": segment.astype("<i4").tobytes(),
+        "occurrences": occurrences.astype("<i4").tobytes(),
     }
     fields = []
     for field in BLOCK.split(", "):
@@ -370,6 +399,37 @@ def _block(number, held):
     return pa.RecordBatch.from_pylist([row], schema=pa.schema(fields))
 
 
+def _digest(written, ids):
+    """SHA-256 of a text's groups, those of its segments one after the other; empty without tokens."""
+    if not len(ids):
+        return ""
+    digest = hashlib.sha256()
+    for start in range(0, len(ids), ENTRIES_AT_ONCE):
+        digest.update(b";" if start else b"")
+        digest.update(b";".join(written[ids[start : start + ENTRIES_AT_ONCE]].tolist()))
+    return digest.hexdigest()
+
+
+def _block_rows(sent):
+    def run(batches):
+        from pyspark import TaskContext
+
+        tokenizers = Tokenizers(*sent.value)
+        number = TaskContext.get().partitionId() << 32
+        held, size = [], 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+                held.append((doc_id.as_py(), text.as_py() or ""))
+                size += len(held[-1][1])
+                if size >= BLOCK_CHARS:
+                    yield _block(number, held, tokenizers)
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield _block(number, held, tokenizers)
+
+    return run
+
+
 def _per_document(block, answers):
     """The rows of one block's documents from the corpus-wide counts of its pairs."""
     row = block.to_pylist()[0]
@@ -378,14 +438,20 @@ def _per_document(block, answers):
     best = answers.column("best").to_numpy()
     which = np.frombuffer(row["which"], dtype="<i4")
     times = np.frombuffer(row["times"], dtype="<i4").astype(np.int64)
-    bounds = np.concatenate(([0], np.cumsum(row["n_pairs"], dtype=np.int64)))
+    segment = np.frombuffer(row["segment"], dtype="<i4")
+    occurrences = np.frombuffer(row["occurrences"], dtype="<i4").astype(np.int64)
+    of_segment = np.concatenate(([0], np.cumsum(row["pairs_of_segment"], dtype=np.int64)))
+    of_doc = np.concatenate(([0], np.cumsum(row["segments_of_doc"], dtype=np.int64)))
+    # The last value is that of a pair without an answer.
+    count, best = np.append(count, 0), np.append(best, 0)
 
     def per_text(values):
-        return np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.int64)))[bounds])
+        of_segments = _sums(times * values[which], of_segment)
+        return _sums(occurrences * of_segments[segment], of_doc)
 
     columns = {name: row[name] for name in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
-    columns["n_best"] = per_text(times * best[which])
-    columns["count_sum"] = per_text(times * count[which])
+    columns["n_best"] = per_text(best)
+    columns["count_sum"] = per_text(count)
     names = [field.split()[0] for field in RESULT.split(", ")]
     kinds = [pa.string() if name == "groups_sha256" else pa.int64() for name in names]
     return pa.table([pa.array(columns[n], k) for n, k in zip(names, kinds)], names=names)
@@ -398,9 +464,8 @@ def align(docs, a_path, b_path):
     before each text. A text that is null or empty, or that the tokens of either side do not
     spell byte by byte, has no tokens: all its numbers are 0 and its digest is empty. Each row
     counts by itself: repeated rows give repeated results and count as often as they come.
-    Of several highest counts of an id each is the best. Texts of any length are taken whole;
-    long ones are tokenized in pieces where that cannot change a token, and multiplied by
-    slabs of rows. An empty table gives no rows.
+    Of several highest counts of an id each is the best. Texts of any length are taken whole.
+    An empty table gives no rows.
 
     Returns ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``.
     """
