@@ -14,7 +14,9 @@ pairs once, and gets each back once with its count.
 """
 
 import hashlib
+import itertools
 import re
+from collections import defaultdict
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +30,7 @@ from verbalance.llm.words import slabs, text_sizes
 
 # Text tokenized at once, text of one block of documents, and entries of one product.
 SLAB_BYTES = 500_000
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 16_000_000
 ENTRIES_AT_ONCE = 1_000_000
 # Texts are cut into segments some characters at a time.
 PIECE_CHARS = 200_000
@@ -166,37 +168,52 @@ class Tokenizers:
 
     def encode(self, texts):
         """The ids of each text by either tokenizer; none where they do not spell the text."""
-        a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+        spaced = [" " + t for t in texts]
+        a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
         b = self.b.encode(texts, num_threads=1) if texts else []
-        return [self._spelled(text, of_a.ids, of_b) for text, of_a, of_b in zip(texts, a, b)]
-
-    def _spelled(self, text, of_a, of_b):
-        whole = (" " + text).encode("utf-8", "surrogatepass")
+        a_ends, a_spelled = _spelled(self.a_bytes, a)
+        b_ends, b_spelled = _spelled(self.b_bytes, b)
+        encoded = [t.encode("utf-8", "surrogatepass") for t in spaced]
+        ends, whole = np.cumsum([len(e) for e in encoded]), b"".join(encoded)
         if (
-            not text
-            or b"".join(map(self.a_bytes.__getitem__, of_a)) != whole
-            or b"".join(map(self.b_bytes.__getitem__, of_b)) != whole
+            all(texts)
+            and whole == a_spelled == b_spelled
+            and np.array_equal(ends, a_ends)
+            and np.array_equal(ends, b_ends)
         ):
-            return [], []
-        return of_a, of_b
+            return a, b
+        for i, text in enumerate(encoded):
+            sides = b"".join([self.a_bytes[t] for t in a[i]]), b"".join([self.b_bytes[t] for t in b[i]])
+            if not texts[i] or sides != (text, text):
+                a[i], b[i] = [], []
+        return a, b
+
+
+def _spelled(spelling, ids):
+    """Where each text ends in the bytes of all tokens, and these bytes."""
+    flat = list(itertools.chain.from_iterable(ids))
+    parts = list(map(spelling.__getitem__, flat))
+    upto = np.concatenate(([0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))))
+    return upto[np.cumsum([len(own) for own in ids], dtype=np.int64)], b"".join(parts)
 
 
 class Aligned:
     """The tokens of some texts, one text after the other, and the groups they are cut into."""
 
     def __init__(self, tokenizers, texts):
-        found = tokenizers.encode(texts)
+        a, b = tokenizers.encode(texts)
         self.tokenizers = tokenizers
-        self.n_a = np.array([len(a) for a, _ in found], dtype=np.int64)
-        self.n_b = np.array([len(b) for _, b in found], dtype=np.int64)
-        self.a_ids = np.array([i for a, _ in found for i in a], dtype=np.int64)
-        self.b_ids = np.array([i for _, b in found for i in b], dtype=np.int64)
+        self.n_a = np.array([len(own) for own in a], dtype=np.int64)
+        self.n_b = np.array([len(own) for own in b], dtype=np.int64)
+        self.a_ids = np.array(list(itertools.chain.from_iterable(a)), dtype=np.int64)
+        self.b_ids = np.array(list(itertools.chain.from_iterable(b)), dtype=np.int64)
         a_lengths = tokenizers.a_lengths[self.a_ids]
         b_lengths = tokenizers.b_lengths[self.b_ids]
         size = int(a_lengths.sum())
         self.a_rows, self.b_rows = incidence(a_lengths, size), incidence(b_lengths, size)
         a_ends, b_ends = self.a_rows.starts[1:], self.b_rows.starts[1:]
-        cuts = np.intersect1d(a_ends, b_ends)
+        # Both ascend, and both end with the last byte.
+        cuts = a_ends[b_ends[np.searchsorted(b_ends, a_ends)] == a_ends]
         self.a_group = np.searchsorted(cuts, a_ends)
         self.b_group = np.searchsorted(cuts, b_ends)
         self.groups = len(cuts)
@@ -340,14 +357,13 @@ def _sums(values, bounds):
 
 def _block(number, rows, tokenizers):
     """One row for ``(doc_id, text)`` rows: their own figures, their segments, and their pairs."""
-    numbers, own = {}, []
+    numbers, own = defaultdict(itertools.count().__next__), []
     for _, text in rows:
         ids = [
-            numbers.setdefault(segment, len(numbers))
+            np.fromiter(map(numbers.__getitem__, tokenizers.segments(piece)), dtype=np.int32)
             for piece in (tokenizers.pieces(text) if text else ())
-            for segment in tokenizers.segments(piece)
         ]
-        own.append(np.array(ids, dtype=np.int32))
+        own.append(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32))
     segments = list(numbers)
     described = Described(tokenizers, segments)
     bad = [i for i, ids in enumerate(own) if not described.spelled[ids].all()]
