@@ -121,3 +121,75 @@ def test_summary_of_written_gold_reads_labels_only(spark, tmp_path, bronze, refe
     capsys.readouterr()
     summaries.quality_summary(result.gold).explain()
     assert "ReadSchema: struct<quality_status:string>" in capsys.readouterr().out
+
+
+def test_a_lost_driver_leaves_a_failed_row(spark, tmp_path):
+    """A run in a process of its own that is killed; the next run closes it, once."""
+    import os
+    import signal
+    import subprocess
+    import sys
+    import time
+
+    audit, markers = str(tmp_path / "audit"), str(tmp_path / "markers")
+    script = tmp_path / "lost.py"
+    script.write_text(
+        "import sys, time\n"
+        "from verbalance.session import build_session\n"
+        "from verbalance.plans.run_audit import audited_run\n"
+        "from verbalance.sinks.datasets import dataset_appender\n"
+        "spark = build_session('lost', 'local[1]', spark_ui_enabled='false')\n"
+        f"with audited_run(spark, dataset_appender({audit!r}), run_id='lost', markers={markers!r}):\n"
+        "    print('running', flush=True)\n"
+        "    time.sleep(600)\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    process = subprocess.Popen(
+        [sys.executable, str(script)], stdout=subprocess.PIPE, stderr=subprocess.DEVNULL,
+        env={**os.environ, "PYTHONPATH": root}, text=True,
+    )
+    try:
+        assert process.stdout.readline().strip() == "running"
+    finally:
+        os.kill(process.pid, signal.SIGKILL)
+        process.wait()
+    append = dataset_appender(audit)
+    for _ in range(2):
+        with audited_run(spark, append, markers=markers):
+            pass
+    rows = read_dataset(spark, audit, RUN_AUDIT).collect()
+    lost = [r for r in rows if r["run_id"] == "lost"]
+    assert len(rows) == 3 and len(lost) == 1
+    assert (lost[0]["run_status"], lost[0]["error_type"]) == ("FAILED", "RunLost")
+    assert lost[0]["run_end_time"] >= lost[0]["run_start_time"]
+    assert not [n for n in os.listdir(markers) if n.endswith(".json")]
+
+
+def test_a_retried_append_and_a_row_written_before_the_driver_was_lost(spark, tmp_path):
+    from verbalance.sinks import control
+
+    append, markers = dataset_appender(str(tmp_path / "audit")), str(tmp_path / "markers")
+
+    def twice(frame):
+        append(frame)
+        append(frame)
+
+    with audited_run(spark, twice, run_id="done", markers=markers):
+        pass
+    # The driver was lost after the row was written and before the marker was removed.
+    begun = {"run_id": "done", "run_start_time": "2024-01-01T00:00:00"}
+    control.write_json(spark, f"{markers}/done.json", begun)
+    with audited_run(spark, append, run_id="next", markers=markers):
+        pass
+    rows = read_dataset(spark, str(tmp_path / "audit"), RUN_AUDIT).collect()
+    assert sorted((r["run_id"], r["run_status"]) for r in rows) == [("done", "SUCCESS"), ("next", "SUCCESS")]
+
+
+def test_reports_are_read_from_storage(spark, tmp_path, bronze, reference):
+    store = str(tmp_path / "store")
+    result = run_reconciliation(spark, bronze, lambda: reference, store, dataset_appender(str(tmp_path / "a")))
+    folder = f"{store}/run_id={result.run_id}"
+    for name in result._fields[1:]:
+        stored = spark.read.parquet(f"{folder}/{name}")
+        assert rows_of(stored) == rows_of(getattr(result, name)), name
+    assert spark.read.parquet(f"{folder}/deduplicated").count() == 2

@@ -92,3 +92,52 @@ def test_failed_and_successful_runs_share_one_table(spark, url):
         ("FAILED", 1, None, "KeyError"),
         ("SUCCESS", 3, 2, None),
     ]
+
+
+def test_ranges_of_like_size_for_a_skewed_key(spark, url):
+    """A third of the rows have one key, a third share a prefix, some keys are null."""
+    rows = [("hot", f"{i:04}.wav") for i in range(400)]
+    rows += [(f"abcdef{i:03x}", "x.wav") for i in range(400)]
+    rows += [(f"{i * 37 % 256:02x}{i:03x}", "y.wav") for i in range(400)]
+    rows += [("it's", "q.wav"), ("", "empty.wav")]
+    frame = spark.createDataFrame(rows, "audio_id string, audio_file string")
+    types = "audio_id VARCHAR(64), audio_file VARCHAR(200)"
+    sink.append_table(frame, url, "skewed", driver=DRIVER, createTableColumnTypes=types)
+    ranges = tables.balanced_ranges(
+        spark, url, "skewed", '"audio_id"', 12, '"audio_file"', driver=DRIVER
+    )
+    parts = tables.read_table(spark, url, "skewed", ranges, driver=DRIVER)
+    assert rows_of(parts) == rows_of(frame)
+    sizes = parts.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    assert 10 <= len(sizes) <= 16 and max(sizes) <= 2 * len(rows) / 12
+    # Null keys, which this database takes from Spark for large texts only, are in one range too.
+    keys = frame.unionByName(spark.createDataFrame([(None, "n"), ("zz", None)], frame.schema))
+    hits = " + ".join(f"cast(coalesce({r}, false) as int)" for r in ranges).replace('"', "`")
+    assert keys.where(f"{hits} <> 1").count() == 0
+    # Without a second column the hot key is one range.
+    alone = tables.balanced_ranges(spark, url, "skewed", '"audio_id"', 12, driver=DRIVER)
+    parts = tables.read_table(spark, url, "skewed", alone, driver=DRIVER)
+    assert rows_of(parts) == rows_of(frame)
+
+
+def test_ranges_of_an_empty_table_and_of_one_key(spark, url):
+    frame = spark.createDataFrame([], "audio_id string, audio_file string")
+    types = "audio_id VARCHAR(64), audio_file VARCHAR(200)"
+    sink.append_table(frame, url, "bare", driver=DRIVER, createTableColumnTypes=types)
+    ranges = tables.balanced_ranges(spark, url, "bare", '"audio_id"', 8, driver=DRIVER)
+    assert tables.read_table(spark, url, "bare", ranges, driver=DRIVER).count() == 0
+    one = spark.createDataFrame([("k", "a")] * 30, "audio_id string, audio_file string")
+    sink.append_table(one, url, "bare", driver=DRIVER)
+    ranges = tables.balanced_ranges(spark, url, "bare", '"audio_id"', 8, '"audio_file"', driver=DRIVER)
+    assert tables.read_table(spark, url, "bare", ranges, driver=DRIVER).count() == 30
+
+
+def test_an_audit_row_is_appended_once(spark, url):
+    append = sink.table_appender(url, "runs", driver=DRIVER)
+    for _ in range(2):
+        with audited_run(spark, append, run_id="one"):
+            pass
+    with audited_run(spark, append, run_id="two"):
+        pass
+    found = spark.read.format("jdbc").options(url=url, dbtable="runs", driver=DRIVER).load()
+    assert sorted(r["run_id"] for r in found.collect()) == ["one", "two"]

@@ -1,4 +1,4 @@
-"""Command line for spark-submit: ``jobs.py intake | stream | reconcile | table``.
+"""Command line for spark-submit: ``jobs.py intake | stream | history | reconcile | table``.
 
     spark-submit --py-files verbalance.zip verbalance/jobs.py intake \\
         --input s3a://audio/incoming --store s3a://audio/store \\
@@ -33,27 +33,58 @@ def _pairs(options):
 
 
 def _reference(spark, args):
-    ranges = tables.hex_ranges(args.split_key, args.split_digits) if args.split_key else None
-    return tables.read_table(spark, args.url, args.table, ranges, **_pairs(args.option))
+    options = _pairs(args.option)
+    whole = tables.read_table(spark, args.url, args.table, **options)
+    parts = args.partitions or spark.sparkContext.defaultParallelism
+    key = args.split_key
+    if key is None and "audio_id" in whole.columns:
+        key = tables.quoted(args.url, "audio_id")
+    if key is None or parts == 1:
+        return whole
+    second = tables.quoted(args.url, "audio_file") if "audio_file" in whole.columns else None
+    ranges = tables.balanced_ranges(spark, args.url, args.table, key, parts, second, **options)
+    return tables.read_table(spark, args.url, args.table, ranges, **options)
 
 
 def intake(spark, args):
     """Take in a drop directory, or one file, and show the batch summary."""
-    store = IntakeStore(spark, args.store)
-    run_intake(spark, args.input, store, _named(args.recognizer)).show(truncate=False)
+    run_intake(
+        spark,
+        args.input,
+        _store(spark, args),
+        _named(args.recognizer),
+        recursive=args.recursive,
+        only_new=args.only_new,
+    ).show(truncate=False)
+
+
+def _store(spark, args):
+    folders = {"processed": args.processed, "failed": args.failed}
+    return IntakeStore(spark, args.store, {k: v for k, v in folders.items() if v})
 
 
 def stream(spark, args):
     """Take in what arrived in a drop directory since the last start."""
     arriving = files.stream_audio(spark, args.input, args.max_files)
+    start_intake(
+        arriving, _store(spark, args), args.checkpoint, _named(args.recognizer)
+    ).awaitTermination()
+
+
+def history(spark, args):
+    """Show the intake audit, with the rows of an old audit array if one is given."""
     store = IntakeStore(spark, args.store)
-    start_intake(arriving, store, args.checkpoint, _named(args.recognizer)).awaitTermination()
+    rows = records.read_audit_history(spark, store.audit_path, args.legacy_file)
+    rows.show(truncate=False)
+    print("audit rows:", rows.count())
 
 
 def reconcile(spark, args):
-    """Run the reconciliation and show its reports; duplicates and gold are written."""
+    """Run the reconciliation, write its reports and show them."""
     if args.json:
-        read = records.read_legacy_bronze(spark, args.bronze, keep_corrupt=True)
+        read = records.read_legacy_bronze(
+            spark, args.bronze, args.fill_file_name, keep_corrupt=True
+        )
         bronze, corrupt = records.land(read, f"{args.results}/landed")
         print("unreadable records:", corrupt.count())
     else:
@@ -103,21 +134,29 @@ def parser():
     def drop(sub):
         for name in ("--input", "--store", "--recognizer"):
             sub.add_argument(name, required=True)
+        sub.add_argument("--processed", help="folder that recognized files are moved to")
+        sub.add_argument("--failed", help="folder that failed files are moved to")
 
     def database(sub):
         sub.add_argument("--url", required=True, help="JDBC address")
         sub.add_argument("--table", default="audio_reference")
         sub.add_argument("--option", action="append", default=[], help="connection key=value")
-        sub.add_argument("--split-key", help="hex key column to read in ranges")
-        sub.add_argument("--split-digits", type=int, default=2, help="16 ** digits ranges")
-
-    command(intake, drop)
+        sub.add_argument("--split-key", help="string column to read in ranges, as SQL spells it")
+        sub.add_argument("--partitions", type=int, help="ranges to read at once; 1 for no ranges")
+
+    batch = command(intake, drop)
+    batch.add_argument("--recursive", action="store_true", help="folders below the input as well")
+    batch.add_argument("--only-new", action="store_true", help="only what the last run did not see")
+    past = command(history)
+    past.add_argument("--store", required=True)
+    past.add_argument("--legacy-file", help="audit array of the single-machine job")
     streaming = command(stream, drop)
     streaming.add_argument("--checkpoint", required=True)
     streaming.add_argument("--max-files", type=int, default=100_000)
     run = command(reconcile, database)
     run.add_argument("--bronze", required=True)
     run.add_argument("--json", action="store_true", help="bronze is a directory of JSON records")
+    run.add_argument("--fill-file-name", action="store_true", help="read old names of failed records")
     run.add_argument("--latest", action="store_true", help="only the last record per base name")
     run.add_argument("--results", required=True)
     run.add_argument("--audit-table", help="append the audit row to this table of the database")

@@ -44,10 +44,10 @@ def run_reconciliation(
 
     ``load_reference()`` gives the table of expected texts, so that a failing
     connection is part of the audited run. Bronze should be a columnar dataset;
-    land JSON records first, since two passes are made over them. Gates only
-    report unless ``strict``.
+    land JSON records first, since three passes are made over them. Gates only
+    report unless ``strict``. Each report is written to a folder of its name.
     """
-    with audited_run(spark, append_audit, clock) as run:
+    with audited_run(spark, append_audit, clock, markers=f"{store}/_runs") as run:
         folder = f"{store}/run_id={run.run_id}"
         bronze = reconcile.with_audio_file(bronze)
         checks = session.written(quality.bronze_checks(bronze), f"{folder}/bronze_checks")
@@ -87,17 +87,26 @@ def run_reconciliation(
             )
         run.record(final_record_count=gold.count())
 
+        def report(name, frame):
+            return session.written(frame, f"{folder}/{name}")
+
         return Reconciliation(
             run_id=run.run_id,
             gold=gold,
             bronze_checks=checks,
             gates=gates,
             stage_counts=counts,
-            bronze_duplicates=tallies.side_duplicates(keys, "bronze_rows"),
-            reference_duplicates=tallies.side_duplicates(keys, "reference_rows"),
-            joined_duplicates=tallies.joined_duplicates(keys),
-            reconciliation_summary=summaries.reconciliation_summary(gold),
-            quality_summary=summaries.quality_summary(gold),
-            reason_breakdown=summaries.reason_breakdown(gold),
-            deduplicated=reconcile.deduplicated(silver, reference),
+            bronze_duplicates=report(
+                "bronze_duplicates", tallies.side_duplicates(keys, "bronze_rows")
+            ),
+            reference_duplicates=report(
+                "reference_duplicates", tallies.side_duplicates(keys, "reference_rows")
+            ),
+            joined_duplicates=report("joined_duplicates", tallies.joined_duplicates(keys)),
+            reconciliation_summary=report(
+                "reconciliation_summary", summaries.reconciliation_summary(gold)
+            ),
+            quality_summary=report("quality_summary", summaries.quality_summary(gold)),
+            reason_breakdown=report("reason_breakdown", summaries.reason_breakdown(gold)),
+            deduplicated=report("deduplicated", reconcile.deduplicated(silver, reference)),
         )

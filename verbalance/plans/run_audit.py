@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from verbalance import fixed
 from verbalance.schemas import RUN_AUDIT
+from verbalance.sinks import control
 from verbalance.sources.records import rows_frame
 
 _log = logging.getLogger(__name__)
@@ -49,15 +50,40 @@ class Run:
         }
 
 
+def close_lost_runs(spark, append, markers, clock=utc_now):
+    """Append a FAILED row for each run that left its marker behind: its driver was lost.
+
+    A run whose row was appended before its driver was lost keeps that row. Runs that share a
+    folder of markers must not overlap.
+    """
+    for name in sorted(n for n in control.names(spark, markers) if n.endswith(".json")):
+        lost = control.read_json(spark, f"{markers}/{name}")
+        run = Run(lost["run_id"], datetime.fromisoformat(lost["run_start_time"]))
+        error = RunLost("the run did not come to its end")
+        append(rows_frame(spark, [run.row(fixed.RUN_FAILED, clock(), error)], RUN_AUDIT))
+        control.remove(spark, f"{markers}/{name}")
+
+
+class RunLost(RuntimeError):
+    """The driver of a run was lost."""
+
+
 @contextmanager
-def audited_run(spark, append, clock=utc_now, run_id=None):
+def audited_run(spark, append, clock=utc_now, run_id=None, markers=None):
     """Run a block and append its audit row by ``append(frame)``.
 
     An exception in the block is recorded as a FAILED row and raised again. If
     that row cannot be written, the problem is logged and the first exception
-    still comes through.
+    still comes through. With a folder of ``markers`` a run leaves a marker there until its row
+    is written; the next run closes those that were left behind.
     """
+    if markers:
+        close_lost_runs(spark, append, markers, clock)
     run = Run(run_id or str(uuid.uuid4()), clock())
+    marker = f"{markers}/{run.run_id}.json"
+    if markers:
+        begun = {"run_id": run.run_id, "run_start_time": run.started.isoformat()}
+        control.write_json(spark, marker, begun)
     try:
         yield run
     except BaseException as error:
@@ -65,5 +91,10 @@ def audited_run(spark, append, clock=utc_now, run_id=None):
             append(rows_frame(spark, [run.row(fixed.RUN_FAILED, clock(), error)], RUN_AUDIT))
         except Exception:
             _log.exception("audit row of failed run %s was not written", run.run_id)
+        else:
+            if markers:
+                control.remove(spark, marker)
         raise
     append(rows_frame(spark, [run.row(fixed.RUN_SUCCESS, clock())], RUN_AUDIT))
+    if markers:
+        control.remove(spark, marker)

@@ -34,6 +34,11 @@ def make_folder(spark, path):
     system.mkdirs(place)
 
 
+def remove(spark, path):
+    system, place = _system(spark, path)
+    system.delete(place, False)
+
+
 def read_json(spark, path):
     system, place = _system(spark, path)
     stream = system.open(place)

@@ -1,5 +1,7 @@
 """Parquet datasets that grow by one partition per batch."""
 
+from verbalance.sources.records import read_dataset
+
 
 def write_batch(df, path, batch_id):
     """Write the rows of one batch, replacing all that an earlier try of it left.
@@ -30,5 +32,10 @@ def append_rows(df, path):
 
 
 def dataset_appender(path):
-    """A sink for run audit rows."""
-    return lambda df: append_rows(df, path)
+    """A sink for run audit rows; a run whose row is there is not added again."""
+
+    def append(df):
+        known = read_dataset(df.sparkSession, path, df.schema).select("run_id")
+        append_rows(df.join(known, "run_id", "left_anti").select(*df.columns), path)
+
+    return append
