@@ -312,6 +312,13 @@ from audio""",
 select path, base_name from audio where base_name not in (select base_name from done)""",
     "intake_skipped": """
 select path, base_name from audio where base_name in (select base_name from done)""",
+    "intake_done_index": """
+select path, base_name, base_name in (select base_name from done) as done from audio""",
+    "intake_second_run": """
+select regexp_extract(path, '[^/]*$') as audio_file, status, cast(1 as bigint) as audit_rows,
+       case status when 'success' then 'processed' when 'failed' then 'failed' else 'incoming' end
+           as folder
+from settled_all""",
     "intake_collision": "select path, base_name, status from settled_all",
     "intake_batch_summary": f"""
 select '{BATCH}' as batch_id, count(*) as total_files,

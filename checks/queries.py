@@ -19,12 +19,13 @@ from verbalance.operators import (
     summaries,
     tallies,
 )
-from verbalance.plans.intake_batch import IntakeStore
+from verbalance.plans.intake_batch import IntakeStore, run_intake
 from verbalance.plans.run_audit import audited_run
 from verbalance.schemas import BRONZE, INTAKE_AUDIT, RUN_AUDIT
 from verbalance.sinks import datasets
+from verbalance.sinks.done_names import DoneNames
 from verbalance.sources import files as file_source
-from verbalance.sources import records
+from verbalance.sources import listing, records
 from verbalance.streaming import incremental
 
 LABEL_COLUMNS = (
@@ -493,6 +494,64 @@ def intake_skipped(spark, sf_dir):
     return intake.already_done(*_work(spark, sf_dir)).select("path", "base_name")
 
 
+def intake_done_index(spark, sf_dir):
+    """The decision of ``intake_pending`` and ``intake_skipped`` by the index of done names."""
+    files = _audio(spark, sf_dir).select("path", "base_name")
+    prior = fx.table(spark, sf_dir, "fx_prior")
+    done = prior.where((F.col("status") == fixed.SUCCESS) & (F.col("audio_id") != ""))
+    index = DoneNames(spark, session.scratch_path(spark, "done_names"))
+    index.add(done.select("base_name", F.lit("earlier").alias("batch_id")), ["earlier"])
+    return intake.mark_names(files, index.lookup(files)).select("path", "base_name", "done")
+
+
+def _dropped(files, folder):
+    """Write the content of each row to a file of its name in ``folder``."""
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, made = fs.LocalFileSystem(), False
+        place = "/" + folder.removeprefix("file:").lstrip("/")
+        for batch in batches:
+            if not made:
+                system.create_dir(place)
+                made = True
+            for row in batch.to_pylist():
+                with system.open_output_stream(f"{place}/{row['path'].rsplit('/', 1)[-1]}") as out:
+                    out.write(row["content"] or b"")
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    files.select("path", "content").mapInArrow(run, "files bigint").agg(F.sum("files")).collect()
+
+
+def intake_second_run(spark, sf_dir):
+    """Files dropped in a folder and taken in twice: the second run finds nothing to do.
+
+    Tells of each file its status, how many audit rows it has, and the folder it is in at the end.
+    """
+    root = session.scratch_path(spark, "second_run")
+    place = file_source.qualified(spark, root)
+    _dropped(file_source.audio_only(fx.table(spark, sf_dir, "fx_files")), f"{place}/incoming")
+    folders = {name: f"{place}/{name}" for name in ("processed", "failed")}
+    store = IntakeStore(spark, f"{root}/store", folders)
+    for _ in range(2):
+        run_intake(spark, f"{root}/incoming", store, *_recognizer(), only_new=True)
+    found = None
+    for name in ("incoming", "processed", "failed"):
+        files = listing.list_files(spark, f"{place}/{name}", f"{root}/listed-{name}")
+        files = files.select(
+            paths.file_name(F.col("path")).alias("audio_file"), F.lit(name).alias("folder")
+        )
+        found = files if found is None else found.unionByName(files)
+    told = store.audit().groupBy("audio_file").agg(
+        F.max("status").alias("status"), F.count(F.lit(1)).alias("audit_rows")
+    )
+    return found.join(told, "audio_file", "full_outer").select(
+        "audio_file", "status", "audit_rows", "folder"
+    )
+
+
 def intake_collision(spark, sf_dir):
     files = _all_attempts(spark, sf_dir).select("path", "base_name", "recognized")
     hot = skew.find_hot(files, None, "base_name")
@@ -572,6 +631,8 @@ QUERIES = {
         silver_reference_join,
         intake_pending,
         intake_skipped,
+        intake_done_index,
+        intake_second_run,
         intake_collision,
         bronze_duplicates,
         reference_duplicates,
