@@ -18,7 +18,7 @@ PATTERN = (
 )
 NO_PAIR = 1 << 60
 # Words remembered by a task, and longest word in bytes whose tree is one row of a table.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 TOGETHER = 64
 CHARS_AT_ONCE = 2_000_000
 

@@ -29,7 +29,9 @@ STEPS, RATE, RIDGE = 80, 0.3, 0.05
 CHAIN, MOST_CHAINS = 32, 6000
 WORDS_AT_ONCE = 50_000
 CHUNK = 32
-BYTES_AT_ONCE = 2_000_000
+BYTES_AT_ONCE = 500_000
+# Parts that the sample's units are counted in, one at a time.
+PARTS = 8
 SPAN_AT = 0.5
 
 
@@ -48,14 +50,17 @@ class Tokens:
     def __init__(self, texts):
         self.data, self.offsets = words.joined_bytes(texts)
         self.starts, self.ends = words.find_words(self.data, letters_only=True)
-        # Units of a token: its word, and those of its beginnings that are shorter (else 0).
-        self.units = [_hashed(self.data, self.starts, self.ends)]
+        self.bounds = np.searchsorted(self.starts, self.offsets)
+        self.text_of = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(self.bounds))
+
+    def units(self):
+        """Units of a token, one kind after the other: its word, and its beginnings that are shorter (else 0)."""
+        yield _hashed(self.data, self.starts, self.ends)
         for size in BEGINNINGS:
             cut = np.minimum(self.ends, self.starts + size)
             unit = words.mix(_hashed(self.data, self.starts, cut) + np.uint64(size))
-            self.units.append(np.where(cut < self.ends, unit, np.uint64(0)))
-        self.bounds = np.searchsorted(self.starts, self.offsets)
-        self.text_of = np.repeat(np.arange(len(texts)), np.diff(self.bounds))
+            unit[cut >= self.ends] = 0
+            yield unit
 
 
 def _lookup(vocabulary, hashes):
@@ -66,15 +71,20 @@ def _lookup(vocabulary, hashes):
     return np.where(vocabulary[at] == hashes, at + 1, 0).astype(np.int32)
 
 
-def _features(tokens, vocabulary):
-    """For each token the numbers of its units and of the words around it; the edge of a text is 0."""
-    own = [_lookup(vocabulary, unit) for unit in tokens.units]
-    before, after = np.zeros_like(own[0]), np.zeros_like(own[0])
-    before[1:], after[:-1] = own[0][:-1], own[0][1:]
-    full = np.diff(tokens.bounds) > 0
-    before[tokens.bounds[:-1][full]] = 0
-    after[tokens.bounds[1:][full] - 1] = 0
-    return [*own, before, after]
+def _features(tokens, vocabulary, picked=slice(None)):
+    """For each picked token the numbers of its units and of the words around it; the edge of a text is 0."""
+    own, around = [], []
+    for unit in tokens.units():
+        numbers = _lookup(vocabulary, unit)
+        if not own:
+            before, after = np.zeros_like(numbers), np.zeros_like(numbers)
+            before[1:], after[:-1] = numbers[:-1], numbers[1:]
+            full = np.diff(tokens.bounds) > 0
+            before[tokens.bounds[:-1][full]] = 0
+            after[tokens.bounds[1:][full] - 1] = 0
+            around = [before[picked], after[picked]]
+        own.append(numbers[picked])
+    return [*own, *around]
 
 
 def _unary(bias, weights, features):
@@ -195,24 +205,35 @@ def _logit(p):
     return np.log(p / (1 - p))
 
 
+def _documents(unit, part, text_of, toxic):
+    """Units of one part of all hashes: each with its documents and its toxic documents."""
+    rows = np.flatnonzero((unit != 0) & (unit % np.uint64(PARTS) == np.uint64(part)))
+    if not len(rows):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
+    unit, text = unit[rows], text_of[rows]
+    order = np.lexsort((text, unit))
+    unit, text = unit[order], text[order]
+    fresh = np.append(True, (unit[1:] != unit[:-1]) | (text[1:] != text[:-1]))
+    unit, text = unit[fresh], text[fresh]
+    found, first = np.unique(unit, return_index=True)
+    bad = np.add.reduceat(toxic[text].astype(float), first)
+    return found, np.diff(np.append(first, len(unit))), bad
+
+
 def label_tokens(tokens, toxic):
     """Which tokens of the sample count as toxic, and the words worth a feature."""
     n_bad, n_good = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
     best, kept = np.zeros(len(tokens.text_of)), []
-    for unit in tokens.units:
-        there = unit != 0
-        seen = np.stack((unit[there], tokens.text_of[there].astype(np.uint64)), axis=1)
-        if not len(seen):
+    for unit in tokens.units():
+        parts = [_documents(unit, part, tokens.text_of, toxic) for part in range(PARTS)]
+        found, both, bad = (np.concatenate(column) for column in zip(*parts))
+        if not len(found):
             continue
-        seen = seen[np.lexsort((seen[:, 1], seen[:, 0]))]
-        seen = seen[np.append(True, (seen[1:] != seen[:-1]).any(axis=1))]
-        found, first = np.unique(seen[:, 0], return_index=True)
-        marked = toxic[seen[:, 1].astype(np.int64)].astype(float)
-        bad = np.add.reduceat(marked, first)
-        both = np.diff(np.append(first, len(seen)))
+        order = np.argsort(found)
+        found, both, bad = found[order], both[order], bad[order]
         score = np.log((bad + 0.5) / (n_bad + 1)) - np.log((both - bad + 0.5) / (n_good + 1))
         score[(score < LEAST_SCORE) | (bad < LEAST_DOCUMENTS)] = 0
-        own = np.where(there, score[np.minimum(np.searchsorted(found, unit), len(found) - 1)], 0)
+        own = np.where(unit != 0, score[np.minimum(np.searchsorted(found, unit), len(found) - 1)], 0)
         best = np.maximum(best, own)
         kept.append(found[both >= LEAST_DOCUMENTS])
     highest = _highest(best, tokens.bounds)[tokens.text_of]
@@ -240,14 +261,12 @@ def fit(texts, toxic):
         return {"base": base}
     tokens = Tokens(texts)
     labels, vocabulary = label_tokens(tokens, toxic)
-    every = _features(tokens, vocabulary)
-    # The hashes are numbered now.
-    tokens.units = None
     size = len(vocabulary) + 1
     weights = np.zeros((3, size))
     bias, transitions = np.array([-4.0]), np.zeros((2, 2))
     picked, bounds = _chains(tokens, labels)
-    features, labels = [f[picked] for f in every], labels[picked]
+    features, labels = _features(tokens, vocabulary, picked), labels[picked]
+    del tokens
     inner = np.ones(max(len(labels) - 1, 0), dtype=bool)
     inner[bounds[1:-1] - 1] = False
     seen = np.zeros((2, 2))
@@ -271,20 +290,19 @@ def fit(texts, toxic):
             p += (
                 RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-10)
             )
+    model = {"bias": float(bias[0]), "weights": weights, "transitions": transitions}
+    model["vocabulary"] = vocabulary
     evidence = []
-    for first, last in words.slabs(np.diff(tokens.bounds).tolist(), WORDS_AT_ONCE):
-        start, end = tokens.bounds[first], tokens.bounds[last]
-        bounds = tokens.bounds[first : last + 1] - start
-        unary = _unary(bias[0], weights, [f[start:end] for f in every])
-        evidence.append(_evidence(marginals(unary, bounds, transitions)[0], bounds))
-    return {
-        "base": base,
-        "vocabulary": vocabulary,
-        "weights": weights,
-        "bias": float(bias[0]),
-        "transitions": transitions,
-        "curve": _calibrate(np.concatenate(evidence), toxic),
-    }
+    for first, last in words.slabs([len(t) for t in texts], BYTES_AT_ONCE):
+        own = Tokens(texts[first:last])
+        evidence.append(_evidence(_chances(model, own), own.bounds))
+    return {**model, "base": base, "curve": _calibrate(np.concatenate(evidence), toxic)}
+
+
+def _chances(model, tokens):
+    """The marginal of the toxic state for each token."""
+    unary = _unary(model["bias"], model["weights"], _features(tokens, model["vocabulary"]))
+    return marginals(unary, tokens.bounds, model["transitions"])[0]
 
 
 def _evidence(chance, bounds):
@@ -336,9 +354,7 @@ def score_texts(model, texts):
     if "weights" not in model:
         return np.full(len(texts), model["base"]), none
     tokens = Tokens(texts)
-    features = _features(tokens, model["vocabulary"])
-    unary = _unary(model["bias"], model["weights"], features)
-    chance, _ = marginals(unary, tokens.bounds, model["transitions"])
+    chance = _chances(model, tokens)
     scores = _doc_scores(model["curve"], _evidence(chance, tokens.bounds))
     hits = np.flatnonzero(chance >= SPAN_AT)
     found, first = np.unique(tokens.text_of[hits], return_index=True)
