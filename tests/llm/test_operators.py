@@ -627,3 +627,44 @@ def test_spans_of_a_very_long_text_take_linear_time(spark):
     _, (spans,) = toxicity.score_texts(model, [long])
     assert time.perf_counter() - start < 60
     assert spans == [(0, len(long) - 1)]
+
+
+MENU = "<div class=m>" + "".join(f"<p>Section {k} of our shop sells things of kind {k}</p>" for k in range(8)) + "</div>"
+
+
+@pytest.mark.parametrize("count", [2, 3, 6])
+def test_html_menu_longer_than_the_article(spark, count):
+    stories = [f"short story number {k} has some nine words {k * k}" for k in range(count)]
+    for wrap in ("<div class=b><p>{}</p></div>", "<section><div><p>{}</p></div></section>"):
+        found = html_rows(spark, [MENU + wrap.format(s) for s in stories], host=f"h{count}.x")
+        assert found == dict(enumerate(stories))
+
+
+def test_html_pages_that_differ_by_a_date_keep_their_article(spark):
+    story = "".join(f"<p>paragraph {k} of the only article on this host</p>" for k in range(4))
+    found = html_rows(spark, [f"<div class=b>{story}</div><div class=d>day {k}</div>" for k in range(3)])
+    assert all("paragraph 3 of the only article on this host" in text for text in found.values())
+
+
+def test_html_sections_of_an_article_keep_their_names():
+    body = (
+        "<article><p>first</p><div class=related><p>Real section</p></div><section id=search><p>On search</p></section>"
+        "<div class=ad><p>buy</p></div><div class=comments><p>hm</p></div></article><div class=related><p>more</p></div>"
+    )
+    assert html_text.extract(page(body), None) == "first\n\nReal section\n\nOn search"
+
+
+def test_html_against_a_plain_reading_without_articles(spark):
+    """Pages of several hosts, menu and footer in plain elements: what only one page of a host has is its article."""
+    rng = np.random.default_rng(8)
+    words = np.array("alpha beta gamma delta epsilon zeta eta theta iota kappa".split())
+    rows, expected = [], []
+    for host in range(4):
+        top = "".join(f"<p>host {host} menu {k}</p>" for k in range(int(rng.integers(1, 9))))
+        for k in range(int(rng.integers(2, 7))):
+            own = [f"h{host} p{k} t{n} " + " ".join(rng.choice(words, 9)) for n in range(int(rng.integers(1, 5)))]
+            body = f"<div class=t><ul>{top}</ul></div><div class=c>{''.join(f'<p>{t}</p>' for t in own)}</div><div class=z><p>host {host} end</p></div>"
+            rows.append((len(rows), f"http://h{host}.x/{k}", page(body)))
+            expected.append((len(expected), "\n\n".join(own)))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert same(picked(html_text.main_text(pages), "page_id", "text"), expected)

@@ -26,10 +26,8 @@ from verbalance.llm import words
 from verbalance.llm.url_filter import host_of
 
 BYTES_AT_ONCE = 4_000_000
-# Pages with different texts that a constant text is on at least.
-SUPPORT = 3
-# A broadcast of templates, by rows and by measured bytes.
-BROADCAST_HOSTS, BROADCAST_BYTES = 200_000, 32 * 1024 * 1024
+# A page whose own text has fewer words, such as a date, is taken for a copy of other pages.
+OWN_WORDS = 8
 
 # HTML element names by what they are, and names authors give to page furniture.
 SKIPPED = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "select", "title"}
@@ -62,6 +60,12 @@ FURNITURE_NAMES = {
     "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
     "subscribe", "subscription", "toolbar", "topbar", "widget", "widgets",
 }
+# Those that say little inside an article, where they may name its subject.
+OUTSIDE_NAMES = {
+    "banner", "consent", "login", "menu", "navigation", "notice", "notices", "promotion",
+    "recommended", "related", "replies", "respond", "search", "share", "sharing", "signup", "skip",
+    "social", "subscription", "toolbar", "widget", "widgets",
+}
 CONTENT_NAMES = {"article", "content", "entry", "main", "post", "story", "text"}
 
 _TAG = re.compile(
@@ -76,7 +80,8 @@ _NAME = re.compile(r"[a-z]+")
 
 @words.remembered
 def _element(tag, attributes):
-    """Name of an element in paths, and whether it is page furniture: by its kind, and by its name or as a form."""
+    """Name of an element in paths, and whether it is page furniture: by its kind, by its name or as
+    a form, and by a name or as a form within an article."""
     names, tokens, hidden, role = [], set(), False, ""
     for key, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         key, value = key.lower(), html.unescape(value.strip("\"'")).lower()
@@ -92,7 +97,8 @@ def _element(tag, attributes):
     sure = hidden or not whole and (tag in FURNITURE or role in FURNITURE_ROLES)
     form = tag in FORMS or role in FORM_ROLES
     likely = not whole and (form or not FURNITURE_NAMES.isdisjoint(tokens))
-    return ".".join([kind, *sorted(set(names))]), sure, likely
+    within = not whole and (form or not FURNITURE_NAMES.difference(OUTSIDE_NAMES).isdisjoint(tokens))
+    return ".".join([kind, *sorted(set(names))]), sure, likely, within
 
 
 def _kept(texts, articles, likely):
@@ -176,8 +182,9 @@ def parse(page):
                     del stack[depth:]
                     break
         else:
-            label, furniture, maybe = _element(name, tag.group(3).strip())
+            label, furniture, likely_out, likely_in = _element(name, tag.group(3).strip())
             _, above, inherited, outer = stack[-1]
+            maybe = likely_in if _inside_article(above) else likely_out
             path = f"{above}/{label}"
             if name == "header" and not _inside_article(above):
                 furniture = True
@@ -287,29 +294,47 @@ def choose_slot(masses):
     return best
 
 
+def own_texts(texts, constants):
+    """The texts of a page without those of its template; None if too little would be left.
+
+    A template's constants lie outside the elements that hold a page's own text, and go whatever their
+    share. Those in or below such an element go as well, unless they are more than half of it:
+    then the page is a near copy of others, and they are part of the article.
+    """
+    own = [(p, t) for p, t in texts if _text_token(p, t) not in constants]
+    if sum(len(t.split()) for _, t in own) < OWN_WORDS:
+        return None
+    holders = {path for path, _ in own}
+    whole, varying, known = _masses(texts), _masses(own), {}
+
+    def stays(path):
+        if path not in known:
+            if path in holders:
+                known[path] = 2 * varying.get(path, 0) < whole.get(path, 0)
+            else:
+                known[path] = bool(path) and stays(path.rpartition("/")[0])
+        return known[path]
+
+    return [(p, t) for p, t in texts if _text_token(p, t) not in constants or stays(p)]
+
+
 def extract(page, template):
     """The text of a page's article; ``template`` is None if the host has none.
 
     ``template`` is the slot's path and the constant texts. A page without the
-    slot, or with a template without one, is read by its own elements. Where constants are
-    more than half of the text they stay: such a page is a copy or holds little else.
+    slot, or with a template without one, is read by its own elements, as is one with hardly any
+    text of its own, which keeps the constants.
     """
     blocks, opened = parse(page)
     slot, constants = template or ("", ())
     texts = [(path, text) for path, furniture, text, _ in blocks if not furniture]
-    left = [(p, t) for p, t in texts if _text_token(p, t) not in constants] if constants else texts
+    own = own_texts(texts, constants) if constants else texts
+    if own is None:
+        slot, own = "", texts
     if not slot or slot not in opened:
-        if 2 * _characters(left) < _characters(texts):
-            left = texts
-        slot = choose_slot(_masses(left))
+        slot = choose_slot(_masses(own))
     inside = f"{slot}/"
-    whole, left = (
-        [(path, text) for path, text in some if path == slot or path.startswith(inside)]
-        for some in (texts, left)
-    )
-    if 2 * _characters(left) < _characters(whole):
-        left = whole
-    return "\n\n".join(text for _, text in left)
+    return "\n\n".join(text for path, text in own if path == slot or path.startswith(inside))
 
 
 def deduce(members):
@@ -335,10 +360,7 @@ def deduce(members):
             path, is_text, _ = token.partition("\n")
             if is_text and path in nested and nested[path]["vector"] == vector:
                 constants.add(token)
-    # Where most text is constant, all of the host's pages may be copies: the slot has to hold the constants too.
-    page = nested.get("", {"mass": 0, "varying": 0})
-    measure_of = "mass" if 2 * page["varying"] < page["mass"] else "varying"
-    masses = {p: m[measure_of] for p, m in nested.items() if p and m[measure_of]}
+    masses = {p: m["varying"] for p, m in nested.items() if p and m["varying"]}
     return choose_slot(masses), frozenset(constants)
 
 
@@ -391,20 +413,13 @@ def _measure_all(batches):
             )
 
 
-def _with_hosts(pages, hosts, path, how):
-    """``pages`` joined with what was written of their hosts below ``path``."""
-    small = hosts.count() <= BROADCAST_HOSTS
-    small = small and 8 * session.stored_bytes(pages.sparkSession, path) <= BROADCAST_BYTES
-    # Beyond that the pages are shuffled by host, which adaptive execution splits where it is hot.
-    return pages.join(F.broadcast(hosts) if small else hosts, "host", how)
-
-
 def host_templates(pages):
     """``host, members``: the tokens that half of a host's pages have, with their classes and measures.
 
     ``pages`` has ``host, html``. Pages of a host with the same texts are one page. An element is on two
-    pages or more, a text on ``SUPPORT``, and both on half of the host's. Tokens of
-    one page are left out before anything is joined.
+    pages or more, as is a text, and both on half of the host's. Tokens of
+    one page are left out before anything is joined. What is joined to the pages are a host's few
+    tokens; Spark broadcasts them by their size or shuffles the pages, and splits hot hosts.
     """
     spark = pages.sparkSession
     emitted = pages.mapInArrow(_emit, "host string, page bigint, token string, times bigint")
@@ -416,12 +431,11 @@ def host_templates(pages):
     found = session.written(found.where("pages > 1"), session.scratch_path(spark, "html-tokens"))
     hosts = found.where("token = ''").select("host", F.col("pages").alias("of"))
     frequent = found.join(hosts, "host").where("2 * pages >= of")
-    frequent = frequent.where((F.col("pages") >= SUPPORT) | (F.instr("token", "\n") == 0))
-    path = session.scratch_path(spark, "html-classes")
     classes = session.written(
-        frequent.groupBy("host").agg(F.collect_list(F.struct("token", "vector")).alias("members")), path
+        frequent.groupBy("host").agg(F.collect_list(F.struct("token", "vector")).alias("members")),
+        session.scratch_path(spark, "html-classes"),
     )
-    measured = _with_hosts(pages, classes, path, "inner").select("host", "html", "members")
+    measured = pages.join(classes, "host").select("host", "html", "members")
     measured = measured.mapInArrow(
         _measure_all,
         "host string, page bigint, token string, place bigint, mass bigint, varying bigint",
@@ -469,7 +483,10 @@ def main_text(pages):
     hold one space for each run of ``[\\x20\\x09-\\x0D]`` and are joined by two line feeds; character references are
     decoded. Null or empty html gives an empty text, as does a page with no article. Pages
     without a host are one host; a host with one page has no template and its page
-    is read by its own elements. Rows with the same texts count as one page and keep theirs.
+    is read by its own elements; two pages make a template of what both have. Rows with the same
+    texts count as one page and keep theirs. A page whose own text has less than ``OWN_WORDS`` words keeps
+    what it shares with others. Sections named as furniture stay within an article, but for adverts,
+    comments and the like; elsewhere they go.
 
     Returns ``page_id, url, text, n_chars``.
     """
@@ -480,9 +497,10 @@ def main_text(pages):
         host_of(F.col("url")).alias("host"),
         "html",
     )
-    path = session.scratch_path(spark, "html-templates")
-    templates = session.written(host_templates(own.select("host", "html")), path)
-    joined = _with_hosts(own, templates, path, "left")
+    templates = session.written(
+        host_templates(own.select("host", "html")), session.scratch_path(spark, "html-templates")
+    )
+    joined = own.join(templates, "host", "left")
     return joined.select("page_id", "url", "host", "html", "members").mapInArrow(
         _extract_all, "page_id bigint, url string, text string, n_chars bigint"
     )
