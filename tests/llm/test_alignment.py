@@ -2,6 +2,7 @@
 
 import bisect
 import hashlib
+import json
 import random
 from collections import Counter, defaultdict
 
@@ -144,6 +145,22 @@ def test_small_blocks_slabs_and_pieces(both, monkeypatch):
     assert [r[4] for r in facts] == whole["n_links"] and [r[1] for r in facts] == whole["n_a"]
 
 
+def test_merging_by_ids_gives_the_tokens_of_the_ranked_merges(both):
+    with open(VOCABULARY) as file, open(PIECES, "rb") as model:
+        a_json, b_model = file.read(), model.read()
+    assert alignment.merges_by_id(a_json)
+    fast, plain = (alignment.Tokenizers(a_json, b_model, by_ids) for by_ids in (True, False))
+    random.seed(11)
+    letters = "abcdefghij nrst'é中\n 0123" + "".join(map(chr, range(0x20, 0x180)))
+    texts = ["".join(random.choices(letters, k=random.randint(1, 400))) for _ in range(1500)]
+    texts += ["a" * n for n in range(1, 400)] + [" " * n + "x" for n in range(1, 60)] + ["<|endoftext|>", "ab" * 300]
+    assert fast.encode(texts) == plain.encode(texts)
+    # A vocabulary whose ids do not follow its merges is left to the ranked merges.
+    spec = json.loads(a_json)
+    spec["model"]["merges"][0], spec["model"]["merges"][9] = spec["model"]["merges"][9], spec["model"]["merges"][0]
+    assert not alignment.merges_by_id(json.dumps(spec))
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_segments_change_no_token(both, seed):
     """The tokens of a text are those of its segments, whatever stands around the blanks."""

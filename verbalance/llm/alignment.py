@@ -15,6 +15,7 @@ pairs once, and gets each back once with its count.
 
 import hashlib
 import itertools
+import json
 import re
 from collections import defaultdict
 from typing import NamedTuple
@@ -25,13 +26,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from verbalance import session
-from verbalance.llm.bpe import byte_letters
+from verbalance.llm.bpe import PATTERN, byte_letters
 from verbalance.llm.words import slabs, text_sizes
 
 # Text tokenized at once, text of one block of documents, and entries of one product.
 SLAB_BYTES = 500_000
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
 ENTRIES_AT_ONCE = 1_000_000
+# Segments of so many characters are merged by the faster library.
+SHORT = 1_000
 # Texts are cut into segments some characters at a time.
 PIECE_CHARS = 200_000
 # A lone blank between characters that are neither white space nor its mark ends a segment.
@@ -117,7 +120,7 @@ def product(left, right):
 class Tokenizers:
     """Both tokenizers and what their tokens stand for; lives in a task."""
 
-    def __init__(self, a_json, b_model):
+    def __init__(self, a_json, b_model, by_ids=False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -134,6 +137,15 @@ class Tokenizers:
             self.a_bytes[i] = (
                 bytes(byte_of[c] for c in token) if set(token) <= byte_of.keys() else token.encode()
             )
+        added = {t["content"] for t in json.loads(a_json).get("added_tokens", [])}
+        self.by_ids = None
+        if by_ids:
+            import tiktoken
+
+            ids = {self.a_bytes[i]: i for t, i in self.a.get_vocab().items() if t not in added}
+            self.by_ids = tiktoken.Encoding(
+                "own", pat_str=PATTERN, mergeable_ranks=ids, special_tokens={}
+            )
         self.b = b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
         self.b_bytes = [
@@ -169,7 +181,11 @@ class Tokenizers:
     def encode(self, texts):
         """The ids of each text by either tokenizer; none where they do not spell the text."""
         spaced = [" " + t for t in texts]
-        a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
+        if self.by_ids is None:
+            a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
+        else:
+            encode = self.by_ids.encode_ordinary
+            a = [encode(t) if len(t) <= SHORT else self._long(t) for t in spaced]
         b = self.b.encode(texts, num_threads=1) if texts else []
         a_ends, a_spelled = _spelled(self.a_bytes, a)
         b_ends, b_spelled = _spelled(self.b_bytes, b)
@@ -188,6 +204,32 @@ class Tokenizers:
                 a[i], b[i] = [], []
         return a, b
 
+    def _long(self, text):
+        return self.a.encode(text, add_special_tokens=False).ids
+
+
+def merges_by_id(a_json):
+    """Whether merging the pair whose token has the lowest id gives the tokens of the ranked merges.
+
+    It does if merges make ascending ids and every token is what its own bytes are merged to: as long as no
+    merge goes over the ends of a token's bytes, what happens between them is what happens to the
+    token alone, and its last step is the ranked pair. Only then is the faster library used.
+    """
+    from tokenizers import Tokenizer
+
+    spec = json.loads(a_json)
+    ids, before = spec["model"]["vocab"], spec.get("pre_tokenizer") or {}
+    added = {t["content"] for t in spec.get("added_tokens", [])}
+    if spec.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+        return False
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    made = [ids[left + right] for left, right in pairs]
+    single = [i for t, i in ids.items() if len(t) == 1]
+    if any(x >= y for x, y in zip(made, made[1:])) or (made and max(single) > made[0]):
+        return False
+    merge = Tokenizer.from_str(a_json).model.tokenize
+    return all(len(merge(t)) == 1 for t in ids if t not in added)
+
 
 def _spelled(spelling, ids):
     """Where each text ends in the bytes of all tokens, and these bytes."""
@@ -279,7 +321,7 @@ def _vocabularies(docs, a_path, b_path):
         a_json = file.read()
     with open(b_path, "rb") as file:
         b_model = file.read()
-    return docs.sparkSession.sparkContext.broadcast((a_json, b_model))
+    return docs.sparkSession.sparkContext.broadcast((a_json, b_model, merges_by_id(a_json)))
 
 
 def _plain(docs):
@@ -487,7 +529,7 @@ def align(docs, a_path, b_path):
     """
     spark = docs.sparkSession
     sent = _vocabularies(docs, a_path, b_path)
-    # Tokenized once: what follows reads the written blocks, of 8 MB of text or one text each.
+    # Tokenized once: what follows reads the written blocks, of 4 million characters or one text each.
     blocks = session.written(
         _plain(docs).mapInArrow(_block_rows(sent), BLOCK),
         session.scratch_path(spark, "alignment-blocks"),
