@@ -351,6 +351,9 @@ group by base_name""",
 }
 
 
+_FINAL["bronze_current"] = _FINAL["bronze_latest"]
+
+
 def statements():
     """Query name -> one DuckDB statement; unused tables are dropped by its optimizer."""
     tables = ",\n".join(f"{name} as ({sql})" for name, sql in _TABLES.items())

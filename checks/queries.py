@@ -23,6 +23,7 @@ from verbalance.plans.intake_batch import IntakeStore, run_intake
 from verbalance.plans.run_audit import audited_run
 from verbalance.schemas import BRONZE, INTAKE_AUDIT, RUN_AUDIT
 from verbalance.sinks import datasets
+from verbalance.sinks.current import CurrentTable
 from verbalance.sinks.done_names import DoneNames
 from verbalance.sources import files as file_source
 from verbalance.sources import listing, records
@@ -198,6 +199,25 @@ def bronze_latest(spark, sf_dir):
     )
 
 
+def bronze_current(spark, sf_dir):
+    """The rows of ``bronze_latest`` from the table that is kept; its batches come in two parts."""
+    root = session.scratch_path(spark, "current")
+    rows = session.written(_shared_names(spark, sf_dir), f"{root}/rows")
+    table, path = CurrentTable(spark, f"{root}/current"), f"{root}/bronze"
+    batches = sorted(r[0] for r in rows.select("batch_id").distinct().collect())
+    for part in (batches[::2], batches[1::2]):
+        datasets.write_batches(rows.where(F.col("batch_id").isin(part)), path)
+        table.refresh(path, lambda: records.read_dataset(spark, path, BRONZE))
+    return table.read().select(
+        paths.base_name(F.col("audio_filename")).alias("base_name"),
+        "batch_id",
+        "audio_id",
+        "audio_filename",
+        "status",
+        "processing_timestamp",
+    )
+
+
 def _shared_names(spark, sf_dir):
     """Bronze with three records per base name, told apart by their extension."""
     number = F.regexp_extract("audio_filename", r"\d+", 0).cast("bigint")
@@ -616,6 +636,7 @@ QUERIES = {
         reference_smoke_count,
         audit_history_scan,
         bronze_latest,
+        bronze_current,
         transcript_export,
         run_audit_roundtrip,
         intake_audit_append,

@@ -9,7 +9,7 @@ from verbalance.functions import measures, paths
 from verbalance.operators import dedup, intake, recognize, skew
 from verbalance.plans.run_audit import utc_now
 from verbalance.schemas import BRONZE, INTAKE_AUDIT
-from verbalance.sinks import control, done_names, moves
+from verbalance.sinks import control, current, done_names, moves
 from verbalance.sinks.datasets import write_batch
 from verbalance.sources import files as file_source
 from verbalance.sources import listing
@@ -44,13 +44,18 @@ class IntakeStore:
         self.listings_path = f"{root}/listings"
         self.work_path = f"{root}/work"
         self.index = done_names.DoneNames(spark, f"{root}/done_names")
+        self.current = current.CurrentTable(spark, f"{root}/current")
 
     def bronze(self):
         return read_dataset(self.spark, self.bronze_path, BRONZE)
 
     def latest(self):
-        """The last record of each base name, as if each record replaced the one before."""
-        return latest_bronze(self.bronze())
+        """The last record of each base name, as if each record replaced the one before.
+
+        New batches are merged first; what is read is one row per name, without a shuffle.
+        """
+        self.current.refresh(self.bronze_path, self.bronze)
+        return self.current.read()
 
     def audit(self):
         return read_dataset(self.spark, self.audit_path, INTAKE_AUDIT)
@@ -70,6 +75,7 @@ class IntakeStore:
         write_batch(intent, self.moves_path, batch_id)
         if batch_id in self.index.batches():
             self.index.drop(batch_id)
+        self.current.forget(batch_id)
         # Bronze makes a file done: a run that breaks off before is made again in full. One that
         # breaks off after it is finished by the next run, which follows open intents first.
         # The index takes it up when a run next asks.
