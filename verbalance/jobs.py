@@ -1,4 +1,4 @@
-"""Command line for spark-submit: ``jobs.py intake | stream | history | reconcile | table``.
+"""Command line for spark-submit: ``jobs.py intake | stream | compact | history | reconcile | table``.
 
     spark-submit --py-files verbalance.zip verbalance/jobs.py intake \\
         --input s3a://audio/incoming --store s3a://audio/store \\
@@ -58,6 +58,12 @@ def intake(spark, args):
     ).show(truncate=False)
 
 
+def compact(spark, args):
+    """Rewrite the small files of closed batches into few larger ones."""
+    bronze, audit = IntakeStore(spark, args.store).compact(args.least)
+    print(f"compacted batches: {bronze} of bronze, {audit} of the audit")
+
+
 def _store(spark, args):
     folders = {"processed": args.processed, "failed": args.failed}
     return IntakeStore(spark, args.store, {k: v for k, v in folders.items() if v})
@@ -147,6 +153,9 @@ def parser():
     batch = command(intake, drop)
     batch.add_argument("--recursive", action="store_true", help="folders below the input as well")
     batch.add_argument("--only-new", action="store_true", help="only what the last run did not see")
+    small = command(compact)
+    small.add_argument("--store", required=True)
+    small.add_argument("--least", type=int, default=50, help="do nothing for fewer batches")
     past = command(history)
     past.add_argument("--store", required=True)
     past.add_argument("--legacy-file", help="audit array of the single-machine job")

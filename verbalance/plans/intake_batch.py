@@ -9,7 +9,7 @@ from verbalance.functions import measures, paths
 from verbalance.operators import dedup, intake, recognize, skew
 from verbalance.plans.run_audit import utc_now
 from verbalance.schemas import BRONZE, INTAKE_AUDIT
-from verbalance.sinks import control, current, done_names, moves
+from verbalance.sinks import compaction, control, current, done_names, moves
 from verbalance.sinks.datasets import write_batch
 from verbalance.sources import files as file_source
 from verbalance.sources import listing
@@ -60,6 +60,13 @@ class IntakeStore:
     def audit(self):
         return read_dataset(self.spark, self.audit_path, INTAKE_AUDIT)
 
+    def compact(self, least=50):
+        """Rewrite closed batches of bronze and of the audit; returns how many of each."""
+        return [
+            len(compaction.compact(self.spark, path, schema, least))
+            for path, schema in ((self.bronze_path, BRONZE), (self.audit_path, INTAKE_AUDIT))
+        ]
+
     def done(self, files, batch_id):
         """Base names, among others those of ``files``, that other batches recorded as done."""
         done_names.catch_up(self.index, self.bronze_path, self.bronze)

@@ -1,5 +1,6 @@
 """Parquet datasets that grow by one partition per batch."""
 
+from verbalance.sinks import control
 from verbalance.sources.records import read_dataset
 
 
@@ -7,8 +8,11 @@ def write_batch(df, path, batch_id):
     """Write the rows of one batch, replacing all that an earlier try of it left.
 
     No row is moved: each task writes its own files. A batch without rows leaves
-    an empty partition.
+    an empty partition. A batch that was compacted is closed.
     """
+    _, compacted = control.latest_version(df.sparkSession, path)
+    if compacted and batch_id in compacted["batches"]:
+        raise ValueError(f"batch {batch_id} of {path} is closed")
     df.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from verbalance import session
 from verbalance.functions import paths
 from verbalance.schemas import BRONZE, INTAKE_AUDIT
+from verbalance.sinks import control
 
 _CORRUPT = "_corrupt_record"
 # Fixed value: the audit array of the single-machine job lies next to its records.
@@ -58,7 +59,13 @@ def land(read, target):
 
 
 def read_dataset(spark, path, schema):
-    """A stored parquet dataset; no rows, with the schema, where there is none yet."""
+    """A stored parquet dataset; no rows, with the schema, where there is none yet.
+
+    Of batches that were compacted the rewritten rows are read.
+    """
+    _, compacted = control.latest_version(spark, path)
+    if compacted:
+        return _partly_compacted(spark, path, schema, compacted)
     try:
         return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as error:
@@ -67,6 +74,17 @@ def read_dataset(spark, path, schema):
         return spark.createDataFrame([], schema)
 
 
+def _partly_compacted(spark, path, schema, compacted):
+    folders = [f"{path}/{folder}" for folder in compacted["folders"]]
+    rows = spark.read.schema(schema).parquet(*folders).select(*schema.names)
+    others = control.batch_ids(spark, path, compacted["batches"])
+    if not others:
+        return rows
+    partitions = [f"{path}/batch_id={batch}" for batch in others]
+    reader = spark.read.schema(schema).option("basePath", path)
+    return rows.unionByName(reader.parquet(*partitions).select(*schema.names))
+
+
 def read_audit_history(spark, dataset, legacy_file=None):
     """Earlier intake audit rows: the stored dataset and, if given, an old JSON array.
 
