@@ -17,6 +17,7 @@ import hashlib
 import itertools
 import json
 import re
+import zlib
 from collections import defaultdict
 from typing import NamedTuple
 
@@ -31,7 +32,7 @@ from verbalance.llm.words import slabs, text_sizes
 
 # Text tokenized at once, text of one block of documents, and entries of one product.
 SLAB_BYTES = 500_000
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 3_000_000
 ENTRIES_AT_ONCE = 1_000_000
 # Segments of so many characters are merged by the faster library.
 SHORT = 1_000
@@ -45,7 +46,7 @@ _B_BITS = 32
 BLOCK = (
     "block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, "
     "n_groups array<bigint>, n_links array<bigint>, groups_sha256 array<string>, "
-    "pair array<bigint>, total array<bigint>, pairs_of_segment array<bigint>, which binary, "
+    "pair array<bigint>, total array<bigint>, pairs_of_segment binary, which binary, "
     "times binary, segments_of_doc array<bigint>, segment binary, occurrences binary"
 )
 RESULT = (
@@ -397,6 +398,15 @@ def _sums(values, bounds):
     return np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.int64)))[bounds])
 
 
+def _packed(numbers):
+    """Numbers of 32 bits, compressed; many of a block's are small."""
+    return zlib.compress(numbers.astype("<i4").tobytes(), 1)
+
+
+def _unpacked(packed):
+    return np.frombuffer(zlib.decompress(packed), dtype="<i4")
+
+
 def _block(number, rows, tokenizers):
     """One row for ``(doc_id, text)`` rows: their own figures, their segments, and their pairs."""
     numbers, own = defaultdict(itertools.count().__next__), []
@@ -440,13 +450,13 @@ def _block(number, rows, tokenizers):
         "groups_sha256": [_digest(described.written, ids) for ids in own],
         "pair": pairs[held].tolist(),
         "total": totals[held].tolist(),
-        "pairs_of_segment": described.n_pairs.tolist(),
+        "pairs_of_segment": _packed(described.n_pairs),
         # Pairs of segments that no text has after all get no answer.
-        "which": np.where(held[which], np.cumsum(held)[which] - 1, -1).astype("<i4").tobytes(),
-        "times": described.times.astype("<i4").tobytes(),
+        "which": _packed(np.where(held[which], np.cumsum(held)[which] - 1, -1)),
+        "times": _packed(described.times),
         "segments_of_doc": np.bincount(doc, minlength=len(own)).tolist(),
-        "segment": segment.astype("<i4").tobytes(),
-        "occurrences": occurrences.astype("<i4").tobytes(),
+        "segment": _packed(segment),
+        "occurrences": _packed(occurrences),
     }
     fields = []
     for field in BLOCK.split(", "):
@@ -494,11 +504,10 @@ def _per_document(block, answers):
     answers = answers.sort_by("pair")
     count = answers.column("count").to_numpy()
     best = answers.column("best").to_numpy()
-    which = np.frombuffer(row["which"], dtype="<i4")
-    times = np.frombuffer(row["times"], dtype="<i4").astype(np.int64)
-    segment = np.frombuffer(row["segment"], dtype="<i4")
-    occurrences = np.frombuffer(row["occurrences"], dtype="<i4").astype(np.int64)
-    of_segment = np.concatenate(([0], np.cumsum(row["pairs_of_segment"], dtype=np.int64)))
+    which, segment = _unpacked(row["which"]), _unpacked(row["segment"])
+    times = _unpacked(row["times"]).astype(np.int64)
+    occurrences = _unpacked(row["occurrences"]).astype(np.int64)
+    of_segment = np.concatenate(([0], np.cumsum(_unpacked(row["pairs_of_segment"]), dtype=np.int64)))
     of_doc = np.concatenate(([0], np.cumsum(row["segments_of_doc"], dtype=np.int64)))
     # The last value is that of a pair without an answer.
     count, best = np.append(count, 0), np.append(best, 0)
@@ -529,7 +538,7 @@ def align(docs, a_path, b_path):
     """
     spark = docs.sparkSession
     sent = _vocabularies(docs, a_path, b_path)
-    # Tokenized once: what follows reads the written blocks, of 4 million characters or one text each.
+    # Tokenized once: what follows reads the written blocks, of 3 million characters or one text each.
     blocks = session.written(
         _plain(docs).mapInArrow(_block_rows(sent), BLOCK),
         session.scratch_path(spark, "alignment-blocks"),
