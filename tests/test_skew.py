@@ -107,3 +107,27 @@ def test_wide_rows_give_smaller_splits():
     assert skew.rows_per_split(1024 * 1024) == 256
     assert skew.rows_per_split(0) == skew.ROWS_PER_SPLIT
     assert skew.rows_per_split(10**12) == 1
+
+
+def test_small_sides_with_many_joined_rows_are_split(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PAIRS_PER_SPLIT", 100)
+    left = spark.range(80).selectExpr("if(id < 60, 'hot', null) as key", "id as l")
+    right = spark.range(50).selectExpr("if(id < 40, 'hot', if(id < 41, 'k', null)) as key", "id as r")
+    hot = skew.find_hot(left, right, "key")
+    (found,) = hot.collect()
+    assert found["_ls"] * found["_rs"] >= 60 * 40 / 100 and found["_ls"] <= 60 and found["_rs"] <= 40
+    got = skew.balanced_join(left, right, "key", "inner", hot, ["l"], ["r"])
+    assert rows_of(got) == rows_of(left.join(right, "key"))
+
+
+def test_joined_rows_are_split_by_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BYTES_PER_SPLIT", 10_000)
+    left = spark.range(30).selectExpr("'hot' as key", "repeat('x', 100) as l")
+    right = spark.range(20).selectExpr("'hot' as key", "repeat('y', 200) as r")
+    sizes = {"left_bytes": F.octet_length("l"), "right_bytes": F.octet_length("r")}
+    (found,) = skew.find_hot(left, right, "key", **sizes).collect()
+    assert found["_ls"] * found["_rs"] >= 30 * 20 * 300 / 10_000
+    # One row on a side cannot be split, so the other is.
+    monkeypatch.setattr(skew, "BYTES_PER_SPLIT", 4_000)
+    (found,) = skew.find_hot(left, right.limit(1), "key", **sizes).collect()
+    assert (found["_ls"], found["_rs"]) == (3, 1)

@@ -1,7 +1,7 @@
 """Joins that stay balanced when a few keys hold a large share of the rows.
 
-A key is hot when one side has more rows or bytes of it than one task should handle.
-Hot keys are found on hashed keys only, so the pass moves a few numbers per distinct
+A key is hot when one side has more rows or bytes of it than one task should handle, or
+when both sides together give more joined rows or bytes. Hot keys are found on hashed keys only, so the pass moves a few numbers per distinct
 key. They are kept as a written table, of any length, that Spark broadcasts or
 shuffles by its size; nothing is collected.
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from verbalance import session
 
 ROWS_PER_SPLIT = 200_000
+PAIRS_PER_SPLIT = 1_000_000
 BYTES_PER_SPLIT = 256 * 1024 * 1024
 
 
@@ -28,19 +29,46 @@ def _splits(rows, size, per_split):
     return F.greatest(F.lit(1), by_rows, by_size).cast("int")
 
 
+def _joined_splits(rows, sizes):
+    """Splits of both sides taken together that bound the joined rows and bytes of each."""
+    (left, right), (left_size, right_size) = rows, sizes
+    pairs, size = left * right, left * right_size + right * left_size
+    by_pairs = F.ceil(pairs / F.lit(PAIRS_PER_SPLIT))
+    return F.greatest(F.lit(1), by_pairs, F.ceil(size / F.lit(BYTES_PER_SPLIT)))
+
+
 def hot_from_counts(
     counts, key_hash, left_rows, right_rows, per_split=ROWS_PER_SPLIT, left_bytes=None, right_bytes=None
 ):
     """Hot keys from a table with one row per key and its rows and bytes on each side.
 
+    Each split of one side meets each of the other, so sides are split further until their
+    joined rows fit too, the larger side more so that fewer bytes are repeated.
     Returns a written table of hashed keys and splits, or None if no key is hot.
     """
-    none = F.lit(0)
-    hot = counts.select(
-        key_hash.alias("_key_hash"),
-        _splits(left_rows, none if left_bytes is None else left_bytes, per_split).alias("_ls"),
-        _splits(right_rows, none if right_bytes is None else right_bytes, per_split).alias("_rs"),
-    ).where("_ls > 1 or _rs > 1")
+    sizes = [F.lit(0) if size is None else size for size in (left_bytes, right_bytes)]
+    values = zip(("_lrows", "_rrows", "_lbytes", "_rbytes"), (left_rows, right_rows, *sizes))
+    measured = counts.select(
+        key_hash.alias("_key_hash"), *[v.cast("double").alias(n) for n, v in values]
+    )
+    lrows, rrows, lbytes, rbytes = (F.col(n) for n in measured.columns[1:])
+    ls, rs, wanted = F.col("_ls"), F.col("_rs"), F.col("_wanted")
+    share = (lbytes + lrows) / F.greatest(rbytes + rrows, F.lit(1))
+
+    def at_least(splits, needed, rows):
+        more = F.greatest(splits, F.least(F.ceil(needed), wanted, rows)).cast("int")
+        return F.when(wanted > ls * rs, more).otherwise(splits)
+
+    hot = (
+        measured.withColumn("_ls", _splits(lrows, lbytes, per_split))
+        .withColumn("_rs", _splits(rrows, rbytes, per_split))
+        .withColumn("_wanted", _joined_splits((lrows, rrows), (lbytes, rbytes)))
+        .withColumn("_ls", at_least(ls, F.sqrt(wanted * share), lrows))
+        .withColumn("_rs", at_least(rs, wanted / ls, rrows))
+        .withColumn("_ls", at_least(ls, wanted / rs, lrows))
+        .select("_key_hash", "_ls", "_rs")
+        .where("_ls > 1 or _rs > 1")
+    )
     hot = session.written(hot, session.scratch_path(counts.sparkSession, "hot-keys"))
     return None if hot.isEmpty() else hot
 
@@ -49,15 +77,10 @@ def find_hot(left, right, key, per_split=ROWS_PER_SPLIT, left_bytes=None, right_
     """Hot keys of a join; ``right=None`` says the right side has one row per key.
 
     ``left_bytes`` and ``right_bytes`` are columns that tell what a row takes, where
-    rows are wide. Sides that fit one split as a whole have none and are only measured.
+    rows are wide.
     """
     none = F.lit(0)
     sizes = [none if size is None else F.coalesce(size, none) for size in (left_bytes, right_bytes)]
-    sides = [(df, size) for df, size in zip((left, right), sizes) if df is not None]
-    totals = [df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), none)).first() for df, size in sides]
-    if all(rows <= per_split and size <= BYTES_PER_SPLIT for rows, size in totals):
-        return None
-
     names = ("left_rows", "left_bytes", "right_rows", "right_bytes")
 
     def side(df, *values):
@@ -68,7 +91,9 @@ def find_hot(left, right, key, per_split=ROWS_PER_SPLIT, left_bytes=None, right_
 
     both = side(left, F.lit(1), sizes[0], None, None)
     if right is not None:
-        both = both.unionByName(side(right, None, None, F.lit(1), sizes[1]))
+        # A NULL key joins nothing, however many rows have it.
+        known = right.where(F.col(key).isNotNull())
+        both = both.unionByName(side(known, None, None, F.lit(1), sizes[1]))
     counts = both.groupBy("key_hash").agg(*[F.sum(n).alias(n) for n in names])
     return hot_from_counts(
         counts,

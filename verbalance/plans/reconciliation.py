@@ -78,6 +78,8 @@ def run_reconciliation(
             F.col("silver_rows"),
             F.col("reference_rows"),
             skew.rows_per_split(row_bytes),
+            F.col("silver_rows") * F.lit(row_bytes),
+            F.col("reference_rows") * F.lit(row_bytes),
         )
         silver = reconcile.silver(bronze)
         joined = reconcile.join_expected(silver, reference, hot)
