@@ -77,7 +77,7 @@ def _joined(spark, sf_dir):
 
 
 def _validated(spark, sf_dir):
-    return reconcile.validate(_joined(spark, sf_dir))
+    return reconcile.validate_sides(*_sides(spark, sf_dir))
 
 
 def _labelled(spark, sf_dir):

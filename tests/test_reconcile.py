@@ -194,3 +194,31 @@ def test_texts_are_not_shuffled_for_labels(spark, capsys):
         ]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sides_normalized_before_the_join_give_the_same_rows(spark):
+    bronze, reference = make_sides(spark, 11, 60, 40)
+    silver = reconcile.silver(bronze)
+    plain = reconcile.gold(reconcile.validate(reconcile.join_expected(silver, reference)))
+    hot = skew.find_hot(silver, reference, "audio_id", per_split=5)
+    for given in (None, hot):
+        sides_first = reconcile.gold(reconcile.validate_sides(silver, reference, given))
+        assert sides_first.schema == plain.schema and rows_of(sides_first) == rows_of(plain)
+
+
+def test_texts_are_normalized_once_however_many_rows_copies_give(spark, tmp_path, monkeypatch):
+    from checks import queries
+    from verbalance.functions import text
+
+    spark.range(60).selectExpr(
+        "id as doc_id", "'One, two.' as text", "'en' as lang", "'web' as source", "9L as n_chars"
+    ).write.parquet(str(tmp_path / "documents.parquet"))
+    texts = spark.sparkContext.accumulator(0)
+
+    def counted(words):
+        texts.add(1)
+        return words and words.lower()
+
+    monkeypatch.setattr(text, "normalize", F.udf(counted, "string"))
+    joined = len(queries.gold(spark, str(tmp_path)).collect())
+    assert joined > 2000 and 0 < texts.value <= 4 * 60

@@ -46,29 +46,48 @@ def join_expected(silver_rows, reference, hot=None):
     ).drop("_expected_file")
 
 
+def _normalized(df, words, normal):
+    return df.withColumn(normal, text.normalize(F.col(words))).withColumn(
+        f"{normal}_word_count", text.space_word_count(F.col(normal))
+    )
+
+
+def _with_generated(silver_rows):
+    return _normalized(silver_rows, "transcription_clean", "generated_normalized")
+
+
+def _with_expected(reference):
+    counted = reference.withColumn(
+        "expected_word_count", text.space_word_count(F.col("expected_transcription"))
+    )
+    return _normalized(counted, "expected_transcription", "expected_normalized")
+
+
 def validate(joined):
-    """Compare texts and word counts and classify each joined row.
+    """Compare texts and word counts and classify each joined row."""
+    return joined.transform(_with_generated).transform(_with_expected).transform(_compared)
 
-    Text is normalized after the join so that only one copy of it is shuffled.
+
+def validate_sides(silver_rows, reference, hot=None):
+    """The rows of :func:`validate` from the sides of the join.
+
+    Each text is normalized and counted once, before copies multiply it; of a joined row
+    texts are only compared.
     """
+    joined = join_expected(_with_generated(silver_rows), _with_expected(reference), hot)
+    return _compared(joined)
+
+
+def _compared(joined):
     return (
         joined.withColumn(
             "transcription_match",
             labels.match_label(F.col("transcription_clean"), F.col("expected_transcription")),
         )
-        .withColumn("expected_word_count", text.space_word_count(F.col("expected_transcription")))
-        .withColumn("generated_normalized", text.normalize(F.col("transcription_clean")))
-        .withColumn("expected_normalized", text.normalize(F.col("expected_transcription")))
         .withColumn(
             "normalized_match",
             labels.match_label(F.col("generated_normalized"), F.col("expected_normalized")),
         )
-        .withColumn(
-            "generated_normalized_word_count", text.space_word_count(F.col("generated_normalized"))
-        )
-        .withColumn(
-            "expected_normalized_word_count", text.space_word_count(F.col("expected_normalized"))
-        )
         .transform(_differences_and_quality)
     )
 
