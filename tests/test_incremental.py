@@ -123,3 +123,28 @@ def test_a_stream_reads_no_bronze_of_its_own(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("verbalance.sinks.done_names.catch_up", lambda *args: None)
     run_stream(spark, drop, store, tmp_path / "checkpoint")
     assert not reads and sorted(r["status"] for r in store.audit().collect()) == ["skipped", "success"]
+
+
+def test_state_is_kept_by_rows_and_checkpoints_begun_by_frames_go_on(spark, tmp_path, monkeypatch):
+    def operator(name):
+        known = spark.read.format("state-metadata").load(str(tmp_path / name / "names"))
+        return {row["operatorName"] for row in known.select("operatorName").collect()}
+
+    def statuses(name):
+        drop, store = tmp_path / "in" / name, IntakeStore(spark, str(tmp_path / f"{name}_store"))
+        told = []
+        for files_of_start in ({"a.wav": b"hello", "b.wav": b"poison"}, {"a.mp3": b"x", "b.mp3": b"y"}):
+            drop.mkdir(parents=True, exist_ok=True)
+            for file, content in files_of_start.items():
+                (drop / file).write_bytes(content)
+            run_stream(spark, drop, store, tmp_path / name)
+            told.append(sorted((r["audio_file"], r["status"]) for r in store.audit().collect()))
+            monkeypatch.undo()
+        return told
+
+    by_rows = statuses("rows")
+    assert operator("rows") == {"transformWithStateInPySparkExec"}
+    assert by_rows[1] == [("a.mp3", "skipped"), ("a.wav", "success"), ("b.mp3", "success"), ("b.wav", "failed")]
+    monkeypatch.setattr(incremental, "_keeps_frames", lambda *of: True)
+    assert statuses("frames") == by_rows
+    assert operator("frames") == {incremental._FRAMES}

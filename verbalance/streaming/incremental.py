@@ -7,6 +7,7 @@ tried in path order however they were dealt to micro-batches, and neither stream
 earlier starts recorded.
 """
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -21,6 +22,8 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ARRIVED = "base_name string, path string, length bigint, content binary, done boolean"
 _TAKEN = f"{recognize.ATTEMPT_SCHEMA}, base_name string, skipped boolean"
 _TOLD = "done_"
+# Fixed value: the name Spark notes in checkpoints that were begun by frames.
+_FRAMES = "transformWithStateInPandasExec"
 
 
 def epoch_batch_id(query_id, epoch):
@@ -31,44 +34,65 @@ def epoch_batch_id(query_id, epoch):
     return f"stream_{query_id}_{epoch:012d}"
 
 
-def _by_name(make_recognizer, clock):
-    """A processor that tries the files of a name until one gives text, and remembers which did."""
+def _by_name(make_recognizer, clock, frames):
+    """A processor that tries the files of a name until one gives text, and remembers which did.
+
+    It takes and gives rows, or ``frames`` of pandas, which take several times as long per name.
+    """
     start = recognize.attempter(make_recognizer, clock)
+    names = [field.split()[0] for field in _TAKEN.split(", ")]
+    make_row = Row(*names)
 
-    # A class made in here is shipped with the task by value.
+    # Classes made in here are shipped with the task by value.
     class Taker(StatefulProcessor):
         def init(self, handle):
             self.winner = handle.getValueState("winner", "path string")
             self.attempt = start()
 
-        def handleInputRows(self, key, rows, timerValues):
-            import pandas as pd
-
-            found = pd.concat(list(rows), ignore_index=True).sort_values("path", kind="stable")
-            won = self.winner.get() if self.winner.exists() else None
+        def taken(self, key, rows):
+            found = sorted(rows, key=lambda row: (row.path is None, row.path or ""))
+            won = self.winner.get()
             # Names that others did come with a row of their own, and before any file.
-            if won is None and found["done"].any():
+            if won is None and any(row.done for row in found):
                 won = ("",)
                 self.winner.update(won)
-            out = []
-            for row in found[~found["done"]].itertuples(index=False):
+            for row in found:
+                if row.done:
+                    continue
                 if won is not None:
-                    out.append((row.path, int(row.length), *[None] * 6, key[0], True))
+                    yield (row.path, int(row.length), *[None] * 6, key[0], True)
                     continue
                 content = row.content if isinstance(row.content, (bytes, bytearray)) else None
                 tried = self.attempt(row.path, int(row.length), content)
-                out.append((*tried, key[0], False))
+                yield (*tried, key[0], False)
                 text, error_type = tried[5], tried[7]
                 if error_type is None and text and text.strip():
                     won = (row.path,)
                     self.winner.update(won)
-            names = [field.split()[0] for field in _TAKEN.split(", ")]
-            yield pd.DataFrame(out, columns=names)
+
+        def handleInputRows(self, key, rows, timerValues):
+            for values in self.taken(key, rows):
+                yield make_row(*values)
 
         def close(self):
             pass
 
-    return Taker()
+    class FrameTaker(Taker):
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            found = [row for frame in rows for row in frame.itertuples(index=False)]
+            yield pd.DataFrame(list(self.taken(key, found)), columns=names)
+
+    return FrameTaker() if frames else Taker()
+
+
+def _keeps_frames(spark, checkpoint):
+    """Whether the state of a checkpoint was written by frames: Spark only goes on as it began."""
+    if not control.exists(spark, f"{checkpoint}/state/0/_metadata"):
+        return False
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    return not operators.where(F.col("operatorName") == _FRAMES).isEmpty()
 
 
 def _arrivals(files, store, checkpoint):
@@ -132,8 +156,10 @@ def start_intake(files, store, checkpoint, make_recognizer, clock=None, min_task
     named = arrived.withColumn(
         "base_name", F.coalesce("base_name", paths.base_name(F.col("path")))
     )
-    taken = named.groupBy("base_name").transformWithStateInPandas(
-        _by_name(make_recognizer, clock),
+    frames, by_name = _keeps_frames(spark, f"{checkpoint}/names"), named.groupBy("base_name")
+    take = by_name.transformWithStateInPandas if frames else by_name.transformWithState
+    taken = take(
+        _by_name(make_recognizer, clock, frames),
         outputStructType=_TAKEN,
         outputMode="Append",
         timeMode="None",
