@@ -2,9 +2,11 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from verbalance.llm import (
     samples,
     toxicity,
     url_filter,
+    words,
 )
 from verbalance.llm.queries import VOCABULARY
 
@@ -320,6 +323,49 @@ def test_samples_are_bounded_where_ids_repeat(spark):
     assert samples.take_sample(marked, docs.where(f"doc_id = {long}"), 40, 400) == [("x", "long " * 100)]
 
 
+def test_samples_start_no_python_rows_on_executors(spark, capsys):
+    docs = spark.createDataFrame(real(spark).limit(50).toArrow())
+    marked = docs.select("doc_id", F.lit("x").alias("label"))
+    found = samples.sample_table(marked, docs, 40, 4000)
+    assert 0 < found.count() <= 40
+    capsys.readouterr()
+    found.explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+
+
+def most_mib(work):
+    """What ``work`` lays out at most, in MiB, and its result."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+def test_large_batches_are_worked_through_in_parts():
+    texts = [" ".join(f"w{k * j % 9973}" for j in range(400)) for k in range(5_000)]
+    column = pa.array([*texts, None, ""])
+    assert column.nbytes > 8_000_000
+    model = toxicity.fit([*["vile thing"] * 9, *["fine thing"] * 9], [True] * 9 + [False] * 9)
+    hits, most = most_mib(lambda: toxicity._toxic(model, column))
+    assert hits.to_pylist() == (toxicity.score_texts(model, [t or "" for t in column.to_pylist()])[0] >= 0.5).tolist()
+    assert most < 40
+    ids = pa.array(range(len(column)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, column, pa.array([""] * len(column))], ["doc_id", "text", "text_key"])
+    marks, most = most_mib(lambda: sum(b.num_rows for b in minhash._mark(5)([batch])))
+    assert marks == len(column)
+    assert most < 80
+
+
+def test_memory_goes_back_when_a_task_ends(monkeypatch):
+    calls = []
+    monkeypatch.setattr(words, "give_back", lambda: calls.append(1))
+    run = words.giving_back(lambda batches: (b + 1 for b in batches))
+    assert list(run([1, 2])) == [2, 3] and calls == [1]
+    monkeypatch.undo()
+    words.give_back()
+
+
 def test_toxicity(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -10,7 +10,7 @@ import json
 import numpy as np
 import pyarrow as pa
 
-from verbalance.llm.words import slabs, text_sizes
+from verbalance.llm.words import giving_back, slabs, text_sizes
 
 # The split pattern of the vocabulary's own format.
 PATTERN = (
@@ -20,7 +20,7 @@ NO_PAIR = 1 << 60
 # Words remembered by a task, and longest word in bytes whose tree is one row of a table.
 REMEMBERED = 250_000
 TOGETHER = 64
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 500_000
 
 
 def byte_letters():
@@ -281,5 +281,5 @@ def encode_decode(docs, vocabulary_path, with_ids=False):
     from pyspark.sql import functions as F
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, schema
+        giving_back(run), schema
     )

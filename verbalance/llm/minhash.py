@@ -23,7 +23,7 @@ _MARKS = (
 )
 # A pair at the threshold shares 0.8 of its minima, give or take 0.035; this is 4.9 times that lower.
 LEAST_SHARED = 0.63
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 1_000_000
 SHINGLES_AT_ONCE = 50_000
 MEMBERS_PER_TASK = 64
 # A unit of an open bucket holds two parts of about so many members.
@@ -160,7 +160,7 @@ def _confirmed(pairs, texts, heads, size, percent):
     )
     rows = _texts_of(needed, heads, texts).select("task", "role", "id", "text").repartition("task")
     return rows.sortWithinPartitions("task", "role").mapInArrow(
-        _confirm(size, percent), "a bigint, b bigint"
+        words.giving_back(_confirm(size, percent)), "a bigint, b bigint"
     )
 
 
@@ -297,10 +297,10 @@ def _more_edges(open_rows, heads, reached, texts, size, percent):
     """Links across components within the buckets of ``open_rows``, found in blocks."""
     payload = _with_component(heads, reached).select("id", "signature", "component")
     units = _open_units(open_rows).join(payload, "id")
-    rows = _by_unit(units).mapInArrow(_with_candidates, _FOUND)
+    rows = _by_unit(units).mapInArrow(words.giving_back(_with_candidates), _FOUND)
     rows = session.written(rows, session.scratch_path(open_rows.sparkSession, "near-units"))
     return _by_unit(_texts_of(rows, heads, texts)).mapInArrow(
-        _confirm_units(size, percent), "a bigint, b bigint"
+        words.giving_back(_confirm_units(size, percent)), "a bigint, b bigint"
     )
 
 
@@ -326,7 +326,7 @@ def near_duplicates(docs, shingle_words=2, percent=PERCENT):
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
     )
-    marks = written(texts.mapInArrow(_mark(shingle_words), _MARKS), "marks")
+    marks = written(texts.mapInArrow(words.giving_back(_mark(shingle_words)), _MARKS), "marks")
     same = ["print1", "print2", "n_shingles"]
     linked = marks.where("doc_id is not null and n_shingles > 0")
     # A class is one row from here on; copies are combined before the shuffle.

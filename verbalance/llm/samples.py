@@ -1,7 +1,9 @@
 """Bounded samples of labelled documents, on which models are fitted."""
 
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from verbalance import session
 
@@ -76,8 +78,10 @@ def sample_table(marked, docs, per_class, most_bytes):
         if len(taken) == before:
             spot, doc_id, _ = min(own, key=lambda r: (r[2], r[0], r[1]))
             taken.append((spot, doc_id, label))
+    # Sent as Arrow: a list of rows would start Python workers of their own kind on every executor.
+    columns = {name: [row[i] for row in taken] for i, name in enumerate(("spot", "doc_id", "label"))}
     picked = spark.createDataFrame(
-        taken, f"spot bigint, doc_id bigint, label {dict(marked.dtypes)['label']}"
+        pa.table(columns, to_arrow_schema(chosen.select("spot", "doc_id", "label").schema))
     )
     return found.join(F.broadcast(picked), "doc_id").select("spot", "label", "text")
 

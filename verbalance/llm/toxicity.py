@@ -8,9 +8,9 @@ of them and their sum, a document score that is calibrated on the sample's label
 """
 
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -392,7 +392,7 @@ def learn(docs, labels):
         model = fit([text for _, _, text in rows], [label == 1 for _, label, _ in rows])
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
-    found = sample.coalesce(1).mapInArrow(run, "model binary").first()
+    found = sample.coalesce(1).mapInArrow(words.giving_back(run), "model binary").first()
     return pickle.loads(found["model"]) if found else fit([], [])
 
 
@@ -433,19 +433,25 @@ def score(docs, labels):
                     names=["doc_id", "held_out", "score", "spans"],
                 )
 
-    scored = samples.with_fold(docs).mapInArrow(run, schema)
+    scored = samples.with_fold(docs).mapInArrow(words.giving_back(run), schema)
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", "held_out", "score", predicted, "spans")
 
 
+def _toxic(model, column):
+    """Which texts of an Arrow column are predicted toxic; only some of them are laid out at a time."""
+    scores = np.zeros(len(column))
+    for start, end in words.slabs(words.text_sizes(column), BYTES_AT_ONCE):
+        texts = [t or "" for t in column.slice(start, end - start).to_pylist()]
+        scores[start:end] = score_texts(model, texts)[0]
+    return pa.array(scores >= 0.5)
+
+
 def clean_documents(docs, labels):
     """The rows of ``docs`` that are not predicted toxic, whole."""
     sent = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
 
-    def toxic(texts: pd.Series) -> pd.Series:
-        texts, scores = [t or "" for t in texts], np.zeros(len(texts))
-        for start, end in words.slabs([len(t) for t in texts], BYTES_AT_ONCE):
-            scores[start:end] = score_texts(sent.value, texts[start:end])[0]
-        return pd.Series(scores >= 0.5)
+    def toxic(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from words.giving_back(lambda parts: (_toxic(sent.value, part) for part in parts))(columns)
 
-    return docs.where(~F.pandas_udf(toxic, "boolean")("text"))
+    return docs.where(~F.arrow_udf(toxic, "boolean")("text"))

@@ -1,6 +1,9 @@
 """Words of many texts at once, as 64-bit hashes, with numpy inside a task."""
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 
 _rng = np.random.default_rng(20240229)
@@ -29,6 +32,27 @@ def remembered(function, most=20_000):
     return call
 
 
+def give_back():
+    """Hand memory that is free again back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(run):
+    """``run``, a generator over batches, without what its task freed staying with the worker.
+
+    A worker waits for tasks of later steps; the memory it does not give back is missing there.
+    """
+
+    def call(batches):
+        yield from run(batches)
+        give_back()
+
+    return call
+
+
 def text_sizes(column):
     """Bytes of each text of an Arrow column; null counts 0."""
     return pc.fill_null(pc.binary_length(column), 0).to_pylist()
